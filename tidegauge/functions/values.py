@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+import re
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # What counts as a number in text, and the words for "missing".
-NUMBER_PATTERN = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$|^[+-]?(?i:inf|infinity)$"
+NUMBER_PATTERN = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity))\s*$"
 MISSING_WORDS = ("nan", "none", "na", "")
 TIME_FORMATS = (
     "yyyy-MM-dd HH:mm:ss",
@@ -24,27 +25,70 @@ def nan_to_null(value: Column) -> Column:
     return F.when(~F.isnan(value), value)
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once.
+
+    A filter on a computed column is pushed below the projection by copying its
+    expression, so one that repeats a costly input multiplies the work.
+    """
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def to_number(text: Column) -> Column:
     """Text to double, NULL where it is not a plain decimal number."""
-    trimmed = F.regexp_replace(text.cast("string"), r"^\s+|\s+$", "")
-    return F.when(trimmed.rlike(NUMBER_PATTERN), trimmed.try_cast("double"))
+    text = text.cast("string")
+    return F.when(text.rlike(NUMBER_PATTERN), text.try_cast("double"))
+
+
+def _shape_of(fmt: str) -> str | None:
+    """Regular expression for texts of an all-digit format; None if it has letters."""
+    pattern, quoted_part = "", False
+    for piece in re.findall(r"'|([A-Za-z])(\1*)|(.)", fmt):
+        letter, more, other = piece
+        if not letter and not other:
+            quoted_part = not quoted_part
+        elif letter and quoted_part:
+            pattern += letter + more
+        elif letter:
+            if letter not in "yMdHhmsS" or (letter == "M" and len(more) > 1):
+                return None
+            pattern += rf"\d{{{1 + len(more)}}}" if more else r"\d{1,2}"
+        else:
+            pattern += re.escape(other)
+    return f"^{pattern}$"
 
 
 def to_time(text: Column, formats: Sequence[str] = TIME_FORMATS) -> Column:
-    """Text to ``timestamp_ntz`` by the first format that fits, else NULL."""
-    parsed = [F.try_to_timestamp(text, F.lit(f)) for f in formats]
+    """Text to ``timestamp_ntz`` by the first format that fits, else NULL.
+
+    A text of another shape than the format is never parsed: a failed parse is an
+    exception per row, a failed match is not.
+    """
+    parsed = []
+    for fmt in formats:
+        moment = F.try_to_timestamp(text, F.lit(fmt))
+        shape = _shape_of(fmt)
+        parsed.append(F.when(text.rlike(shape), moment) if shape else moment)
     return F.coalesce(*parsed).cast("timestamp_ntz")
 
 
+def _flat(text: Column) -> Column:
+    return F.lower(F.trim(F.regexp_replace(text, r"(?U)\s+", " ")))
+
+
+def _capital(text: Column) -> Column:
+    return F.concat(F.upper(F.substring(text, 1, 1)), F.substr(text, F.lit(2)))
+
+
 def tidy_text(text: Column) -> Column:
     """Strip, collapse white space, lower-case, then a capital first letter."""
-    flat = F.lower(F.trim(F.regexp_replace(text, r"(?U)\s+", " ")))
-    return F.concat(F.upper(F.substring(flat, 1, 1)), F.substr(flat, F.lit(2)))
+    return let(_flat(text), _capital)
 
 
-def blank_missing(text: Column, words: Iterable[str] = MISSING_WORDS) -> Column:
-    """NULL where the text, in any case, is one of the words for "missing"."""
-    return F.when(~F.lower(F.trim(text)).isin(*words), text)
+def normal_text(text: Column, words: Iterable[str] = MISSING_WORDS) -> Column:
+    """Tidy text, NULL where it is one of the words for "missing"."""
+    listed = list(words)
+    return let(_flat(text), lambda flat: F.when(~flat.isin(*listed), _capital(flat)))
 
 
 def safe_ratio(over: Column, under: Column) -> Column:

@@ -16,10 +16,9 @@ from tidegauge.functions.names import column, numeric_columns, require
 from tidegauge.functions.values import (
     MISSING_WORDS,
     TIME_FORMATS,
-    blank_missing,
     hash_number,
     nan_to_null,
-    tidy_text,
+    normal_text,
     to_number,
     to_time,
 )
@@ -76,10 +75,7 @@ def normalize_text(
     df: DataFrame, columns: Iterable[str], words: Iterable[str] = MISSING_WORDS
 ) -> DataFrame:
     """Strip, collapse blanks, lower-case, capital first letter; missing words to NULL."""
-    listed = list(words)
-    return df.withColumns(
-        {c: blank_missing(tidy_text(column(c)), listed) for c in _present(df, columns)}
-    )
+    return df.withColumns({c: normal_text(column(c), words) for c in _present(df, columns)})
 
 
 def drop_duplicates(df: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ column). Groups are keys of one job, not a loop.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import asdict, dataclass
+from dataclasses import asdict, dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -60,7 +60,7 @@ def ks(
         grid = build_grid(both, columns)
         if by:
             groups = current.select(*[column(c) for c in by]).distinct().count()
-            grid = Grid(**{**vars(grid), "groups": groups})
+            grid = replace(grid, groups=groups)
     keys = [*by, "ix"]
     k = [column(c) for c in keys]
     ref = long_cells(reference, grid)
@@ -106,11 +106,13 @@ def ks(
         (F.col("c1") - F.col("c")).alias("c0"),
         "c1",
     )
-    line = checkpointed(line)
     r0, r1, c0, c1 = (F.col(x) for x in ("r0", "r1", "c0", "c1"))
     border = F.greatest(_gap(r0, c0), _gap(r1, c1))
-    bounded = line.withColumns(
-        {"best": F.max(border).over(group), "most": F.greatest(_gap(r1, c0), _gap(r0, c1))}
+    # The cell table is small, and everything below reads it: compute it once.
+    bounded = checkpointed(
+        line.withColumns(
+            {"best": F.max(border).over(group), "most": F.greatest(_gap(r1, c0), _gap(r0, c1))}
+        )
     )
     settled = bounded.groupBy(*k).agg(
         F.max("best").alias("d"), F.max("nr").alias("nr"), F.max("nc").alias("nc")
@@ -123,22 +125,21 @@ def ks(
         *k, "cell", "r0", "c0", "nr", "nc"
     )
     bound = grid.groups * cells
-    opened_any = opened.select("ix", "cell").distinct()
-    ref_values = (
-        ref.join(broadcast_if_small(opened_any, cells, 16), ["ix", "cell"], "left_semi")
-        .groupBy("ix", "cell", "value")
-        .agg(F.count(F.lit(1)).alias("r"))
-    )
-    at = [*k, F.col("cell"), F.col("r0"), F.col("c0"), F.col("nr"), F.col("nc")]
     small = broadcast_if_small(opened, bound, 80)
-    from_ref = ref_values.join(small, ["ix", "cell"]).select(
-        *at, "value", "r", F.lit(0).cast("bigint").alias("c")
-    )
-    from_cur = (
-        cur.join(small, [*keys, "cell"])
-        .groupBy(*at, "value")
-        .agg(F.count(F.lit(1)).alias("c"))
-        .select(*at, "value", F.lit(0).cast("bigint").alias("r"), "c")
+    at = [*k, F.col("cell"), F.col("r0"), F.col("c0"), F.col("nr"), F.col("nc")]
+    one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+    ref_rows = ref.select("ix", "cell", "value", one.alias("r"))
+    if by:
+        # Each group needs the reference values of its open cells: count them before.
+        any_open = broadcast_if_small(opened.select("ix", "cell").distinct(), cells, 16)
+        ref_rows = (
+            ref.join(any_open, ["ix", "cell"], "left_semi")
+            .groupBy("ix", "cell", "value")
+            .agg(F.count(F.lit(1)).alias("r"))
+        )
+    from_ref = ref_rows.join(small, ["ix", "cell"]).select(*at, "value", "r", none.alias("c"))
+    from_cur = cur.join(small, [*keys, "cell"]).select(
+        *at, "value", none.alias("r"), one.alias("c")
     )
     walk = Window.partitionBy(*k, "cell").orderBy("value")
     inner = (

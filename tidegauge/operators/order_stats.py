@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterable, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -49,7 +49,7 @@ class Grid:
     rows: int
     splits: int
     groups: int
-    seen: tuple[int, ...] = ()
+    seen: tuple[int, ...]
 
     @property
     def total_cells(self) -> int:
@@ -58,6 +58,30 @@ class Grid:
     def name_of(self, index: Column) -> Column:
         return F.element_at(F.array(*[F.lit(c) for c in self.columns]), index + 1)
 
+    def only(self, chosen: Sequence[int]) -> "Grid":
+        """The grid of some of the columns, by index."""
+
+        def some(values):
+            return tuple(values[i] for i in chosen)
+
+        return replace(
+            self,
+            columns=some(self.columns),
+            edges=some(self.edges),
+            frequent=some(self.frequent),
+            lows=some(self.lows),
+            highs=some(self.highs),
+            seen=some(self.seen),
+        )
+
+    def value_of_cell(self, index: int, cell: int) -> float | None:
+        """The value of a one-value cell, else None."""
+        interval, part = divmod(cell, self.splits)
+        value = self.edges[index][interval - 1] if interval else None
+        if part or value not in self.frequent[index] or abs(value) >= EXACT_DOUBLE:
+            return None
+        return value
+
     def one_value_cells(self, index: int) -> list[int]:
         """Cells known to hold equal values only."""
         return [
@@ -181,44 +205,123 @@ def long_cells(df: DataFrame, grid: Grid, keep: Sequence[Column] = ()) -> DataFr
     )
 
 
-def _values_at(
-    df: DataFrame, grid: Grid, by: Sequence[str], targets: Sequence[Column], bound: int
-) -> DataFrame:
-    """Values at given ranks, one row per (``by``, ix, target).
-
-    ``targets`` are structs with a field ``rank`` that may use ``total``, the number of
-    rows of the group. ``bound`` limits the cells that can hold them.
-    """
-    keys = [*by, "ix"]
-    k = [column(c) for c in keys]
-    long = long_cells(df, grid, [column(c) for c in by])
-    counts = long.groupBy(*k, "cell").agg(F.count(F.lit(1)).alias("n"))
+def _located(df: DataFrame, grid: Grid, by: Sequence[str]) -> DataFrame:
+    """Rows per (``by``, ix, cell), rows ``before`` the cell, and ``total`` of the group."""
+    k = [*[column(c) for c in by], F.col("ix")]
     line = Window.partitionBy(*k)
-    located = counts.select(
+    counts = (
+        long_cells(df, grid, k[:-1]).groupBy(*k, "cell").agg(F.count(F.lit(1)).alias("n"))
+    )
+    return counts.select(
         *k,
         "cell",
         "n",
         (F.sum("n").over(line.orderBy("cell")) - F.col("n")).alias("before"),
         F.sum("n").over(line).alias("total"),
     )
-    ranks = F.array(*targets)
-    start, end = F.col("before"), F.col("before") + F.col("n")
-    open_cells = located.filter(
-        F.exists(ranks, lambda t: (t["rank"] >= start) & (t["rank"] < end))
-    ).select(*k, "cell", "before", "total")
+
+
+def _rank_targets(places: Sequence[Column]) -> list[Column]:
+    """For each place the ranks below and above it: targets 2i and 2i + 1."""
+    return [
+        F.struct(F.lit(2 * i + side).alias("qx"), rank.cast("bigint").alias("rank"))
+        for i, place in enumerate(places)
+        for side, rank in enumerate((F.floor(place), F.ceil(place)))
+    ]
+
+
+def _between(targets: Sequence[Column], start: Column, end: Column) -> Column:
+    return F.filter(F.array(*targets), lambda t: (t["rank"] >= start) & (t["rank"] < end))
+
+
+def _open_cells(df: DataFrame, grid: Grid, by: Sequence[str], targets: Sequence[Column]) -> DataFrame:
+    """Cells that hold a target: structs with ``rank``, which may use ``total``."""
+    end = F.col("before") + F.col("n")
+    found = _located(df, grid, by).withColumn("asked", _between(targets, F.col("before"), end))
+    return found.filter(F.size("asked") > 0)
+
+
+def _values_at(opened: DataFrame, keys: Sequence[str], targets: Sequence[Column]) -> DataFrame:
+    """Values at the targets, from the rows of open cells with ``before`` and ``total``."""
+    k = [column(c) for c in keys]
     # ``before`` and ``total`` belong to the cell; as keys they keep the hash aggregate.
-    values = (
-        long.join(broadcast_if_small(open_cells, bound), [*keys, "cell"])
-        .groupBy(*k, "cell", "before", "total", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
+    values = opened.groupBy(*k, "cell", "before", "total", "value").agg(
+        F.count(F.lit(1)).alias("n")
     )
     walk = Window.partitionBy(*k, "cell").orderBy("value")
     ranked = values.withColumn("upto", F.col("before") + F.sum("n").over(walk))
-    end = F.col("upto")
-    here = F.filter(ranks, lambda t: (t["rank"] < end) & (t["rank"] >= end - F.col("n")))
+    here = _between(targets, F.col("upto") - F.col("n"), F.col("upto"))
     return ranked.select(*k, "value", "total", F.explode(here).alias("t"))
 
 
+def _driver_values(
+    df: DataFrame, grid: Grid, targets: Sequence[Column]
+) -> dict[tuple[int, int], tuple[float, int]]:
+    """(ix, target) -> (value, total) without groups: a few numbers on the driver.
+
+    A cell with one value needs no look at its rows, so the last pass reads only the
+    columns that still have a question, and only their open cells.
+    """
+    rows = _open_cells(df, grid, [], targets).select("ix", "cell", "before", "total", "asked").collect()
+    found, questions = {}, {}
+    for row in rows:
+        single = grid.value_of_cell(row["ix"], row["cell"])
+        if single is None:
+            questions.setdefault(row["ix"], []).append((row["cell"], row["before"], row["total"]))
+            continue
+        for target in row["asked"]:
+            found[row["ix"], target["qx"]] = (single, row["total"])
+    if questions:
+        order = sorted(questions)
+        part = grid.only(order)
+        cells = {i: questions[ix] for i, ix in enumerate(order)}
+        text = ", ".join(
+            f"({i}, {cell}, {before}L, {total}L)" for i, c in cells.items() for cell, before, total in c
+        )
+        # At most two cells per column and target.
+        small = df.sparkSession.sql(f"SELECT * FROM VALUES {text} AS (ix, cell, before, total)")
+        opened = long_cells(df, part).join(F.broadcast(small), ["ix", "cell"])
+        for row in _values_at(opened, ["ix"], targets).select("ix", "t.qx", "value", "total").collect():
+            found[order[row["ix"]], row["qx"]] = (row["value"], row["total"])
+    return found
+
+
+def _checked(shares: Mapping[str, float]) -> list[Column]:
+    if not shares or any(not 0.0 <= q <= 1.0 for q in shares.values()):
+        raise ValueError("quantile shares must lie in [0, 1]")
+    return [(F.col("total") - 1) * F.lit(float(share)) for share in shares.values()]
+
+
+def _interpolated(low: float, high: float, place: float) -> float:
+    return low if low == high else low + (high - low) * (place - math.floor(place))
+
+
+def _global_quantiles(
+    df: DataFrame, columns: Sequence[str], shares: Mapping[str, float], grid: Grid | None
+) -> dict[str, tuple[int, dict[str, float]]]:
+    targets = _rank_targets(_checked(shares))
+    grid = grid or build_grid(df, columns)
+    found = _driver_values(df, grid, targets)
+    result = {}
+    for ix, name in enumerate(grid.columns):
+        if (ix, 0) not in found:
+            continue
+        total = found[ix, 0][1]
+        result[name] = total, {
+            label: _interpolated(found[ix, 2 * i][0], found[ix, 2 * i + 1][0], (total - 1) * float(q))
+            for i, (label, q) in enumerate(shares.items())
+        }
+    return result
+
+
+def quantile_values(
+    df: DataFrame, columns: Sequence[str], shares: Mapping[str, float], grid: Grid | None = None
+) -> dict[str, dict[str, float | None]]:
+    """Exact quantiles of a few columns on the driver: column -> name -> value."""
+    found = _global_quantiles(df, columns, shares, grid)
+    return {c: found[c][1] if c in found else {s: None for s in shares} for c in columns}
+
+
 def quantiles(
     df: DataFrame,
     columns: Sequence[str],
@@ -231,24 +334,28 @@ def quantiles(
     ``shares`` maps output names to shares in [0, 1]. Rows with a NULL in ``by`` are
     left out, NULL and NaN values too. Output: ``by``, ``column``, ``n``, then the names.
     """
-    if not shares or any(not 0.0 <= q <= 1.0 for q in shares.values()):
-        raise ValueError("quantile shares must lie in [0, 1]")
+    if not by:
+        rows = [
+            (name, n, *values.values())
+            for name, (n, values) in _global_quantiles(df, columns, shares, grid).items()
+        ]
+        fields = ", ".join(f"`{s}` double" for s in shares)
+        return df.sparkSession.createDataFrame(rows, f"column string, n bigint, {fields}")
+    places = _checked(shares)
+    targets = _rank_targets(places)
     by = list(by)
-    if by:
-        df = df.dropna(subset=by)
+    df = df.dropna(subset=by)
     grid = grid or build_grid(df, columns, by)
-    places = [(F.col("total") - 1) * F.lit(float(share)) for share in shares.values()]
-    targets = []
-    for i, place in enumerate(places):
-        for side, rank in enumerate((F.floor(place), F.ceil(place))):
-            targets.append(F.struct(F.lit(2 * i + side).alias("qx"), rank.cast("bigint").alias("rank")))
+    keys = [*by, "ix"]
+    k = [column(c) for c in keys]
     # At most two cells per group, column and share hold the ranks asked for.
     bound = grid.groups * len(grid.columns) * len(shares) * 2
-    keys = [*[column(c) for c in by], F.col("ix")]
+    cells = _open_cells(df, grid, by, targets).select(*k, "cell", "before", "total")
+    opened = long_cells(df, grid, k[:-1]).join(broadcast_if_small(cells, bound), [*keys, "cell"])
     # Two entries per share.
     found = (
-        _values_at(df, grid, by, targets, bound)
-        .groupBy(*keys, "total")
+        _values_at(opened, keys, targets)
+        .groupBy(*k, "total")
         .agg(F.map_from_entries(F.collect_list(F.struct("t.qx", "value"))).alias("at"))
     )
     outputs = []
@@ -257,34 +364,23 @@ def quantiles(
         step = F.when(high == low, F.lit(0.0)).otherwise((high - low) * (place - F.floor(place)))
         outputs.append((low + step).alias(name))
     return found.select(
-        *keys[:-1],
+        *k[:-1],
         grid.name_of(F.col("ix")).alias("column"),
         F.col("total").alias("n"),
         *outputs,
     )
 
 
-def quantile_values(
-    df: DataFrame, columns: Sequence[str], shares: Mapping[str, float], grid: Grid | None = None
-) -> dict[str, dict[str, float | None]]:
-    """The quantiles of a few columns on the driver: column -> name -> value."""
-    rows = quantiles(df, columns, shares, grid=grid).collect()
-    found = {r["column"]: {name: r[name] for name in shares} for r in rows}
-    return {c: found.get(c, {name: None for name in shares}) for c in columns}
-
-
 def values_at_ranks(
     df: DataFrame, key: str, ranks: Sequence[int], grid: Grid | None = None
 ) -> list[float]:
     """Positions (see ``as_position``) of ``key`` at some 0-based ranks, on the driver."""
-    grid = grid or build_grid(df, [key])
     targets = [
         F.struct(F.lit(i).alias("qx"), F.lit(r).cast("bigint").alias("rank"))
         for i, r in enumerate(ranks)
     ]
-    rows = _values_at(df, grid, [], targets, len(ranks)).select("t.qx", "value").collect()
-    found = {r["qx"]: r["value"] for r in rows}
-    return [found[i] for i in range(len(ranks))]
+    found = _driver_values(df, grid or build_grid(df, [key]), targets)
+    return [found[0, i][0] for i in range(len(ranks))]
 
 
 def nth_row(df: DataFrame, key: str, position: int) -> DataFrame:
