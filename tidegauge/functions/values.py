@@ -80,13 +80,8 @@ def _capital(text: Column) -> Column:
     return F.concat(F.upper(F.substring(text, 1, 1)), F.substr(text, F.lit(2)))
 
 
-def tidy_text(text: Column) -> Column:
-    """Strip, collapse white space, lower-case, then a capital first letter."""
-    return let(_flat(text), _capital)
-
-
 def normal_text(text: Column, words: Iterable[str] = MISSING_WORDS) -> Column:
-    """Tidy text, NULL where it is one of the words for "missing"."""
+    """Strip, collapse white space, lower-case, capital first letter; NULL for ``words``."""
     listed = list(words)
     return let(_flat(text), lambda flat: F.when(~flat.isin(*listed), _capital(flat)))
 

@@ -8,7 +8,7 @@ column). Groups are keys of one job, not a loop.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import asdict, dataclass, replace
+from dataclasses import asdict, dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -21,10 +21,11 @@ from tidegauge.operators.order_stats import (
     as_position,
     build_grid,
     doubles,
+    in_cells,
     long_cells,
     quantile_values,
 )
-from tidegauge.session import broadcast_if_small, checkpointed
+from tidegauge.session import checkpointed
 
 ALPHA = 0.05
 EMPTY_BUCKET_ROWS = 1e-6
@@ -34,6 +35,53 @@ def _gap(r: Column, c: Column) -> Column:
     return F.abs(r / F.col("nr") - c / F.col("nc"))
 
 
+def _settled(line: DataFrame, keys: Sequence[str], known: Column | None = None) -> DataFrame:
+    """Add ``best``, the largest gap at a border so far, and ``most``, a bound inside.
+
+    ``line`` has reference and current rows before (``r0, c0``) and up to (``r1, c1``) each
+    cell. Both distribution functions only grow in between, so no inner point is further
+    apart than opposite corners.
+    """
+    r0, r1, c0, c1 = (F.col(x) for x in ("r0", "r1", "c0", "c1"))
+    border = F.greatest(_gap(r0, c0), _gap(r1, c1))
+    best = F.max(border).over(Window.partitionBy(*[column(c) for c in keys]))
+    return line.withColumns(
+        {
+            "best": best if known is None else F.greatest(best, known),
+            "most": F.greatest(_gap(r1, c0), _gap(r0, c1)),
+        }
+    )
+
+
+def _opened_rows(
+    ref: DataFrame, cur: DataFrame, cells: DataFrame, by: Sequence[str], place: Sequence[str], level: Sequence[str]
+) -> DataFrame:
+    """Rows of both sides in open cells, counted by ``level`` (``part`` or ``value``).
+
+    ``cells`` is stored and counted before it is joined. With ``by``, each group needs the
+    reference rows of its open cells: they are counted first, then handed out.
+    """
+    size = cells.count()
+    spots = ["ix", *place]
+    at = [c for c in cells.columns if c not in spots]
+    one = F.lit(1).cast("bigint")
+    mine = ref.select("ix", *dict.fromkeys((*place, *level)), one.alias("r"))
+    if by:
+        shared = cells.select(*spots).distinct()
+        counted = in_cells(mine, shared, spots, None)
+        mine = counted.groupBy("ix", *dict.fromkeys((*place, *level))).agg(F.sum("r").alias("r"))
+    none = F.lit(0).cast("bigint")
+    theirs = cur.select(*[column(c) for c in by], "ix", *dict.fromkeys((*place, *level)), one.alias("c"))
+    from_ref = in_cells(mine, cells, spots, size).withColumn("c", none)
+    from_cur = in_cells(theirs, cells, [*by, *spots], size).withColumn("r", none)
+    keys = [column(c) for c in dict.fromkeys((*spots, *at, *level))]
+    return (
+        from_ref.unionByName(from_cur)
+        .groupBy(*keys)
+        .agg(F.sum("r").alias("r"), F.sum("c").alias("c"))
+    )
+
+
 def ks(
     reference: DataFrame,
     current: DataFrame,
@@ -43,10 +91,9 @@ def ks(
 ) -> DataFrame:
     """Two-sample Kolmogorov-Smirnov distance and p-value of numeric columns, exact.
 
-    Cell counts give both distribution functions at all cell borders, hence a distance D0.
-    Between two borders the functions only grow, so no point of a cell can be further apart
-    than its opposite corners. Cells that cannot beat D0 are settled; the values of the
-    few others are counted one by one.
+    Row counts per cell give the distance at all cell borders. Only cells that may hold a
+    larger one are looked into: by their parts when cells are large, then value by value.
+    Three passes read the tables, and the last ones group a small share of the rows.
     """
     by = list(by)
     require(reference, columns)
@@ -58,118 +105,96 @@ def ks(
             current.select(*[as_position(current, c).alias(c) for c in columns])
         )
         grid = build_grid(both, columns)
-        if by:
-            groups = current.select(*[column(c) for c in by]).distinct().count()
-            grid = replace(grid, groups=groups)
     keys = [*by, "ix"]
     k = [column(c) for c in keys]
     ref = long_cells(reference, grid)
     cur = long_cells(current, grid, [column(c) for c in by])
-    cells = grid.total_cells
 
     # Reference rows before and up to every cell, empty cells included.
-    widest = max(len(e) + 1 for e in grid.edges) * grid.splits
+    widest = max(len(e) + 1 for e in grid.edges)
     counted = ref.groupBy("ix", "cell").agg(F.count(F.lit(1)).alias("n"))
-    frame = (
-        reference.sparkSession.range(len(grid.columns))
-        .select(
-            F.col("id").cast("int").alias("ix"),
-            F.explode(F.sequence(F.lit(0), F.lit(widest - 1))).alias("cell"),
-        )
+    frame = reference.sparkSession.range(len(grid.columns)).select(
+        F.col("id").cast("int").alias("ix"),
+        F.explode(F.sequence(F.lit(0), F.lit(widest - 1))).alias("cell"),
     )
     up = Window.partitionBy("ix").orderBy("cell")
-    ref_line = frame.join(broadcast_if_small(counted, cells, 32), ["ix", "cell"], "left").select(
+    rows = F.coalesce("n", F.lit(0))
+    ref_line = frame.join(F.broadcast(counted), ["ix", "cell"], "left").select(
         "ix",
         "cell",
-        (F.sum(F.coalesce("n", F.lit(0))).over(up)).alias("r1"),
-        F.coalesce("n", F.lit(0)).alias("r"),
-        F.coalesce(F.sum("n").over(Window.partitionBy("ix")), F.lit(0)).alias("nr"),
+        F.sum(rows).over(up).alias("r1"),
+        (F.sum(rows).over(up) - rows).alias("r0"),
+        F.sum(rows).over(Window.partitionBy("ix")).alias("nr"),
     )
-
     group = Window.partitionBy(*k)
     cur_line = cur.groupBy(*k, "cell").agg(F.count(F.lit(1)).alias("c")).select(
         *k,
         "cell",
-        "c",
         F.sum("c").over(group.orderBy("cell")).alias("c1"),
+        (F.sum("c").over(group.orderBy("cell")) - F.col("c")).alias("c0"),
         F.sum("c").over(group).alias("nc"),
     )
-    line = cur_line.join(
-        broadcast_if_small(ref_line, widest * len(grid.columns), 48), ["ix", "cell"]
-    ).select(
-        *k,
-        "cell",
-        "nr",
-        "nc",
-        (F.col("r1") - F.col("r")).alias("r0"),
-        "r1",
-        (F.col("c1") - F.col("c")).alias("c0"),
-        "c1",
-    )
-    r0, r1, c0, c1 = (F.col(x) for x in ("r0", "r1", "c0", "c1"))
-    border = F.greatest(_gap(r0, c0), _gap(r1, c1))
-    # The cell table is small, and everything below reads it: compute it once.
-    bounded = checkpointed(
-        line.withColumns(
-            {"best": F.max(border).over(group), "most": F.greatest(_gap(r1, c0), _gap(r0, c1))}
-        )
-    )
-    settled = bounded.groupBy(*k).agg(
-        F.max("best").alias("d"), F.max("nr").alias("nr"), F.max("nc").alias("nc")
-    )
-    # A one-value cell has no inner point; others are opened if they may beat the borders.
+    # At most a cell per interval and column: small by construction.
+    line = cur_line.join(F.broadcast(ref_line), ["ix", "cell"])
+    # All later steps read this small table: compute it once.
+    cells = checkpointed(_settled(line, keys))
+    found = [cells.groupBy(*k).agg(*_largest("best"))]
+
+    # A one-value cell has no inner point.
     single = [(i, grid.one_value_cells(i)) for i in range(len(grid.columns))]
     listed = [f"(ix = {i} AND cell IN ({', '.join(map(str, c))}))" for i, c in single if c]
     inner_point = ~F.expr(" OR ".join(listed)) if listed else F.lit(True)
-    opened = bounded.filter((F.col("most") > F.col("best")) & inner_point).select(
-        *k, "cell", "r0", "c0", "nr", "nc"
+    opened = cells.filter((F.col("most") > F.col("best")) & inner_point).select(
+        *k, "cell", "r0", "c0", "nr", "nc", "best"
     )
-    bound = grid.groups * cells
-    small = broadcast_if_small(opened, bound, 80)
-    at = [*k, F.col("cell"), F.col("r0"), F.col("c0"), F.col("nr"), F.col("nc")]
-    one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
-    ref_rows = ref.select("ix", "cell", "value", one.alias("r"))
-    if by:
-        # Each group needs the reference values of its open cells: count them before.
-        any_open = broadcast_if_small(opened.select("ix", "cell").distinct(), cells, 16)
-        ref_rows = (
-            ref.join(any_open, ["ix", "cell"], "left_semi")
-            .groupBy("ix", "cell", "value")
-            .agg(F.count(F.lit(1)).alias("r"))
-        )
-    from_ref = ref_rows.join(small, ["ix", "cell"]).select(*at, "value", "r", none.alias("c"))
-    from_cur = cur.join(small, [*keys, "cell"]).select(
-        *at, "value", none.alias("r"), one.alias("c")
-    )
-    walk = Window.partitionBy(*k, "cell").orderBy("value")
-    inner = (
-        from_ref.unionByName(from_cur)
-        .groupBy(*at, "value")
-        .agg(F.sum("r").alias("r"), F.sum("c").alias("c"))
-        .select(
+    place = ["cell"]
+    if grid.splits > 1:
+        by_part = _opened_rows(ref, cur, opened, by, place, ["part"])
+        run = Window.partitionBy(*k, "cell").orderBy("part")
+        r, c = F.sum("r").over(run), F.sum("c").over(run)
+        parts = by_part.select(
             *k,
+            "cell",
+            "part",
             "nr",
             "nc",
-            _gap(
-                F.col("r0") + F.sum("r").over(walk), F.col("c0") + F.sum("c").over(walk)
-            ).alias("d"),
+            F.col("best").alias("known"),
+            (F.col("r0") + r - F.col("r")).alias("r0"),
+            (F.col("r0") + r).alias("r1"),
+            (F.col("c0") + c - F.col("c")).alias("c0"),
+            (F.col("c0") + c).alias("c1"),
         )
-    )
-    best = settled.unionByName(inner.groupBy(*k, "nr", "nc").agg(F.max("d").alias("d")))
-    final = best.groupBy(*k).agg(
-        F.max("d").alias("statistic"), F.max("nr").alias("n_reference"), F.max("nc").alias("n_current")
-    )
+        parts = checkpointed(_settled(parts, keys, F.col("known")))
+        found.append(parts.groupBy(*k).agg(*_largest("best")))
+        opened = parts.filter(F.col("most") > F.col("best")).select(
+            *k, "cell", "part", "r0", "c0", "nr", "nc", "best"
+        )
+        place = ["cell", "part"]
+    by_value = _opened_rows(ref, cur, opened, by, place, ["value"])
+    walk = Window.partitionBy(*k, *place).orderBy("value")
+    gap = _gap(F.col("r0") + F.sum("r").over(walk), F.col("c0") + F.sum("c").over(walk))
+    inside = by_value.select(*k, "nr", "nc", gap.alias("d"))
+    found.append(inside.groupBy(*k).agg(*_largest("d")))
+
+    best = found[0]
+    for more in found[1:]:
+        best = best.unionByName(more)
+    final = best.groupBy(*k).agg(*_largest("d"))
     return final.select(
         *[column(c) for c in by],
         grid.name_of(F.col("ix")).alias("column"),
         F.lit("ks").alias("test"),
-        "statistic",
-        kolmogorov_p(F.col("statistic"), F.col("n_reference"), F.col("n_current")).alias("p_value"),
-        "n_reference",
-        "n_current",
+        F.col("d").alias("statistic"),
+        kolmogorov_p(F.col("d"), F.col("nr"), F.col("nc")).alias("p_value"),
+        F.col("nr").alias("n_reference"),
+        F.col("nc").alias("n_current"),
     )
 
 
+def _largest(distance: str) -> list[Column]:
+    return [F.max(distance).alias("d"), F.max("nr").alias("nr"), F.max("nc").alias("nc")]
+
+
 def _texts(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     pairs = F.array(
         *[F.struct(F.lit(c).alias("column"), column(c).cast("string").alias("value")) for c in columns]

@@ -1,10 +1,11 @@
 """Exact order statistics without a global sort, a global window or a value map.
 
-The value line of every column is cut into *cells* by a monotone function fixed on
-the driver: quantile edges from one sketch, each interval split evenly when the table
-is large. Counting rows per cell is one small aggregate and gives, by running sums,
-how many rows lie before each cell. A question such as "the value of rank k" then
-concerns one cell only, and just the rows of such cells are counted value by value.
+The value line of every column is cut into *cells* at quantile edges from one sketch,
+fixed on the driver. Counting rows per cell is one small aggregate and gives, by running
+sums, how many rows lie before each cell. A question such as "the value of rank k" then
+concerns one cell only. Where cells hold many rows each is cut again into equal *parts*,
+but only the rows of the cells in question are counted by part, and only those of the
+part in question value by value.
 
 The sketch steers where the work goes, never the answer: counts are exact, so a poor
 sketch makes cells uneven but leaves results unchanged. A value that fills many rows
@@ -24,10 +25,11 @@ from pyspark.sql import types as T
 
 from tidegauge.functions.names import column, require
 from tidegauge.functions.values import nan_to_null
-from tidegauge.session import broadcast_if_small
+from tidegauge.session import broadcast_if_small, checkpointed
 
 INTERVALS = 512
 SKETCH_ACCURACY = 8 * INTERVALS
+SKETCH_GROUPS = 64
 ROWS_PER_CELL = 2_000_000
 MAX_SPLITS = 1024
 EXACT_DOUBLE = 2.0**53
@@ -53,7 +55,7 @@ class Grid:
 
     @property
     def total_cells(self) -> int:
-        return sum((len(e) + 1) * self.splits for e in self.edges)
+        return sum(len(e) + 1 for e in self.edges)
 
     def name_of(self, index: Column) -> Column:
         return F.element_at(F.array(*[F.lit(c) for c in self.columns]), index + 1)
@@ -76,16 +78,14 @@ class Grid:
 
     def value_of_cell(self, index: int, cell: int) -> float | None:
         """The value of a one-value cell, else None."""
-        interval, part = divmod(cell, self.splits)
-        value = self.edges[index][interval - 1] if interval else None
-        if part or value not in self.frequent[index] or abs(value) >= EXACT_DOUBLE:
-            return None
-        return value
+        value = self.edges[index][cell - 1] if cell else None
+        known = value in self.frequent[index] and abs(value) < EXACT_DOUBLE
+        return value if known else None
 
     def one_value_cells(self, index: int) -> list[int]:
         """Cells known to hold equal values only."""
         return [
-            (self.edges[index].index(v) + 1) * self.splits
+            self.edges[index].index(v) + 1
             for v in self.frequent[index]
             if abs(v) < EXACT_DOUBLE
         ]
@@ -110,6 +110,21 @@ def as_position(df: DataFrame, name: str) -> Column:
     return value.cast("double")
 
 
+def _merged_edges(parts: Sequence[tuple[int, Sequence[float]]], intervals: int) -> list[float]:
+    """Edges of the whole from those of its parts, each edge standing for equal rows."""
+    if len(parts) == 1:
+        return [float(e) for e in parts[0][1] if math.isfinite(e)]
+    weighted = sorted((float(e), n) for n, edges in parts for e in edges if math.isfinite(e))
+    total = sum(n for _, n in weighted)
+    merged, upto, wanted = [], 0, 1
+    for edge, n in weighted:
+        upto += n
+        while wanted < intervals and upto * intervals >= wanted * total:
+            merged.append(edge)
+            wanted += 1
+    return merged
+
+
 def build_grid(
     df: DataFrame,
     columns: Sequence[str],
@@ -117,7 +132,7 @@ def build_grid(
     rows_per_cell: int = ROWS_PER_CELL,
     intervals: int = INTERVALS,
 ) -> Grid:
-    """Fix the cells for ``columns``: one aggregate over ``df``, one row collected.
+    """Fix the cells for ``columns``: one aggregate over ``df``, its edges collected.
 
     With ``by`` the number of groups is counted as well, to bound the size of tables
     that hold cells per group.
@@ -133,19 +148,23 @@ def build_grid(
             F.expr(f"percentile_approx(v{i}, {shares}, {SKETCH_ACCURACY})").alias(f"edges{i}"),
         ]
     values = [as_position(df, name).alias(f"v{i}") for i, name in enumerate(columns)]
-    row = df.select(*values).agg(*aggregates).first()
+    # Sketches of many tasks meet in SKETCH_GROUPS reducers, not in one.
+    group = F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS))
+    parts = df.select(group.alias("part"), *values).groupBy("part").agg(*aggregates).collect()
     groups = df.select(*[column(c) for c in by]).distinct().count() if by else 1
-    edges, frequent, lows, highs, seen = [], [], [], [], []
+    edges, frequent, lows, highs, seen, counts = [], [], [], [], [], [0]
     for i in range(len(columns)):
-        found = [float(e) for e in row[f"edges{i}"] or (0.0,) if math.isfinite(e)]
+        filled = [p for p in parts if p[f"n{i}"]]
+        found = _merged_edges([(p[f"n{i}"], p[f"edges{i}"]) for p in filled], intervals)
         often = sorted({a for a, b in zip(found, found[1:]) if a == b})
         after = {math.nextafter(v, math.inf) for v in often}
         edges.append(tuple(sorted({*found, *after} or {0.0})))
         frequent.append(tuple(often))
         seen.append(len(set(found)))
-        lows.append(float(row[f"low{i}"] or 0.0))
-        highs.append(float(row[f"high{i}"] or 0.0))
-    rows = max((row[f"n{i}"] for i in range(len(columns))), default=0)
+        lows.append(min((p[f"low{i}"] for p in filled), default=0.0))
+        highs.append(max((p[f"high{i}"] for p in filled), default=0.0))
+        counts.append(sum(p[f"n{i}"] for p in filled))
+    rows = max(counts)
     splits = max(1, min(MAX_SPLITS, math.ceil(rows / (rows_per_cell * intervals))))
     return Grid(
         tuple(columns),
@@ -160,21 +179,21 @@ def build_grid(
     )
 
 
-def _cell(grid: Grid, index: int, value: Column, interval: Column) -> Column:
-    whole = interval.cast("int")
+def _part(grid: Grid, index: int, value: Column, cell: Column) -> Column:
+    """Which of the equal parts of its cell a value falls in."""
     if grid.splits == 1:
-        return whole
+        return F.lit(0)
     bounds = (grid.lows[index], *grid.edges[index], grid.highs[index])
     widths = [high - low for low, high in zip(bounds, bounds[1:])]
     scales = [grid.splits / w if 0.0 < w < math.inf else 0.0 for w in widths]
-    low = F.element_at(F.expr(doubles(bounds[:-1])), whole + 1)
-    scale = F.element_at(F.expr(doubles(scales)), whole + 1)
-    part = F.least(F.greatest(F.floor((value - low) * scale), F.lit(0)), F.lit(grid.splits - 1))
-    return (whole * grid.splits + part).cast("int")
+    low = F.element_at(F.expr(doubles(bounds[:-1])), cell + 1)
+    scale = F.element_at(F.expr(doubles(scales)), cell + 1)
+    part = F.floor((value - low) * scale)
+    return F.least(F.greatest(part, F.lit(0)), F.lit(grid.splits - 1)).cast("int")
 
 
 def with_cells(df: DataFrame, grid: Grid, keep: Sequence[Column] = ()) -> DataFrame:
-    """``keep`` columns plus ``v0, b0, v1, b1, ..``: position and cell per grid column."""
+    """``keep`` columns plus per grid column its position, cell and part: ``v0, b0, p0, ..``"""
     kept = df.select(*keep).columns
     count = len(grid.columns)
     values = [as_position(df, c).alias(f"v{i}") for i, c in enumerate(grid.columns)]
@@ -187,24 +206,46 @@ def with_cells(df: DataFrame, grid: Grid, keep: Sequence[Column] = ()) -> DataFr
     wide = splitter.transform(df.select(*keep, *values))
     cells = []
     for i in range(count):
-        value = F.col(f"v{i}")
-        cell = _cell(grid, i, value, F.col(f"i{i}"))
-        cells += [value, F.when(value.isNotNull(), cell).alias(f"b{i}")]
+        value, cell = F.col(f"v{i}"), F.col(f"i{i}").cast("int")
+        known = value.isNotNull()
+        cells += [
+            value,
+            F.when(known, cell).alias(f"b{i}"),
+            F.when(known, _part(grid, i, value, cell)).alias(f"p{i}"),
+        ]
     return wide.select(*[column(c) for c in kept], *cells)
 
 
 def long_cells(df: DataFrame, grid: Grid, keep: Sequence[Column] = ()) -> DataFrame:
-    """One row per present value: ``keep``, ``ix`` (grid column), ``value``, ``cell``."""
+    """One row per present value: ``keep``, ``ix`` (grid column), ``value``, ``cell``, ``part``."""
     kept = df.select(*keep).columns
     count = len(grid.columns)
-    parts = ", ".join(f"{i}, v{i}, b{i}" for i in range(count))
+    parts = ", ".join(f"{i}, v{i}, b{i}, p{i}" for i in range(count))
     return (
         with_cells(df, grid, keep)
-        .select(*[column(c) for c in kept], F.expr(f"stack({count}, {parts}) AS (ix, value, cell)"))
+        .select(
+            *[column(c) for c in kept],
+            F.expr(f"stack({count}, {parts}) AS (ix, value, cell, part)"),
+        )
         .filter(F.col("value").isNotNull())
     )
 
 
+def in_cells(long: DataFrame, cells: DataFrame, keys: Sequence[str], size: int | None) -> DataFrame:
+    """Rows of ``long`` that fall in ``cells``, with the columns of ``cells``.
+
+    ``size`` is the number of cells where it is known to be small; otherwise they are kept
+    in the shared folder and counted. Too many to broadcast, rows outside any of their
+    (ix, cell) are still left out before the shuffle.
+    """
+    if size is None:
+        cells = checkpointed(cells)
+        size = cells.count()
+        distinct = cells.select("ix", "cell").distinct()
+        long = long.join(F.broadcast(distinct), ["ix", "cell"], "left_semi")
+    return long.join(broadcast_if_small(cells, size, 96), list(keys))
+
+
 def _located(df: DataFrame, grid: Grid, by: Sequence[str]) -> DataFrame:
     """Rows per (``by``, ix, cell), rows ``before`` the cell, and ``total`` of the group."""
     k = [*[column(c) for c in by], F.col("ix")]
@@ -241,14 +282,34 @@ def _open_cells(df: DataFrame, grid: Grid, by: Sequence[str], targets: Sequence[
     return found.filter(F.size("asked") > 0)
 
 
-def _values_at(opened: DataFrame, keys: Sequence[str], targets: Sequence[Column]) -> DataFrame:
-    """Values at the targets, from the rows of open cells with ``before`` and ``total``."""
+def _values_at(
+    long: DataFrame,
+    grid: Grid,
+    cells: DataFrame,
+    keys: Sequence[str],
+    targets: Sequence[Column],
+    size: int | None,
+) -> DataFrame:
+    """Values at the targets, looked up in open cells (``before`` and ``total`` known).
+
+    ``before`` and ``total`` belong to the cell: as keys they keep the hash aggregate.
+    """
     k = [column(c) for c in keys]
-    # ``before`` and ``total`` belong to the cell; as keys they keep the hash aggregate.
-    values = opened.groupBy(*k, "cell", "before", "total", "value").agg(
+    opened = in_cells(long, cells, [*keys, "cell"], size)
+    if grid.splits > 1:
+        counts = opened.groupBy(*k, "cell", "part", "before", "total").agg(
+            F.count(F.lit(1)).alias("n")
+        )
+        line = Window.partitionBy(*k, "cell").orderBy("part")
+        start = F.col("before") + F.sum("n").over(line) - F.col("n")
+        parts = counts.select(*k, "cell", "part", "total", "n", start.alias("before"))
+        end = F.col("before") + F.col("n")
+        asked = parts.filter(F.size(_between(targets, F.col("before"), end)) > 0).drop("n")
+        opened = in_cells(long, asked, [*keys, "cell", "part"], size)
+    values = opened.groupBy(*k, "cell", "part", "before", "total", "value").agg(
         F.count(F.lit(1)).alias("n")
     )
-    walk = Window.partitionBy(*k, "cell").orderBy("value")
+    walk = Window.partitionBy(*k, "cell", "part").orderBy("value")
     ranked = values.withColumn("upto", F.col("before") + F.sum("n").over(walk))
     here = _between(targets, F.col("upto") - F.col("n"), F.col("upto"))
     return ranked.select(*k, "value", "total", F.explode(here).alias("t"))
@@ -280,8 +341,9 @@ def _driver_values(
         )
         # At most two cells per column and target.
         small = df.sparkSession.sql(f"SELECT * FROM VALUES {text} AS (ix, cell, before, total)")
-        opened = long_cells(df, part).join(F.broadcast(small), ["ix", "cell"])
-        for row in _values_at(opened, ["ix"], targets).select("ix", "t.qx", "value", "total").collect():
+        size = 2 * len(order) * len(targets)
+        values = _values_at(long_cells(df, part), part, small, ["ix"], targets, size)
+        for row in values.select("ix", "t.qx", "value", "total").collect():
             found[order[row["ix"]], row["qx"]] = (row["value"], row["total"])
     return found
 
@@ -348,13 +410,11 @@ def quantiles(
     grid = grid or build_grid(df, columns, by)
     keys = [*by, "ix"]
     k = [column(c) for c in keys]
-    # At most two cells per group, column and share hold the ranks asked for.
-    bound = grid.groups * len(grid.columns) * len(shares) * 2
     cells = _open_cells(df, grid, by, targets).select(*k, "cell", "before", "total")
-    opened = long_cells(df, grid, k[:-1]).join(broadcast_if_small(cells, bound), [*keys, "cell"])
+    long = long_cells(df, grid, k[:-1])
     # Two entries per share.
     found = (
-        _values_at(opened, keys, targets)
+        _values_at(long, grid, cells, keys, targets, None)
         .groupBy(*k, "total")
         .agg(F.map_from_entries(F.collect_list(F.struct("t.qx", "value"))).alias("at"))
     )
@@ -402,18 +462,30 @@ def with_rank(df: DataFrame, key: str, name: str = "rank", grid: Grid | None = N
     row = [column(c) for c in df.columns]
     marked = with_cells(df, grid, row)
     start, rows = f"{name}_start", f"{name}_rows"
-    counts = marked.filter(F.col("b0").isNotNull()).groupBy("b0").agg(F.count(F.lit(1)).alias("n"))
-    # One row per cell: the running sum stays within the size of the grid.
+    place = ["b0", "p0"]
+    counts = marked.filter(F.col("b0").isNotNull()).groupBy(*place).agg(F.count(F.lit(1)).alias("n"))
+    # Two short running sums: over the parts of a cell, then over the cells.
+    cell = Window.partitionBy("b0")
+    by_part = counts.select(
+        *place,
+        (F.sum("n").over(cell.orderBy("p0")) - F.col("n")).alias("inside"),
+        F.sum("n").over(cell).alias("cell_rows"),
+    )
     line = Window.partitionBy(F.lit(0))
-    starts = counts.select(
+    by_cell = by_part.groupBy("b0").agg(F.max("cell_rows").alias("n")).select(
         "b0",
-        (F.sum("n").over(line.orderBy("b0")) - F.col("n")).alias(start),
+        (F.sum("n").over(line.orderBy("b0")) - F.col("n")).alias("before"),
         F.sum("n").over(line).alias(rows),
     )
-    placed = marked.join(broadcast_if_small(starts, grid.total_cells, 32), "b0", "left")
-    level = F.col("b0").isin(grid.one_value_cells(0)) | F.col("b0").isNull()
+    starts = by_part.join(F.broadcast(by_cell), "b0").select(
+        *place, (F.col("before") + F.col("inside")).alias(start), rows
+    )
+    placed = marked.join(broadcast_if_small(starts, grid.total_cells * grid.splits, 40), place, "left")
+    level = F.col("b0").isNull()
+    if grid.frequent[0]:
+        level = level | F.col("b0").isin(grid.one_value_cells(0))
     spread = F.when(level, F.pmod(F.xxhash64(*row), F.lit(256))).otherwise(F.lit(0))
-    window = Window.partitionBy("b0", spread).orderBy(column(key))
+    window = Window.partitionBy(*place, spread).orderBy(column(key))
     inside = F.when(level, F.lit(0)).otherwise(F.rank().over(window) - 1)
     rank = F.when(F.col("b0").isNotNull(), F.col(start) + inside)
     return placed.select(*row, rank.cast("bigint").alias(name), F.col(rows))
