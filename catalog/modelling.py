@@ -169,6 +169,23 @@ def pipeline_fit(spark, folder):
     return round_all(model.transform(df).select("event_id", "value", "prediction"), 4)
 
 
+def pipeline_means(spark, folder):
+    """Mean prediction per category: a line with a slot per category meets the mean."""
+    roles = EVENT_ROLES
+    df = events(spark, folder)
+    scored = M.model_pipeline(roles, "linear_regression", carry=["event_type"]).fit(df).transform(df)
+    found = scored.groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("n"), F.avg("prediction").alias("mean_prediction")
+    )
+    return round_all(found)
+
+
+def linear_suite(spark, folder):
+    """Metric rows of a bare line through two features."""
+    df = events(spark, folder).select("event_id", "user_id", "k", "value")
+    return round_all(train_suite(df, "value", "event_id", ["linear_regression"]))
+
+
 def model_comparison(spark, folder):
     return round_all(
         compare_models(events(spark, folder), EVENT_ROLES, "event_id", params=SMALL), 3
@@ -222,6 +239,8 @@ QUERIES = {
     "forest_fit": forest_fit,
     "gbt_fit": gbt_fit,
     "pipeline_fit": pipeline_fit,
+    "pipeline_means": pipeline_means,
+    "linear_suite": linear_suite,
     "compare_models": model_comparison,
     "train_suite": suite,
     "grid_search": search,
@@ -302,5 +321,22 @@ SQL = {
     ),
     "feature_table": f"""WITH {EVENTS_SQL} SELECT event_id, user_id, k, value FROM e
         WHERE event_id % 7 <> 0""",
+    "pipeline_means": """SELECT event_type, COUNT(*) AS n, round(AVG(value), 6) AS mean_prediction
+        FROM events GROUP BY 1""",
+    "linear_suite": f"""WITH {EVENTS_SQL},
+        m AS (SELECT *, CASE WHEN {IS_TEST_SQL} THEN 'test' ELSE 'train' END AS split FROM e),
+        c AS (SELECT AVG(value) AS my, AVG(k) AS m1, AVG(user_id) AS m2, var_pop(k) AS v1,
+                var_pop(user_id) AS v2, covar_pop(k, user_id) AS v12, covar_pop(k, value) AS c1,
+                covar_pop(user_id, value) AS c2 FROM m WHERE split = 'train'),
+        w AS (SELECT *, (c1 * v2 - c2 * v12) / (v1 * v2 - v12 * v12) AS b1,
+                (c2 * v1 - c1 * v12) / (v1 * v2 - v12 * v12) AS b2 FROM c),
+        p AS (SELECT split, value AS y, my + b1 * (k - m1) + b2 * (user_id - m2) AS p FROM m, w),
+        g AS (SELECT split, sqrt(AVG((y - p) ** 2)) AS rmse, AVG(abs(y - p)) AS mae,
+                1 - SUM((y - p) ** 2) / (var_pop(y) * COUNT(*)) AS r2 FROM p GROUP BY 1) """
+    + " UNION ALL ".join(
+        f"""SELECT 'run' AS run, 'linear_regression' AS model, '{s}' AS split, '{m}' AS metric,
+            round({_ONE.format(m=m, s=s)}, 6) AS value"""
+        for s, m in _ROWS
+    ),
     "save_load_score": "SELECT event_id, TRUE AS same FROM events",
 }

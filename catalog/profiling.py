@@ -35,7 +35,8 @@ def describe_categorical(spark, folder):
 
 def describe_all(spark, folder):
     df = table(spark, folder, "customer").select("c_acctbal", "c_mktsegment")
-    return round_all(P.describe_all(df), 4)
+    found = P.describe_all(df)
+    return round_all(found.withColumns({c: F.col(c).cast("double") for c in ("unique", "freq")}), 4)
 
 
 def single_quantile(spark, folder):
@@ -232,12 +233,12 @@ SQL = {
             FROM (SELECT {c} AS v, COUNT(*) AS n FROM lineitem WHERE {c} IS NOT NULL GROUP BY 1)"""
         for c in ("l_returnflag", "l_linestatus")
     ),
-    "describe_all": f"""SELECT *, CAST(NULL AS BIGINT) AS "unique", CAST(NULL AS VARCHAR) AS top,
-          CAST(NULL AS BIGINT) AS freq
+    "describe_all": f"""SELECT *, CAST(NULL AS DOUBLE) AS "unique", CAST(NULL AS VARCHAR) AS top,
+          CAST(NULL AS DOUBLE) AS freq
         FROM ({_describe_sql("c_acctbal", "customer", {"p25": 0.25, "p50": 0.5, "p75": 0.75}, 4)})
         UNION ALL BY NAME
-        SELECT 'c_mktsegment' AS "column", CAST(SUM(n) AS BIGINT) AS "count", COUNT(*) AS "unique",
-          arg_min(v, (-n, v)) AS top, MAX(n) AS freq
+        SELECT 'c_mktsegment' AS "column", CAST(SUM(n) AS BIGINT) AS "count",
+          CAST(COUNT(*) AS DOUBLE) AS "unique", arg_min(v, (-n, v)) AS top, CAST(MAX(n) AS DOUBLE) AS freq
         FROM (SELECT c_mktsegment AS v, COUNT(*) AS n FROM customer GROUP BY 1)""",
     "single_quantile": """SELECT COUNT(value) AS n, round(quantile_cont(value, 0.99), 6) AS p99
         FROM events""",

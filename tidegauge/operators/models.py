@@ -8,10 +8,9 @@ from datetime import datetime, timezone
 from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
+from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,9 +31,17 @@ from tidegauge.roles import Roles
 
 FEATURES = "features"
 
-# Default settings per kind. Spark caps the depth of a tree at 30.
+# Default settings per kind. Spark caps the depth of a tree at 30. A full set
+# of category slots makes the normal equations singular; they are then solved by iteration
+# on the small aggregated system, so a tight tolerance costs no pass over the data.
 DEFAULTS = {
-    "linear_regression": {"fitIntercept": True, "solver": "normal", "regParam": 0.0},
+    "linear_regression": {
+        "fitIntercept": True,
+        "solver": "normal",
+        "regParam": 0.0,
+        "maxIter": 1000,
+        "tol": 1e-13,
+    },
     "random_forest": {
         "numTrees": 300,
         "maxDepth": 30,
@@ -240,10 +247,39 @@ def fold_scores(fold_metrics: DataFrame, metric: str = "r2") -> DataFrame:
 
 @dataclass(frozen=True)
 class SearchResult:
-    best: Model
+    """Best pipeline refitted on all rows, its settings, and the mean RMSE of each setting."""
+
+    best: PipelineModel
     best_params: dict[str, object]
     table: DataFrame
-    validator: CrossValidatorModel
+
+
+def _fold_rmse(
+    features: Pipeline,
+    regressor: Estimator,
+    maps: Sequence[dict],
+    train: DataFrame,
+    valid: DataFrame,
+    target: str,
+    prediction: str,
+    parallelism: int,
+) -> list[float]:
+    """RMSE on ``valid`` of the regressor under each setting, features fitted once."""
+    fitted = features.fit(train)
+    keep = [column(target), column(regressor.getFeaturesCol())]
+    parts = [fitted.transform(part).select(*keep).persist() for part in (train, valid)]
+
+    def one(settings: dict) -> float:
+        scored = regressor.fit(parts[0], settings).transform(parts[1])
+        return regression_metrics(scored, target, prediction).first()["rmse"]
+
+    pool = ThreadPool(max(1, min(parallelism, len(maps))))
+    try:
+        return pool.map(one, maps)
+    finally:
+        pool.close()
+        for part in parts:
+            part.unpersist()
 
 
 def grid_search(
@@ -256,30 +292,44 @@ def grid_search(
     parallelism: int = 2,
     prediction: str = "prediction",
 ) -> SearchResult:
-    """Try every combination of the last stage's settings by k-fold RMSE; refit the best."""
-    regressor = pipeline.getStages()[-1]
+    """Try every combination of the last stage's settings by k-fold RMSE; refit the best.
+
+    The settings concern the regressor only, so the stages before it are fitted once per
+    fold, not once per fold and setting.
+    """
+    *before, regressor = pipeline.getStages()
     builder = ParamGridBuilder()
     for name, values in (grid or SEARCH_GRID).items():
         builder = builder.addGrid(regressor.getParam(name), list(values))
     maps = builder.build()
-    validator = CrossValidator(
-        estimator=pipeline,
-        estimatorParamMaps=maps,
-        evaluator=RegressionEvaluator(labelCol=target, predictionCol=prediction, metricName="rmse"),
-        numFolds=k,
-        foldCol="fold",
-        parallelism=parallelism,
-    )
-    fitted = validator.fit(folds(df, key, k))
+    marked = folds(df, key, k)
+    scores = [
+        _fold_rmse(
+            Pipeline(stages=before),
+            regressor,
+            maps,
+            marked.filter(F.col("fold") != i).drop("fold"),
+            marked.filter(F.col("fold") == i).drop("fold"),
+            target,
+            prediction,
+            parallelism,
+        )
+        for i in range(k)
+    ]
     rows = [
-        ({p.name: str(v) for p, v in m.items()}, float(mean), float(std))
-        for m, mean, std in zip(maps, fitted.avgMetrics, fitted.stdMetrics)
+        ({p.name: str(v) for p, v in m.items()}, i, float(fold[j]))
+        for j, m in enumerate(maps)
+        for i, fold in enumerate(scores)
     ]
-    best = min(range(len(maps)), key=lambda i: fitted.avgMetrics[i])
-    table = df.sparkSession.createDataFrame(
-        rows, "params map<string,string>, rmse double, rmse_std double"
+    table = (
+        df.sparkSession.createDataFrame(rows, "params map<string,string>, fold int, rmse double")
+        .groupBy(F.to_json("params").alias("settings"))
+        .agg(F.avg("rmse").alias("rmse"), F.stddev_pop("rmse").alias("rmse_std"))
+        .select(F.from_json("settings", "map<string,string>").alias("params"), "rmse", "rmse_std")
     )
-    return SearchResult(fitted.bestModel, {p.name: v for p, v in maps[best].items()}, table, fitted)
+    best = min(range(len(maps)), key=lambda j: sum(fold[j] for fold in scores))
+    fitted = pipeline.copy({p: v for p, v in maps[best].items()}).fit(df)
+    return SearchResult(fitted, {p.name: v for p, v in maps[best].items()}, table)
 
 
 # --- scoring --------------------------------------------------------------------------

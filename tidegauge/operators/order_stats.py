@@ -15,8 +15,10 @@ is one row after the map-side count, and has a cell of its own.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable, Mapping, Sequence
+from bisect import bisect_right
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, replace
+from itertools import accumulate
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -271,12 +273,12 @@ def _rank_targets(places: Sequence[Column]) -> list[Column]:
     ]
 
 
-def _between(targets: Sequence[Column], start: Column, end: Column) -> Column:
-    return F.filter(F.array(*targets), lambda t: (t["rank"] >= start) & (t["rank"] < end))
+def _between(targets: Column, start: Column, end: Column) -> Column:
+    return F.filter(targets, lambda t: (t["rank"] >= start) & (t["rank"] < end))
 
 
-def _open_cells(df: DataFrame, grid: Grid, by: Sequence[str], targets: Sequence[Column]) -> DataFrame:
-    """Cells that hold a target: structs with ``rank``, which may use ``total``."""
+def _open_cells(df: DataFrame, grid: Grid, by: Sequence[str], targets: Column) -> DataFrame:
+    """Cells that hold a target: an array of structs with ``rank``, which may use ``total``."""
     end = F.col("before") + F.col("n")
     found = _located(df, grid, by).withColumn("asked", _between(targets, F.col("before"), end))
     return found.filter(F.size("asked") > 0)
@@ -287,7 +289,7 @@ def _values_at(
     grid: Grid,
     cells: DataFrame,
     keys: Sequence[str],
-    targets: Sequence[Column],
+    targets: Column,
     size: int | None,
 ) -> DataFrame:
     """Values at the targets, looked up in open cells (``before`` and ``total`` known).
@@ -316,42 +318,54 @@ def _values_at(
 
 
 def _driver_values(
-    df: DataFrame, grid: Grid, targets: Sequence[Column]
-) -> dict[tuple[int, int], tuple[float, int]]:
-    """(ix, target) -> (value, total) without groups: a few numbers on the driver.
+    df: DataFrame, grid: Grid, ranks_of: Callable[[int], Sequence[int]]
+) -> dict[int, tuple[int, list[float]]]:
+    """ix -> (rows, values at ``ranks_of(rows)``) without groups: few numbers on the driver.
 
-    A cell with one value needs no look at its rows, so the last pass reads only the
-    columns that still have a question, and only their open cells.
+    The counts per cell, at most one per interval and column, are summed up here. A cell with
+    one value needs no look at its rows, so the last pass reads only the columns that still
+    have a question, and only their open cells.
     """
-    rows = _open_cells(df, grid, [], targets).select("ix", "cell", "before", "total", "asked").collect()
-    found, questions = {}, {}
-    for row in rows:
-        single = grid.value_of_cell(row["ix"], row["cell"])
-        if single is None:
-            questions.setdefault(row["ix"], []).append((row["cell"], row["before"], row["total"]))
-            continue
-        for target in row["asked"]:
-            found[row["ix"], target["qx"]] = (single, row["total"])
+    counted = long_cells(df, grid).groupBy("ix", "cell").agg(F.count(F.lit(1)).alias("n")).collect()
+    lines: dict[int, list[tuple[int, int]]] = {}
+    for row in counted:
+        lines.setdefault(row["ix"], []).append((row["cell"], row["n"]))
+    found: dict[int, tuple[int, dict[int, float]]] = {}
+    questions: dict[int, set[tuple[int, int]]] = {}
+    for ix, line in lines.items():
+        line.sort()
+        ends = list(accumulate(n for _, n in line))
+        values: dict[int, float] = {}
+        for rank in ranks_of(ends[-1]):
+            at = bisect_right(ends, rank)
+            cell, n = line[at]
+            single = grid.value_of_cell(ix, cell)
+            if single is None:
+                questions.setdefault(ix, set()).add((cell, ends[at] - n))
+            else:
+                values[rank] = single
+        found[ix] = ends[-1], values
     if questions:
         order = sorted(questions)
         part = grid.only(order)
-        cells = {i: questions[ix] for i, ix in enumerate(order)}
-        text = ", ".join(
-            f"({i}, {cell}, {before}L, {total}L)" for i, c in cells.items() for cell, before, total in c
-        )
-        # At most two cells per column and target.
+        rows = [(i, cell, before) for i, ix in enumerate(order) for cell, before in sorted(questions[ix])]
+        wanted = {i: sorted(set(ranks_of(found[ix][0]))) for i, ix in enumerate(order)}
+        # At most a cell per column and rank.
+        text = ", ".join(f"({i}, {cell}, {before}L, {found[order[i]][0]}L)" for i, cell, before in rows)
         small = df.sparkSession.sql(f"SELECT * FROM VALUES {text} AS (ix, cell, before, total)")
-        size = 2 * len(order) * len(targets)
-        values = _values_at(long_cells(df, part), part, small, ["ix"], targets, size)
-        for row in values.select("ix", "t.qx", "value", "total").collect():
-            found[order[row["ix"]], row["qx"]] = (row["value"], row["total"])
-    return found
+        lists = ", ".join("array(" + ", ".join(f"{r}L" for r in wanted[i]) + ")" for i in range(len(order)))
+        ranks = F.transform(
+            F.element_at(F.expr(f"array({lists})"), F.col("ix") + 1), lambda r: F.struct(r.alias("rank"))
+        )
+        values = _values_at(long_cells(df, part), part, small, ["ix"], ranks, len(rows))
+        for row in values.select("ix", "t.rank", "value").collect():
+            found[order[row["ix"]]][1][row["rank"]] = row["value"]
+    return {ix: (rows, [values[r] for r in ranks_of(rows)]) for ix, (rows, values) in found.items()}
 
 
-def _checked(shares: Mapping[str, float]) -> list[Column]:
+def _check(shares: Mapping[str, float]) -> None:
     if not shares or any(not 0.0 <= q <= 1.0 for q in shares.values()):
         raise ValueError("quantile shares must lie in [0, 1]")
-    return [(F.col("total") - 1) * F.lit(float(share)) for share in shares.values()]
 
 
 def _interpolated(low: float, high: float, place: float) -> float:
@@ -361,16 +375,17 @@ def _interpolated(low: float, high: float, place: float) -> float:
 def _global_quantiles(
     df: DataFrame, columns: Sequence[str], shares: Mapping[str, float], grid: Grid | None
 ) -> dict[str, tuple[int, dict[str, float]]]:
-    targets = _rank_targets(_checked(shares))
+    _check(shares)
     grid = grid or build_grid(df, columns)
-    found = _driver_values(df, grid, targets)
+
+    def around(rows: int) -> list[int]:
+        places = [(rows - 1) * float(q) for q in shares.values()]
+        return [rank for place in places for rank in (math.floor(place), math.ceil(place))]
+
     result = {}
-    for ix, name in enumerate(grid.columns):
-        if (ix, 0) not in found:
-            continue
-        total = found[ix, 0][1]
-        result[name] = total, {
-            label: _interpolated(found[ix, 2 * i][0], found[ix, 2 * i + 1][0], (total - 1) * float(q))
+    for ix, (rows, values) in _driver_values(df, grid, around).items():
+        result[grid.columns[ix]] = rows, {
+            label: _interpolated(values[2 * i], values[2 * i + 1], (rows - 1) * float(q))
             for i, (label, q) in enumerate(shares.items())
         }
     return result
@@ -403,8 +418,9 @@ def quantiles(
         ]
         fields = ", ".join(f"`{s}` double" for s in shares)
         return df.sparkSession.createDataFrame(rows, f"column string, n bigint, {fields}")
-    places = _checked(shares)
-    targets = _rank_targets(places)
+    _check(shares)
+    places = [(F.col("total") - 1) * F.lit(float(q)) for q in shares.values()]
+    targets = F.array(*_rank_targets(places))
     by = list(by)
     df = df.dropna(subset=by)
     grid = grid or build_grid(df, columns, by)
@@ -435,12 +451,8 @@ def values_at_ranks(
     df: DataFrame, key: str, ranks: Sequence[int], grid: Grid | None = None
 ) -> list[float]:
     """Positions (see ``as_position``) of ``key`` at some 0-based ranks, on the driver."""
-    targets = [
-        F.struct(F.lit(i).alias("qx"), F.lit(r).cast("bigint").alias("rank"))
-        for i, r in enumerate(ranks)
-    ]
-    found = _driver_values(df, grid or build_grid(df, [key]), targets)
-    return [found[0, i][0] for i in range(len(ranks))]
+    found = _driver_values(df, grid or build_grid(df, [key]), lambda rows: ranks)
+    return found[0][1]
 
 
 def nth_row(df: DataFrame, key: str, position: int) -> DataFrame:

@@ -13,13 +13,14 @@ from tidegauge.operators.models import (
     FEATURES,
     assembled,
     build_model,
-    model_pipeline,
+    feature_stages,
+    preprocessor_stages,
     save_model,
 )
 from tidegauge.operators.quality import split_metrics
 from tidegauge.operators.split import hash_split
 from tidegauge.roles import Roles
-from tidegauge.sources.tables import append_metrics, feature_table
+from tidegauge.sources.tables import METRIC_SCHEMA, append_metrics, feature_table
 
 # The kinds of a full comparison.
 ALL_KINDS = ("random_forest", "linear_regression", "boosted_trees")
@@ -59,24 +60,42 @@ def compare_models(
     share: float = 0.2,
     seed: int = 42,
 ) -> DataFrame:
-    """Metric rows of full pipelines, one per kind, on the same hash split."""
-    marked = hash_split(df, key, share, seed).persist()
-    rows = None
+    """Metric rows of full pipelines, one per kind, on the same hash split.
+
+    The kinds share their features, which are fitted once on the train rows.
+    """
+    marked = hash_split(df, key, share, seed)
+    stages = [*feature_stages(roles), *preprocessor_stages(roles, carry=["split", roles.target])]
+    prepared = Pipeline(stages=stages).fit(marked.filter(F.col("split") == "train"))
+    vectors = prepared.transform(marked).select("split", column(roles.target), FEATURES).persist()
     try:
-        for kind in kinds:
-            pipeline = model_pipeline(
-                roles, kind, (params or {}).get(kind), carry=["split", roles.target]
-            )
-            _, scored = scored_split(pipeline, marked, roles.target, roles.prediction)
-            metrics = as_metric_rows(
-                split_metrics(scored, roles.target, roles.prediction), run, kind
-            )
-            rows = metrics if rows is None else rows.unionByName(metrics)
+        rows, _ = _fit_kinds(vectors, roles.target, kinds, params, run, roles.prediction)
     finally:
-        marked.unpersist()
+        vectors.unpersist()
     return rows
 
 
+def _fit_kinds(
+    vectors: DataFrame,
+    target: str,
+    kinds: Sequence[str],
+    params: Mapping[str, Mapping] | None,
+    run: str,
+    prediction: str = "prediction",
+) -> tuple[DataFrame, dict[str, Model]]:
+    """Fit each kind on the train vectors; metric rows of all, and the models.
+
+    The metrics are computed here, while the vectors are at hand: a few rows per kind.
+    """
+    estimators = {k: build_model(k, target, (params or {}).get(k), prediction=prediction) for k in kinds}
+    models, found = {}, []
+    for kind, estimator in estimators.items():
+        models[kind], scored = scored_split(Pipeline(stages=[estimator]), vectors, target, prediction)
+        metrics = split_metrics(scored, target, prediction)
+        found += [tuple(r) for r in as_metric_rows(metrics, run, kind).collect()]
+    return vectors.sparkSession.createDataFrame(found, METRIC_SCHEMA), models
+
+
 def train_suite(
     features: DataFrame,
     target: str,
@@ -95,17 +114,13 @@ def train_suite(
     names = numeric_columns(table, [target, key])
     marked = hash_split(table, key)
     vectors = assembled(marked, names, carry=[target, "split"], output=FEATURES).persist()
-    rows = None
     try:
-        for kind in kinds:
-            pipeline = Pipeline(stages=[build_model(kind, target, (params or {}).get(kind))])
-            model, scored = scored_split(pipeline, vectors, target)
-            metrics = as_metric_rows(split_metrics(scored, target, "prediction"), run, kind)
-            rows = metrics if rows is None else rows.unionByName(metrics)
-            if model_path:
-                save_model(model, f"{model_path.rstrip('/')}/{kind}")
-        if metrics_path:
-            append_metrics(rows, metrics_path)
+        rows, models = _fit_kinds(vectors, target, kinds, params, run)
     finally:
         vectors.unpersist()
+    if model_path:
+        for kind, model in models.items():
+            save_model(model, f"{model_path.rstrip('/')}/{kind}")
+    if metrics_path:
+        append_metrics(rows, metrics_path)
     return rows
