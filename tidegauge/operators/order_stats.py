@@ -94,9 +94,10 @@ class Grid:
 
 
 def doubles(values: Iterable[float]) -> str:
-    """SQL text of an array of doubles: parsed in one step, unlike one literal each."""
-    named = {math.inf: "double('inf')", -math.inf: "double('-inf')"}
-    return "array(" + ", ".join(named.get(v) or f"{v!r}D" for v in values) + ")"
+    """SQL text of a constant array of doubles: one literal, however many values."""
+    named = {math.inf: "Infinity", -math.inf: "-Infinity"}
+    text = ",".join(named.get(v) or repr(float(v)) for v in values)
+    return f"CAST(split('{text}', ',') AS ARRAY<DOUBLE>)"
 
 
 def as_position(df: DataFrame, name: str) -> Column:
