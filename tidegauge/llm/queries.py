@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
-from tidegauge.llm import exact_stream, packing, reshard, url_filter
+from tidegauge.llm import exact_stream, license_scan, packing, reshard, substring, toxicity, url_filter
 
 QUERIES = {
+    "op2_substring_dedup": substring.op2_substring_dedup,
     "op4_reshard": reshard.op4_reshard,
+    "op5_license_scan": license_scan.op5_license_scan,
+    "op7_toxicity": toxicity.op7_toxicity,
     "op8_packing": packing.op8_packing,
     "op9_exact_dedup": exact_stream.op9_exact_dedup,
     "op10_url_filter": url_filter.op10_url_filter,
 }
-SQL = {"op9_exact_dedup": exact_stream.SQL}
+SQL = {
+    "op2_substring_dedup": substring.SQL,
+    "op5_license_scan": license_scan.SQL,
+    "op9_exact_dedup": exact_stream.SQL,
+}

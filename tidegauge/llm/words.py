@@ -75,6 +75,7 @@ class Words:
     starts: np.ndarray
     ends: np.ndarray
     first: np.ndarray
+    bounds: np.ndarray  # bytes of each row
 
     @property
     def rows(self) -> int:
@@ -116,7 +117,7 @@ def split(texts: pa.Array, separators: np.ndarray, lower: bool) -> Iterator[Word
         begin[bounds[:-1][full]] = inside[bounds[:-1][full]]
         last[bounds[1:][full] - 1] = inside[bounds[1:][full] - 1]
         starts = np.flatnonzero(begin)
-        yield Words(row, data, starts, np.flatnonzero(last) + 1, np.searchsorted(starts, bounds))
+        yield Words(row, data, starts, np.flatnonzero(last) + 1, np.searchsorted(starts, bounds), bounds)
         row = stop
 
 
