@@ -82,15 +82,15 @@ def boundaries(histogram: dict[int, int], buckets: int) -> list[int]:
 
 def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", buckets: int = BUCKETS, budget: int = BUDGET) -> DataFrame:
     """One row per document: key, n_tokens, bucket, bucket_tokens, batch, slot, padding."""
-    spark = docs.sparkSession
     rows = docs.select(F.col(key), tokens(F.col(text)).alias("n_tokens"))
     rows = written(rows.withColumn("_length", coarse(F.col("n_tokens"))), "lengths")
     histogram = {r["_length"]: r["count"] for r in rows.groupBy("_length").count().collect()}
     ends = boundaries(histogram, buckets)
-    # One row per bucket.
-    table = [(i, 0 if not i else ends[i - 1], end, max(1, budget // end)) for i, end in enumerate(ends)]
-    table = spark.createDataFrame(table, "bucket int, _above long, bucket_tokens long, _capacity long")
-    placed = rows.join(F.broadcast(table), (F.col("_length") > F.col("_above")) & (F.col("_length") <= F.col("bucket_tokens")))
+    # A bucket's number is how many buckets end below the length.
+    upper = F.array(*[F.lit(end) for end in ends]) if ends else F.array().cast("array<bigint>")
+    placed = rows.withColumn("bucket", F.size(F.filter(upper, lambda end: end < F.col("_length"))))
+    placed = placed.withColumn("bucket_tokens", F.get(upper, F.col("bucket")))
+    placed = placed.withColumn("_capacity", F.greatest(F.lit(1), F.floor(F.lit(budget) / F.col("bucket_tokens"))))
     most = max((sum(c for v, c in histogram.items() if bisect_left(ends, v) == i) for i in range(len(ends))), default=0)
     at = running(placed, "bucket", [key, "n_tokens"], F.lit(1).cast("long"), most, "_at")
     return at.select(

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tidegauge.llm import exact_stream, license_scan, packing, reshard, substring, toxicity, url_filter
+from tidegauge.llm import exact_stream, jaccard, license_scan, packing, reshard, substring, toxicity, url_filter
 
 QUERIES = {
     "op2_substring_dedup": substring.op2_substring_dedup,
+    "op3_jaccard_join": jaccard.op3_jaccard_join,
     "op4_reshard": reshard.op4_reshard,
     "op5_license_scan": license_scan.op5_license_scan,
     "op7_toxicity": toxicity.op7_toxicity,
@@ -15,6 +16,7 @@ QUERIES = {
 }
 SQL = {
     "op2_substring_dedup": substring.SQL,
+    "op3_jaccard_join": jaccard.SQL,
     "op5_license_scan": license_scan.SQL,
     "op9_exact_dedup": exact_stream.SQL,
 }
