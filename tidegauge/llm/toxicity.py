@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from tidegauge.llm.automata import Automaton, determinise, run
 from tidegauge.llm.store import written
-from tidegauge.llm.words import MARKS, Words, mix, spans, split
+from tidegauge.llm.words import MARKS, Words, long_column, mix, spans, split
 from tidegauge.llm.words import _CODE as CODES
 
 #: Most labelled documents that the lexicon and the model are fitted on, taken by a hash.
@@ -74,6 +74,44 @@ def candidate_counts(docs: DataFrame) -> DataFrame:
     return counts.groupBy("term", "stem").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
 
 
+def context_counts(docs: DataFrame, terms: list[tuple[bytes, bool]]) -> dict[int, tuple[int, int]]:
+    """For each term (by place): distinct neighbourhoods in clean and in toxic documents.
+
+    A document and its near copies have the same neighbourhoods, so a text that was copied
+    often does not make its words look toxic.
+    """
+    code_of = lambda t: spans(CODES[np.frombuffer(t, np.uint8)], np.array([0]), np.array([len(t)]))[0]
+    known: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    for length in (*STEMS, 0):
+        own = [(code_of(t), k) for k, (t, stem) in enumerate(terms) if (len(t) if stem else 0) == length]
+        known[length] = tuple(np.array(x, dtype=kind) for x, kind in zip(zip(*sorted(own), strict=True), (np.uint64, np.int64), strict=True)) if own else None
+
+    def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            toxic = batch.column(1).to_numpy(zero_copy_only=False)
+            for words in split(batch.column(0), MARKS, lower=True):
+                row, size, code = words.row_of(), words.ends - words.starts, words.hashes()
+                before = np.concatenate((np.zeros(1, np.uint64), code))[:-1] * (np.arange(len(code)) != words.first[row])
+                after = np.concatenate((code, np.zeros(1, np.uint64)))[1:] * (np.arange(len(code)) + 1 != words.first[row + 1])
+                around = mix(mix(before.astype(np.uint64)) ^ after.astype(np.uint64))
+                for length, own in known.items():
+                    if own is None:
+                        continue
+                    use = np.flatnonzero(size > length) if length else np.arange(len(code))
+                    part = spans(CODES[words.data], words.starts[use], words.starts[use] + length) if length else code
+                    at = np.minimum(np.searchsorted(own[0], part), len(own[0]) - 1)
+                    hit = own[0][at] == part
+                    use, at = use[hit], at[hit]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(own[1][at]), long_column(around[use]), pa.array(toxic[words.row0 + row[use]].astype(np.int64))], names=["term", "around", "toxic"]
+                    )
+
+    rows = docs.select("text", "toxic").mapInArrow(met, "term long, around long, toxic long").distinct()
+    counts = rows.groupBy("term").agg(F.sum("toxic").alias("toxic"), F.count("*").alias("n"))
+    # One row per term.
+    return {r["term"]: (r["n"] - r["toxic"], r["toxic"]) for r in counts.collect()}
+
+
 def learn_lexicon(docs: DataFrame) -> list[tuple[bytes, bool]]:
     """Terms (bytes, is it a stem) that mark toxic documents. ``docs`` is the bounded sample."""
     total = {r["toxic"]: r["count"] for r in docs.groupBy("toxic").count().collect()}
@@ -86,14 +124,18 @@ def learn_lexicon(docs: DataFrame) -> list[tuple[bytes, bool]]:
 
     def surprise(clean: int, toxic: int) -> float:
         n = clean + toxic
-        p = toxic / n
+        p = toxic / n if n else 0.0
+        if p <= share:
+            return 0.0
         return n * (p * math.log(p / share) + ((1 - p) * math.log((1 - p) / (1 - share)) if p < 1 else 0.0))
 
     least = math.log(max(len(rows), 1000) / CHANCE)
-    found = sorted(((surprise(c, t), len(w), w, stem) for w, stem, c, t in rows if surprise(c, t) >= least), reverse=True)
+    rows = [r for r in rows if surprise(r[2], r[3]) >= least]
+    seen = context_counts(docs, [(w, stem) for w, stem, _, _ in rows])
+    scores = [(surprise(*seen.get(k, (0, 0))), len(w), w, stem) for k, (w, stem, _, _) in enumerate(rows)]
     terms: list[tuple[bytes, bool]] = []
-    for _, _, word, stem in found:
-        if not any(word.startswith(t) or t.startswith(word) for t, _ in terms):
+    for found, _, word, stem in sorted(scores, reverse=True):
+        if found >= least and not any(word.startswith(t) or t.startswith(word) for t, _ in terms):
             terms.append((word, stem))
     return terms
 
