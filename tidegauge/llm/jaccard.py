@@ -301,6 +301,16 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = WO
     )
 
 
+def kept(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """One document of each group, that with the smallest id; the columns stay as they are.
+
+    Rows with a null id, and rows that share an id, stay if their group's smallest id is theirs.
+    """
+    gone = groups(docs, key, text, n, percent).filter("not (component_id <=> " + key + ")").select(F.col(key).alias("_gone")).distinct()
+    gone = checkpointed(gone)
+    return docs.join(broadcast_if_small(gone, gone.count(), 16), F.col(key).eqNullSafe(F.col("_gone")), "left_anti")
+
+
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of ``documents``: 4-word shingles, similarity 0.85."""
     return groups(spark.read.parquet(f"{sf_dir}/documents.parquet"))

@@ -2,18 +2,40 @@
 
 from __future__ import annotations
 
-from tidegauge.llm import exact_stream, jaccard, license_scan, packing, reshard, substring, toxicity, url_filter
+from tidegauge.llm import (
+    decontam,
+    exact_stream,
+    jaccard,
+    license_scan,
+    packing,
+    quality,
+    reshard,
+    substring,
+    toxicity,
+    url_filter,
+)
+
+def _ready(query):
+    def ready(spark, sf_dir):
+        findable(spark)
+        return query(spark, sf_dir)
+
+    return ready
+
 
 QUERIES = {
+    "op1_quality": quality.op1_quality,
     "op2_substring_dedup": substring.op2_substring_dedup,
     "op3_jaccard_join": jaccard.op3_jaccard_join,
     "op4_reshard": reshard.op4_reshard,
     "op5_license_scan": license_scan.op5_license_scan,
+    "op6_decontamination": decontam.op6_decontamination,
     "op7_toxicity": toxicity.op7_toxicity,
     "op8_packing": packing.op8_packing,
     "op9_exact_dedup": exact_stream.op9_exact_dedup,
     "op10_url_filter": url_filter.op10_url_filter,
 }
+QUERIES = {name: _ready(query) for name, query in QUERIES.items()}
 SQL = {
     "op2_substring_dedup": substring.SQL,
     "op3_jaccard_join": jaccard.SQL,

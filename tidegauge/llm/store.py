@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +11,18 @@ from pyspark.sql import functions as F
 from tidegauge.llm.words import UPPER
 from tidegauge.session import checkpointed, shared_folder
 
-__all__ = ["checkpointed", "folder", "lowered", "written"]
+__all__ = ["checkpointed", "findable", "folder", "lowered", "written"]
+
+
+def findable(spark: SparkSession) -> None:
+    """Let Python workers on this machine import the package from any working directory.
+
+    A cluster gets it as any Python dependency, for example by ``--py-files``.
+    """
+    root = str(Path(__file__).resolve().parents[2])
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in paths.split(":"):
+        spark.sparkContext.environment["PYTHONPATH"] = f"{root}:{paths}".rstrip(":")
 
 
 def folder(spark: SparkSession, name: str) -> str:
