@@ -128,15 +128,14 @@ def kept(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     found = copies(docs, key, text).groupBy(F.col("doc").alias("_doc"), F.col("digest").alias("_digest"))
     pairs = found.agg(F.count("*").alias("_rows"), F.max(F.col("row") == F.col("keep.row")).alias("_stays"))
     pairs = checkpointed(pairs.filter("_rows > 1 or not _stays"))
-    marked = docs.withColumn("_digest", sha256(lowered(F.col(text))))
-    marked = marked.withColumnRenamed(key, "_key").join(
-        pairs.withColumnRenamed("_digest", "_of"), F.col("_key").eqNullSafe(F.col("_doc")) & (F.col("_digest") == F.col("_of")), "left"
-    ).withColumnRenamed("_key", key)
-    once = marked.filter("_stays is null").select(docs.columns)
+    # Rows travel as one struct, so that no name of theirs can clash.
+    marked = docs.select(F.struct(*docs.columns).alias("_whole"), F.col(key).alias("_key"), sha256(lowered(F.col(text))).alias("_of"))
+    marked = marked.join(pairs, F.col("_key").eqNullSafe(F.col("_doc")) & (F.col("_of") == F.col("_digest")), "left")
+    once = marked.filter("_stays is null").select("_whole.*")
     if pairs.filter("_stays").isEmpty():
         return once
     # Rows repeated with their id: one of them stays. They merge before the shuffle.
-    again = marked.filter("_stays").groupBy("_doc", "_of").agg(F.first(F.struct(*docs.columns)).alias("_whole"))
+    again = marked.filter("_stays").groupBy("_doc", "_digest").agg(F.first("_whole").alias("_whole"))
     return once.unionByName(again.select("_whole.*"))
 
 

@@ -292,12 +292,16 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = WO
     rows = docs.select(F.col(key).alias("doc"), F.col(text).alias("text"))
     made = written(sets(rows, n, percent), "sets")
     labels = components(links(made.filter("node is not null"), rows, n, percent))
-    placed = made.select("doc", "size", "node").join(labels, "node", "left").withColumn("group", F.coalesce("component", "node"))
-    least = placed.groupBy("group").agg(F.min("doc").alias("least")).filter("group is not null")
-    return placed.join(least, "group", "left").select(
+    first = made.filter("node is not null").groupBy("node").agg(F.min("doc").alias("first"))
+    linked = labels.join(first, "node")
+    least = checkpointed(linked.groupBy("component").agg(F.min("first").alias("least")))
+    least = labels.join(least, "component").select("node", "least")
+    # Stored, so that the last join is a plain one, whose large sides Spark can split.
+    least = written(first.join(least, "node", "left").select("node", F.coalesce("least", "first").alias("least")), "least")
+    return made.select("doc", "size", "node").join(least, "node", "left").select(
         F.col("doc").alias(key),
         F.col("size").alias("n_shingles"),
-        F.when(F.col("group").isNull(), F.col("doc")).otherwise(F.col("least")).alias("component_id"),
+        F.when(F.col("node").isNull(), F.col("doc")).otherwise(F.col("least")).alias("component_id"),
     )
 
 
@@ -308,7 +312,9 @@ def kept(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = WORD
     """
     gone = groups(docs, key, text, n, percent).filter("not (component_id <=> " + key + ")").select(F.col(key).alias("_gone")).distinct()
     gone = checkpointed(gone)
-    return docs.join(broadcast_if_small(gone, gone.count(), 16), F.col(key).eqNullSafe(F.col("_gone")), "left_anti")
+    whole = docs.select(F.struct(*docs.columns).alias("_whole"), F.col(key).alias("_key"))
+    stay = whole.join(broadcast_if_small(gone, gone.count(), 16), F.col("_key").eqNullSafe(F.col("_gone")), "left_anti")
+    return stay.select("_whole.*")
 
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

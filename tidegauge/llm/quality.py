@@ -253,7 +253,8 @@ def scorer(docs: DataFrame, model, text: str = "text"):
 def kept(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality") -> DataFrame:
     """``docs`` without those below ``KEEP``; the columns stay as they are."""
     model = co_train(stored_views(docs, labels, key, text, label))
-    return docs.withColumn("_score", scorer(docs, model, text)).filter(F.col("_score") >= KEEP).select(docs.columns)
+    scored = docs.select(F.struct(*docs.columns).alias("_whole"), scorer(docs, model, text).alias("_score"))
+    return scored.filter(F.col("_score") >= KEEP).select("_whole.*")
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,6 +14,8 @@ from tidegauge.llm import (
     toxicity,
     url_filter,
 )
+from tidegauge.llm.store import findable
+
 
 def _ready(query):
     def ready(spark, sf_dir):
