@@ -297,8 +297,9 @@ def _psi_sql(names: list[str], by: str = "") -> str:
         key = f"{by}, " if by else ""
         parts.append(
             f"""SELECT {key}'{c}' AS "column", round(SUM((x - y) * ln(x / y)), 6) AS psi,
-              CAST(MAX(nr) AS BIGINT) AS n_reference, CAST(MAX(nc) AS BIGINT) AS n_current
-            FROM (SELECT {key}nr, nc, (CASE WHEN a = 0 THEN 1e-6 ELSE a END) / nr AS x,
+              CAST(MAX(nr) AS BIGINT) AS n_reference, CAST(MAX(nc) AS BIGINT) AS n_current,
+              CAST(MAX(total) - MAX(nc) AS BIGINT) AS n_outside
+            FROM (SELECT {key}nr, nc, total, (CASE WHEN a = 0 THEN 1e-6 ELSE a END) / nr AS x,
                     (CASE WHEN c = 0 THEN 1e-6 ELSE c END) / nc AS y
               FROM (SELECT *, SUM(a) OVER ({f"PARTITION BY {by}" if by else ""}) AS nr,
                       SUM(c) OVER ({f"PARTITION BY {by}" if by else ""}) AS nc
@@ -306,7 +307,8 @@ def _psi_sql(names: list[str], by: str = "") -> str:
                         (SELECT COUNT(*) FROM e WHERE NOT ({_LATER}) AND {c} >= lo
                            AND ({c} < hi OR (last AND {c} <= hi))) AS a,
                         (SELECT COUNT(*) FROM e WHERE {_LATER} {f"AND e.{by} = g.{by}" if by else ""}
-                           AND {c} >= lo AND ({c} < hi OR (last AND {c} <= hi))) AS c
+                           AND {c} >= lo AND ({c} < hi OR (last AND {c} <= hi))) AS c,
+                        (SELECT COUNT({c}) FROM e WHERE {_LATER} {f"AND e.{by} = g.{by}" if by else ""}) AS total
                       FROM (SELECT lo, lead(lo) OVER (ORDER BY lo) AS hi,
                               lead(lo, 2) OVER (ORDER BY lo) IS NULL AS last
                             FROM (SELECT DISTINCT unnest(quantile_cont({c},
@@ -405,7 +407,7 @@ SQL = {
         FROM events
         WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT MAX(ts) - INTERVAL 2 HOUR FROM events)
         GROUP BY 1""",
-    "stream_monitor": f"""SELECT "column", psi, n_reference, n_current, psi > 0.2 AS drifted,
+    "stream_monitor": f"""SELECT "column", psi, n_reference, n_current, n_outside, psi > 0.2 AS drifted,
           (psi > 0.2)::INTEGER::DOUBLE AS share,
           CASE WHEN psi > 0.2 THEN 'critical' ELSE 'ok' END AS tier FROM ({_psi_sql(["value"])})""",
 }

@@ -12,6 +12,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 SERIES_TERMS = 100
+# Beyond so many degrees of freedom the finite sum gives way to an expansion of fixed length.
+LONG_SUM = 2_000
 
 
 def kolmogorov_p(distance: Column, n: Column, m: Column) -> Column:
@@ -49,15 +51,30 @@ def _erfc_sqrt(x: Column) -> Column:
     return F.when(x < 25.0, near).otherwise(far)
 
 
+def _gamma_tail(a: Column, x: Column) -> Column:
+    """Q(a, x) for large ``a``: erfc(eta sqrt(a / 2)) / 2 plus its first correction.
+
+    eta^2 / 2 = m - ln(1 + m) with m = x / a - 1; near m = 0 by its series.
+    """
+    m = x / a - 1.0
+    half = F.when(F.abs(m) < 1e-3, m * m / 2 - m * m * m / 3 + m * m * m * m / 4).otherwise(m - F.log1p(m))
+    eta = F.signum(m) * F.sqrt(2.0 * half)
+    side = _erfc_sqrt(a * half) / 2.0
+    main = F.when(m < 0, 1.0 - side).otherwise(side)
+    first = F.when(F.abs(m) < 1e-3, -1.0 / 3.0 + eta / 12.0).otherwise(1.0 / m - 1.0 / eta)
+    return main + F.exp(-a * half) / F.sqrt(F.lit(2.0 * pi) * a) * first
+
+
 def chi_squared_p(statistic: Column, freedom: Column) -> Column:
     """P(X >= statistic) for a chi-squared variable with whole ``freedom``.
 
     Finite sum of positive terms, each built in logs: sum x^i e^-x / Gamma(i + 1) over
-    i = 0, 1, .. for even freedom, and erfc plus the half-integer terms for odd.
+    i = 0, 1, .. for even freedom, and erfc plus the half-integer terms for odd. Above
+    ``LONG_SUM`` degrees, the uniform expansion of the incomplete gamma function.
     """
     x = statistic / 2.0
     odd = freedom % 2
-    terms = ((freedom - odd) / 2).cast("int")
+    terms = F.when(freedom <= LONG_SUM, (freedom - odd) / 2).otherwise(0).cast("int")
 
     def tail(shift: float) -> Column:
         logs = F.when(
@@ -77,7 +94,8 @@ def chi_squared_p(statistic: Column, freedom: Column) -> Column:
         )
         return F.coalesce(logs, F.lit(0.0))
 
-    value = F.when(odd == 0, tail(0.0)).otherwise(_erfc_sqrt(x) + tail(0.5))
+    value = F.when(freedom > LONG_SUM, _gamma_tail(freedom / 2.0, x))
+    value = value.when(odd == 0, tail(0.0)).otherwise(_erfc_sqrt(x) + tail(0.5))
     return (
         F.when(statistic.isNull() | freedom.isNull(), None)
         .when((freedom < 1) | (statistic <= 0), F.lit(1.0))

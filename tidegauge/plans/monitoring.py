@@ -20,6 +20,7 @@ from tidegauge.operators.drift import (
     psi_against,
 )
 from tidegauge.operators.quality import long_metrics, performance
+from tidegauge.session import checkpointed
 from tidegauge.sources.tables import read_table
 
 
@@ -42,11 +43,10 @@ class Monitor:
         time: str = "date",
         numeric: Sequence[str] | None = None,
         categorical: Sequence[str] | None = None,
-        max_columns: int | None = None,
         alpha: float = ALPHA,
     ) -> "Monitor":
         """Watch the given columns, or all by type but target, prediction and time."""
-        found = monitored_columns(reference, target, prediction, time, max_columns)
+        found = monitored_columns(reference, target, prediction, time)
         chosen = (found[0] if numeric is None else numeric, found[1] if categorical is None else categorical)
         return Monitor(reference, target, tuple(chosen[0]), tuple(chosen[1]), prediction, alpha)
 
@@ -61,16 +61,12 @@ class Monitor:
         return build_profile(self.reference, self.numeric, buckets)
 
     def columns(self, current: DataFrame, only: Sequence[str] | None = None) -> DataFrame:
-        """Drift per watched column that the current table has."""
-        wanted = [c for c in (*self.numeric, *self.categorical) if only is None or c in only]
-        here = [c for c in wanted if c in current.columns]
-        return column_drift(
-            self.reference,
-            current,
-            [c for c in here if c in self.numeric],
-            [c for c in here if c in self.categorical],
-            alpha=self.alpha,
-        )
+        """Drift per watched column; a watched column that the current table lacks is an error.
+
+        The rows are stored: reports read them more than once.
+        """
+        numeric, categorical = ([c for c in own if only is None or c in only] for own in (self.numeric, self.categorical))
+        return checkpointed(column_drift(self.reference, current, numeric, categorical, alpha=self.alpha))
 
     def drift_report(self, current: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Summary row with its time, and the rows per column."""

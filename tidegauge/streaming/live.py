@@ -43,7 +43,10 @@ def stream_rollup(
 
 def monitor_batch(batch: DataFrame, profile: Profile, limit: float = PSI_LIMIT) -> DataFrame:
     """Stability index per column of one micro-batch, with the verdict of the batch."""
-    rows = psi_against(profile, batch).withColumn("drifted", F.col("psi") > limit)
+    rows = psi_against(profile, batch)
+    # Values where the reference had none are drift; a column without any value has vanished.
+    known = F.coalesce(F.col("psi") > limit, (F.col("n_reference") > 0) | (F.col("n_outside") > 0))
+    rows = rows.withColumn("drifted", known)
     # One row per watched column.
     share = F.avg(F.col("drifted").cast("int")).over(Window.partitionBy(F.lit(0)))
     return rows.withColumn("share", share).withColumn("tier", alert_tier(F.col("share")))
