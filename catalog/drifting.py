@@ -7,8 +7,10 @@ from uuid import uuid4
 from pyspark.sql import functions as F
 
 from catalog.inputs import EVENTS_SQL, HALF, SHIP_SPLIT, events, round_all, table
+from tidegauge.functions.names import find_target, first_time_column
 from tidegauge.operators import drift as D
 from tidegauge.operators import scenario as S
+from tidegauge.operators.order_stats import with_rank
 from tidegauge.operators.profile import histogram
 from tidegauge.operators.quality import degradation, performance
 from tidegauge.plans.monitoring import Monitor
@@ -127,24 +129,55 @@ def shift_scale(spark, folder):
     return round_all(S.shift_scale(df, {"value": (1.5, 0.0), "k": (1.0, -3.5)}))
 
 
-def spread(spark, folder):
-    df = events(spark, folder).select("event_id", "value", "k")
-    return round_all(S.spread_about_mean(df, {"value": (1.25, 0.5), "k": (0.9, -0.5)}))
-
-
 def masked(spark, folder):
     df = events(spark, folder).select("event_id", "value", "k")
     return S.mask_share(df, "k", "event_id", 0.15, seed=7)
 
 
-def ramped(spark, folder):
-    df = events(spark, folder).select("event_id", "ts", "value")
-    return round_all(S.ramp(df, {"value": 20.0}, "ts").drop("ts"))
+def _partial(spark, folder):
+    """Both halves with columns that miss values, are constant, or lie far away, by a rule."""
+    before, after = _months(spark, folder)
+    one = F.lit(3.0)
+    return (
+        before.select("k", "event_type", F.lit(None).cast("double").alias("late"), F.col("value").alias("gone"), one.alias("still"),
+                      F.col("value").alias("far"), F.lit(None).cast("string").alias("label")),
+        after.select("k", "event_type", F.col("value").alias("late"), F.lit(None).cast("double").alias("gone"), (one * 3).alias("still"),
+                     (F.col("value") + 1e6).alias("far"), F.col("event_type").alias("label")),
+    )
+
+
+def psi_shifted(spark, folder):
+    """One column wholly out of range, one constant that moved, one side without values."""
+    return round_all(D.psi(*_partial(spark, folder), ["k", "far", "still", "late", "gone"]))
+
+
+def ks_empty_sides(spark, folder):
+    return round_all(D.ks(*_partial(spark, folder), ["k", "late", "gone"]))
+
+
+def drift_summary_incomplete(spark, folder):
+    rows = D.column_drift(*_partial(spark, folder), ["k", "late", "gone", "still"], ["event_type", "label"])
+    return round_all(D.drift_summary(rows))
+
+
+def watched_by_type(spark, folder):
+    """What a monitor watches when no columns are named."""
+    before, _ = _months(spark, folder)
+    monitor = Monitor.of(before, find_target(before.withColumnRenamed("value", "Usage kWh")).replace("Usage kWh", "value"), time=first_time_column(before) or "ts")
+    rows = [(c, kind) for kind, own in (("numeric", monitor.numeric), ("categorical", monitor.categorical)) for c in own]
+    return spark.createDataFrame(rows, "column string, kind string")
+
+
+def inferred_report(spark, folder):
+    """A monitor that finds its columns by type, on both halves."""
+    before, after = (df.drop("event_id") for df in _months(spark, folder))
+    return round_all(Monitor.of(before, "value", time="ts").columns(after).select("column", "test", "n_reference", "n_current", "status"))
 
 
-def seasonal(spark, folder):
-    df = events(spark, folder).select("event_id", "user_id", "value")
-    return round_all(S.season(df, {"value": 100.0}, "user_id"))
+def rank_by_time(spark, folder):
+    """Position of every event by its time; equal times share the first."""
+    df = events(spark, folder).select("event_id", "ts")
+    return with_rank(df, "ts", "place").select("event_id", "place", "place_rows")
 
 
 def _stream(spark, folder):
@@ -201,10 +234,13 @@ QUERIES = {
     "what_if_totals": what_if_totals,
     "what_if_power_factor": what_if_power_factor,
     "shift_scale": shift_scale,
-    "spread_about_mean": spread,
     "mask_share": masked,
-    "ramp": ramped,
-    "season": seasonal,
+    "psi_shifted": psi_shifted,
+    "ks_empty_sides": ks_empty_sides,
+    "drift_summary_incomplete": drift_summary_incomplete,
+    "watched_by_type": watched_by_type,
+    "inferred_report": inferred_report,
+    "rank_by_time": rank_by_time,
     "stream_rollup": stream_hours,
     "stream_monitor": stream_monitor,
 }
@@ -391,17 +427,37 @@ SQL = {
           round(p2 / sqrt(p2 * p2 + q2 * q2), 6) AS pf_scenario FROM g""",
     "shift_scale": f"""WITH {EVENTS_SQL} SELECT event_id, round(value * 1.5, 6) AS value,
         round(k - 3.5, 6) AS k FROM e""",
-    "spread_about_mean": f"""WITH {EVENTS_SQL},
-        s AS (SELECT AVG(value) AS mv, stddev_samp(value) AS sv, AVG(k) AS mk, stddev_samp(k) AS sk FROM e)
-        SELECT event_id, round(mv + (value + 0.5 * sv - mv) * 1.25, 6) AS value,
-          round(mk + (k - 0.5 * sk - mk) * 0.9, 6) AS k FROM e, s""",
     "mask_share": f"""WITH {EVENTS_SQL} SELECT event_id, value,
         CASE WHEN ('0x' || substr(md5(CAST(event_id AS VARCHAR) || ':7'), 1, 8))::BIGINT >= 644245094
              THEN k END AS k FROM e""",
-    "ramp": """SELECT event_id, round(value + 20 * (rank() OVER (ORDER BY ts) - 1)
-        / (COUNT(*) OVER () - 1), 6) AS value FROM events""",
-    "season": """SELECT event_id, user_id, round(value + 100 * sin(6 * pi() *
-        (rank() OVER (ORDER BY user_id) - 1) / (COUNT(*) OVER () - 1)), 6) AS value FROM events""",
+    "psi_shifted": f"""WITH {EVENTS_SQL}, k AS (SELECT psi, n_reference, n_current, n_outside FROM ({_psi_sql(["k"])})),
+        n AS (SELECT COUNT(value) FILTER (NOT ({_LATER})) AS a, COUNT(value) FILTER ({_LATER}) AS b,
+                COUNT(*) FILTER (NOT ({_LATER})) AS ra, COUNT(*) FILTER ({_LATER}) AS rb FROM e)
+        SELECT 'k' AS "column", psi, n_reference, n_current, n_outside FROM k
+        UNION ALL SELECT 'far', 'inf'::DOUBLE, a, 0, b FROM n
+        UNION ALL SELECT 'still', 'inf'::DOUBLE, ra, 0, rb FROM n
+        UNION ALL SELECT 'late', NULL, 0, 0, b FROM n
+        UNION ALL SELECT 'gone', NULL, a, 0, 0 FROM n""",
+    "ks_empty_sides": f"""WITH {EVENTS_SQL},
+        n AS (SELECT COUNT(value) FILTER (NOT ({_LATER})) AS a, COUNT(value) FILTER ({_LATER}) AS b FROM e)
+        SELECT {_ROUNDED} FROM ({_ks_rows_sql('e', ['k'], _LATER)})
+        UNION ALL SELECT 'late', 'ks', NULL, NULL, 0, b FROM n
+        UNION ALL SELECT 'gone', 'ks', NULL, NULL, a, 0 FROM n""",
+    "drift_summary_incomplete": f"""WITH {EVENTS_SQL},
+        rows AS (SELECT p_value FROM ({_ks_rows_sql('e', ['k'], _LATER)}) UNION ALL
+          SELECT p_value FROM ({_chi_rows_sql('e', ['event_type'], _LATER)}) UNION ALL
+          SELECT 0.0 FROM range(4))
+        {_summary_sql("SELECT * FROM rows")}""",
+    "watched_by_type": """SELECT column_name AS "column",
+          CASE WHEN data_type = 'VARCHAR' THEN 'categorical' ELSE 'numeric' END AS kind
+        FROM (VALUES ('event_id', 'BIGINT'), ('user_id', 'BIGINT'), ('k', 'DOUBLE'), ('event_type', 'VARCHAR'), ('props', 'VARCHAR')) AS v(column_name, data_type)""",
+    "inferred_report": f"""WITH {EVENTS_SQL}, n AS (SELECT COUNT(*) FILTER (NOT ({_LATER})) AS a, COUNT(*) FILTER ({_LATER}) AS b,
+            COUNT(k) FILTER (NOT ({_LATER})) AS ka, COUNT(k) FILTER ({_LATER}) AS kb FROM e)
+        SELECT 'user_id' AS "column", 'ks' AS test, a AS n_reference, b AS n_current, 'tested' AS status FROM n
+        UNION ALL SELECT 'k', 'ks', ka, kb, 'tested' FROM n
+        UNION ALL SELECT c, 'chi2', a, b, 'tested' FROM n, (VALUES ('event_type'), ('props')) AS v(c)""",
+    "rank_by_time": """SELECT event_id, rank() OVER (ORDER BY ts) - 1 AS place, COUNT(*) OVER () AS place_rows
+        FROM events""",
     "stream_rollup": """SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS window_start,
           COUNT(*) AS n, round(SUM(value), 6) AS value, CAST(MAX(user_id) AS DOUBLE) AS user_id
         FROM events

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from catalog.inputs import EVENT_ROLES, EVENTS_SQL, TYPED_SQL, dirty_events, events, round_all, table
 from tidegauge.functions.names import normalize_headers
 from tidegauge.operators import clean as C
-from tidegauge.operators.models import feature_stages, preprocessor_stages
+from tidegauge.operators.models import feature_stages, number_slots, preprocessor_stages
 from tidegauge.operators.stages import (
     DateFeatures,
     Dummies,
@@ -23,7 +23,7 @@ from tidegauge.operators.stages import (
 from tidegauge.plans.cleaning import time_columns
 from tidegauge.plans.features import engineer, feature_frame
 
-DATES = EVENT_ROLES.date_features
+DATES = DateFeatures(timeCol=EVENT_ROLES.time).feature_names()
 
 
 def _typed(spark, folder):
@@ -118,7 +118,7 @@ def feature_matrix(spark, folder):
     stages = [*feature_stages(EVENT_ROLES), *preprocessor_stages(EVENT_ROLES, carry=["event_id"])]
     made = Pipeline(stages=stages).fit(df).transform(df)
     slots = vector_to_array("features")
-    width = 5 + len(EVENT_ROLES.scaled_features)
+    width = 5 + len(_SCALED)
     return round_all(made.select("event_id", *[slots[i].alias(f"x{i}") for i in range(width)]), 4)
 
 
@@ -168,7 +168,7 @@ _CLIP_SQL = (
     + ", ".join(f"least(greatest({c}, {c}_lo), {c}_hi) AS {c}" for c in _CLIPPED)
     + " FROM d, b), f AS (SELECT *, coalesce(user_id / nullif(k, 0), 0) AS user_id__div__k FROM c)"
 )
-_SCALED = EVENT_ROLES.scaled_features
+_SCALED = number_slots(EVENT_ROLES)
 
 SQL = {
     "date_features": f"""WITH {TYPED_SQL}

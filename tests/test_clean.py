@@ -222,3 +222,34 @@ def test_classify(readings):
 def test_safe_ratio(spark):
     df = spark.createDataFrame([(1.0, 0.0), (2.0, 4.0), (None, 1.0), (1e308, 1e-308)], "a double, b double")
     assert [r[0] for r in df.select(safe_ratio(F.col("a"), F.col("b"))).collect()] == [0.0, 0.5, 0.0, 0.0]
+
+
+def test_threshold_drops_nan_with_either_bound(spark):
+    df = spark.createDataFrame([(1.0,), (7.0,), (float("nan"),), (None,)], "x double")
+    assert column(C.threshold(df, "x", lower=5), "x") == [7.0]
+    assert column(C.threshold(df, "x", upper=5), "x") == [1.0]
+
+
+def test_times_do_not_depend_on_the_zone(spark):
+    from tidegauge.functions.values import to_time
+    from tidegauge.operators.order_stats import with_rank
+
+    df = spark.createDataFrame([("2018-03-11 02:15:00",), ("2018-03-11 03:15:00",), ("11/03/2018 02:15",), ("2018-13-01",), ("2018-03-11",)], "t string")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        found = [str(v) if v else None for v in column(df.select(to_time(F.col("t")).alias("v")), "v")]
+        hours = spark.createDataFrame([("2018-11-04 01:30:00",), ("2018-11-04 02:30:00",), ("2018-03-11 02:30:00",), ("2018-03-11 03:30:00",)], "t string")
+        ranks = with_rank(hours.select(to_time(F.col("t")).alias("v")), "v").orderBy("v").collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert found == ["2018-03-11 02:15:00", "2018-03-11 03:15:00", "2018-03-11 02:15:00", None, "2018-03-11 00:00:00"]
+    assert [r["rank"] for r in ranks] == [0, 1, 2, 3]
+
+
+def test_matching_names_is_never_ambiguous(spark):
+    with pytest.raises(ValueError, match="equally"):
+        N.best_match(["Usage_kWh", "usage kwh"], ["usage_kwh"])
+    assert N.best_match(["Usage_kWh", "usage_kwh"], ["usage_kwh"]) == "usage_kwh"
+    assert N.best_match(["b", "a"], ["a", "b"]) == "a"
+    assert N.best_match(["total usage in kwh", "x"], ["target"], ("usage", "kwh")) == "total usage in kwh"

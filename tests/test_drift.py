@@ -166,12 +166,6 @@ def test_scenarios(spark):
     assert set(column(S.shift_scale(df, {"v": (2.0, 3.0)}), "v")) == {5.0}
     masked = S.mask_share(df, "v", "id", 0.15).filter("v IS NULL").count()
     assert 100 < masked < 200
-    line = S.ramp(df, {"v": 10.0}, "id").orderBy("id").collect()
-    assert line[0]["v"] == 1.0 and line[-1]["v"] == 11.0 and line[500]["v"] == pytest.approx(1 + 5000 / 999)
-    wave = S.season(df, {"v": 1.0}, "id", waves=1.0).orderBy("id").collect()
-    assert max(r["v"] for r in wave) == pytest.approx(2.0, abs=1e-4)
-    one = S.ramp(df.limit(1), {"v": 10.0}, "id").first()
-    assert one["v"] == 1.0
 
 
 def test_what_if(spark):
@@ -205,3 +199,96 @@ def test_monitor_stream_writes_each_batch_once(spark, folder, tmp_path):
         writer = monitor_stream(stream, profile, str(tmp_path / "o"))
         writer.option("checkpointLocation", str(tmp_path / "s")).trigger(availableNow=True).start().awaitTermination()
     assert spark.read.parquet(str(tmp_path / "o")).count() == 1
+
+
+# --- reports are complete -------------------------------------------------------------------
+
+
+@pytest.fixture(scope="module")
+def halves(spark):
+    """A reference and a current table with columns that vanish, appear, stand still or move."""
+    ids = spark.range(200)
+    null = F.lit(None).cast("double")
+    ref = ids.select((F.col("id") * 1.0).alias("same"), (F.col("id") * 1.0).alias("far"), F.lit(3.0).alias("still"),
+                     (F.col("id") * 1.0).alias("gone"), null.alias("late"), F.lit("a").alias("text"))
+    cur = ids.select((F.col("id") * 1.0).alias("same"), (F.col("id") + 5000.0).alias("far"), F.lit(9.0).alias("still"),
+                     null.alias("gone"), (F.col("id") * 1.0).alias("late"), F.lit(None).cast("string").alias("text"))
+    return ref, cur
+
+
+def test_psi_has_a_row_for_every_column(halves):
+    ref, cur = halves
+    rows = {r["column"]: r for r in D.psi(ref, cur, ["same", "far", "still", "gone", "late"]).collect()}
+    assert rows["same"]["psi"] == pytest.approx(0.0)
+    for name in ("far", "still"):
+        assert rows[name]["psi"] == float("inf") and rows[name]["n_current"] == 0 and rows[name]["n_outside"] == 200
+    assert rows["gone"]["psi"] is None and rows["late"]["psi"] is None and rows["late"]["n_outside"] == 200
+    grouped = D.psi(ref, cur.withColumn("g", F.lit(1)), ["far", "gone"], by=["g"])
+    assert grouped.count() == 2
+
+
+def test_monitor_batch_sees_total_drift(halves):
+    ref, cur = halves
+    profile = D.build_profile(ref, ["same", "far", "still", "gone"])
+    rows = {r["column"]: r for r in monitor_batch(cur, profile).collect()}
+    assert not rows["same"]["drifted"] and all(rows[c]["drifted"] for c in ("far", "still", "gone"))
+    assert {r["tier"] for r in rows.values()} == {"critical"} and rows["same"]["share"] == 0.75
+
+
+def test_column_drift_with_empty_sides(halves):
+    ref, cur = halves
+    for by in ((), ("g",)):
+        rows = D.column_drift(ref, cur.withColumn("g", F.lit("w")), ["same", "gone", "late"], ["text"], by=by)
+        found = {r["column"]: r for r in rows.collect()}
+        assert len(found) == 4 and not found["same"]["drifted"]
+        assert all(found[c]["drifted"] and found[c]["statistic"] is None for c in ("gone", "late", "text"))
+        assert found["gone"]["status"] == found["text"]["status"] == "no current values"
+        assert found["late"]["status"] == "no reference values"
+        assert D.drift_summary(rows).first()["number_of_columns"] == 4
+
+
+def test_monitor_raises_on_an_absent_column(halves):
+    ref, cur = halves
+    with pytest.raises(ValueError, match="far"):
+        Monitor.of(ref, "same").drift_report(cur.drop("far"))
+
+
+def test_chi_squared_of_very_large_counts(spark, monkeypatch):
+    """Counts above 4e9 neither overflow nor cancel."""
+    counts = {"ref": [("p", 5 * 10**9), ("q", 4 * 10**9)], "cur": [("p", 5 * 10**9), ("q", 4 * 10**9 + 10**6)]}
+
+    def texts(df, columns, by=()):
+        side = df.first()["side"]
+        return spark.createDataFrame([("c", v, n) for v, n in counts[side]], "column string, value string, n bigint")
+
+    monkeypatch.setattr(D, "_texts", texts)
+    sides = [spark.createDataFrame([(s, "x")], "side string, c string") for s in ("ref", "cur")]
+    row = D.chi_squared(*sides, ["c"]).first()
+    table = np.array([[n for _, n in counts[s]] for s in ("ref", "cur")], dtype=float)
+    expected = table.sum(1, keepdims=True) * table.sum(0) / table.sum()
+    assert row["statistic"] == pytest.approx(((table - expected) ** 2 / expected).sum(), rel=1e-6)
+
+
+@pytest.mark.parametrize("freedom", [2002, 5000, 100_000])
+def test_chi_squared_tail_for_many_degrees(spark, freedom):
+    """The expansion agrees with the finite sum in logs (even degrees)."""
+    from math import lgamma, log
+
+    for z in (-3, -0.5, 0, 0.1, 2, 5):
+        x = freedom + z * sqrt(2 * freedom)
+        logs = [i * log(x / 2) - x / 2 - lgamma(i + 1) for i in range(freedom // 2)]
+        want = sum(exp(v) for v in logs if v > -700)
+        got = spark.range(1).select(chi_squared_p(F.lit(float(x)), F.lit(freedom)).alias("p")).first()["p"]
+        assert got == pytest.approx(want, rel=1e-4, abs=1e-9)
+
+
+def test_grouped_ks_grows_with_the_current_table_only(spark):
+    """Many groups: what is shuffled does not hold a copy of the reference per group."""
+    rng = np.random.default_rng(5)
+    ref = spark.createDataFrame(pd.DataFrame({"x": rng.normal(size=2000)}))
+    frame = pd.DataFrame({"g": np.repeat(np.arange(500), 4), "x": rng.normal(size=2000)})
+    rows = D.ks(ref, spark.createDataFrame(frame), ["x"], ["g"]).collect()
+    assert len(rows) == 500
+    base = ref.toPandas().x.to_numpy()
+    for r in rows[:60]:
+        assert r["statistic"] == pytest.approx(numpy_ks(base, frame[frame.g == r["g"]].x.to_numpy()))

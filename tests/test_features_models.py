@@ -17,9 +17,11 @@ from tidegauge.operators.stages import (
     MedianImputer,
     ModeImputer,
     QuantileClipper,
+    SparseDummies,
     Standardizer,
     clip_batch,
 )
+from tidegauge.operators.models import number_slots
 from tidegauge.plans.features import engineer, feature_frame
 from tidegauge.plans.training import compare_models, train_suite
 from tidegauge.roles import ENERGY_FEATURE_SUBSETS, ENERGY_ROLES
@@ -28,9 +30,8 @@ RATIO = "lagging_current_reactive.power_kvarh__div__leading_current_power_factor
 
 
 def test_roles():
-    assert ENERGY_ROLES.ratio_features == [RATIO]
-    assert len(ENERGY_ROLES.scaled_features) == 6 + 6 + 1
-    assert ENERGY_ROLES.as_dict()["target"] == ["usage_kwh"]
+    assert len(number_slots(ENERGY_ROLES)) == 6 + 6 + 1
+    assert number_slots(ENERGY_ROLES)[-1] == RATIO
     assert "co2(tco2)" not in ENERGY_FEATURE_SUBSETS["no_co2"].numeric
     assert "day_of_week" not in ENERGY_FEATURE_SUBSETS["no_co2_no_weekday"].categorical
     with pytest.raises(ValueError):
@@ -243,3 +244,34 @@ def test_engineer(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "f")).columns == ["f1", "f2", "target"]
     with pytest.raises(ValueError):
         engineer(df, ["f1"], "target", "f1", ["target"])
+
+
+def test_clipping_keeps_nan_missing(spark):
+    df = spark.createDataFrame([(float(i),) for i in range(100)] + [(float("nan"),), (None,)], "x double")
+    made = QuantileClipper(columns=["x"]).fit(df).transform(df)
+    assert made.filter("x is null").count() == 2 and made.filter("isnan(x)").count() == 0
+
+
+def test_dummies_of_other_types(spark):
+    df = spark.createDataFrame([(True, 2), (False, 10), (True, 30)], "b boolean, n int")
+    made = Dummies(columns=["b", "n"]).fit(df).transform(df)
+    assert made.columns == ["b_true", "n_10", "n_30"]
+    assert column(made, "b_true") == [1, 0, 1] and column(made, "n_10") == [0, 1, 0]
+
+
+def test_many_categories(spark):
+    df = spark.range(1500).select(F.concat(F.lit("v"), "id").alias("c"))
+    model = Dummies(columns=["c"]).fit(df)
+    assert sum(model.getOrDefault("sizes")) == 1500
+    wide = SparseDummies(columns=["c"]).fit(df).transform(df)
+    sizes = wide.select("c_dummies").collect()
+    assert all(r[0].size == 1500 and r[0].numNonzeros() == 1 for r in sizes)
+    assert len({int(r[0].indices[0]) for r in sizes}) == 1500
+
+
+def test_missing_features_are_never_skipped(spark):
+    df = spark.createDataFrame([(i, float(i), None if i == 3 else 1.0, 2.0 * i) for i in range(30)], "id long, a double, b double, y double")
+    with pytest.raises(Exception, match="(?i)null|nan|invalid"):
+        train_suite(df, "y", "id", kinds=["linear_regression"])
+    row = train_suite(df.fillna(1.0), "y", "id", kinds=["linear_regression"]).filter("metric = 'r2' and split = 'test'").first()
+    assert row["value"] == pytest.approx(1.0)

@@ -109,3 +109,13 @@ def test_rows_of_one_hot_value_spread_over_window_partitions(spark):
     ranked = with_rank(df, "x", grid=grid)
     assert {r["rank"] for r in ranked.filter("x = 7.0").select("rank").distinct().collect()} == {0}
     assert ranked.agg(F.max("rank")).first()[0] == 4999
+
+
+def test_wide_keys_are_told_apart(spark):
+    from tidegauge.operators.order_stats import nth_row
+    from tidegauge.operators.split import folds
+
+    df = spark.range(8).select((F.col("id") + (1 << 60)).alias("key"))
+    assert [r["key"] for r in nth_row(df, "key", 3).collect()] == [(1 << 60) + 3]
+    marked = folds(df, "key", 4).orderBy("key").collect()
+    assert [r["fold"] for r in marked] == [0, 0, 1, 1, 2, 2, 3, 3]

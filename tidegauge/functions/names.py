@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Iterable, Mapping, Sequence
 
@@ -64,45 +65,53 @@ def safe_names(df: DataFrame, lower: bool = True) -> DataFrame:
     return _renamed(df, [safe_name(c, lower) for c in df.columns])
 
 
-def safe_name_map(df: DataFrame) -> dict[str, str]:
-    """Safe name -> original name, to rename a result back."""
-    return {safe_name(c): c for c in df.columns}
-
-
 def rename(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
     """Rename the columns that exist; other entries of ``mapping`` are ignored."""
     return _renamed(df, [mapping.get(c, c) for c in df.columns])
 
 
-def _loose(name: str) -> str:
-    return "".join(ch for ch in name.lower() if ch not in " _.")
+def _likeness(name: str, wanted: str) -> int | None:
+    """0: the same name, 1: the same letters and digits in any case, None: another name."""
+    if name == wanted:
+        return 0
+    return 1 if re.findall(r"[^\W_]", name.lower()) == re.findall(r"[^\W_]", wanted.lower()) else None
+
+
+def best_match(columns: Iterable[str], wanted: Sequence[str], words: Sequence[str] = ()) -> str | None:
+    """The column that fits best: an exact name, else the same letters, else all ``words``.
+
+    Among equally close fits an earlier name of ``wanted`` wins. Two columns that fit
+    equally well are an error, never a silent choice.
+    """
+    ranked: dict[tuple[int, int], list[str]] = {}
+    for c in columns:
+        places = [(close, at) for at, w in enumerate(wanted) if (close := _likeness(c, w)) is not None]
+        if words and all(w in c.lower() for w in words):
+            places.append((2, 0))
+        if places:
+            ranked.setdefault(min(places), []).append(c)
+    if not ranked:
+        return None
+    first = ranked[min(ranked)]
+    if len(first) > 1:
+        raise ValueError(f"columns {first} fit equally well")
+    return first[0]
 
 
 def resolve(df: DataFrame, candidates: Iterable[str]) -> str:
-    """First candidate found when case, spaces, ``_`` and ``.`` are ignored."""
+    """The column meant by one of ``candidates``; ``KeyError`` without one."""
     wanted = list(candidates)
-    known = {_loose(c): c for c in df.columns}
-    for name in wanted:
-        if _loose(name) in known:
-            return known[_loose(name)]
-    raise KeyError(f"no column matches {wanted}")
+    found = best_match(df.columns, wanted)
+    if found is None:
+        raise KeyError(f"no column matches {wanted}")
+    return found
 
 
 def find_target(
-    df: DataFrame,
-    aliases: Iterable[str] = TARGET_ALIASES,
-    words: Sequence[str] = TARGET_WORDS,
+    df: DataFrame, aliases: Sequence[str] = TARGET_ALIASES, words: Sequence[str] = TARGET_WORDS
 ) -> str | None:
-    """Target column by alias (any case), else the first holding all ``words``."""
-    by_lower: dict[str, str] = {}
-    for c in df.columns:
-        by_lower.setdefault(c.lower(), c)
-    for alias in aliases:
-        if alias in df.columns:
-            return alias
-        if alias.lower() in by_lower:
-            return by_lower[alias.lower()]
-    return next((c for c in df.columns if all(w in c.lower() for w in words)), None)
+    """The target column by a usual name, else by the words its name holds."""
+    return best_match(df.columns, aliases, words)
 
 
 def numeric_columns(df: DataFrame, exclude: Iterable[str] = ()) -> list[str]:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -40,36 +40,57 @@ def to_number(text: Column) -> Column:
     return F.when(text.rlike(NUMBER_PATTERN), text.try_cast("double"))
 
 
-def _shape_of(fmt: str) -> str | None:
-    """Regular expression for texts of an all-digit format; None if it has letters."""
-    pattern, quoted_part = "", False
-    for piece in re.findall(r"'|([A-Za-z])(\1*)|(.)", fmt):
-        letter, more, other = piece
-        if not letter and not other:
-            quoted_part = not quoted_part
-        elif letter and quoted_part:
-            pattern += letter + more
-        elif letter:
-            if letter not in "yMdHhmsS" or (letter == "M" and len(more) > 1):
-                return None
-            pattern += rf"\d{{{1 + len(more)}}}" if more else r"\d{1,2}"
-        else:
-            pattern += re.escape(other)
-    return f"^{pattern}$"
+# What the letters of a format stand for.
+_FIELDS = {"y": "year", "M": "month", "d": "day", "H": "hour", "h": "hour", "m": "minute", "s": "second", "S": "fraction"}
+
+
+def _fields_of(fmt: str) -> tuple[str, dict[str, tuple[int, int]]] | None:
+    """Regular expression for texts of an all-digit format, and where its groups stand.
+
+    Each field has the number of its group and of its digits. None if the format has names.
+    """
+    pattern, fields = "", {}
+    for m in re.finditer(r"'([^']*)'|([A-Za-z])\2*|(.)", fmt):
+        letter, length = m[2], len(m[0])
+        if m[1] is not None or not letter:
+            pattern += re.escape(m[1] if m[1] is not None else m[3])
+            continue
+        if letter not in _FIELDS or (letter == "M" and length > 2) or _FIELDS[letter] in fields:
+            return None
+        fields[_FIELDS[letter]] = len(fields) + 1, length
+        pattern += rf"(\d{{{length}}})" if length > 1 else r"(\d{1,2})"
+    return f"^{pattern}$", fields
+
+
+def _from_fields(text: Column, shape: str, fields: Mapping[str, tuple[int, int]]) -> Column:
+    """Wall-clock time from the digit groups of a text; NULL if there is no such time."""
+
+    def number(name: str, default: int) -> Column:
+        if name not in fields:
+            return F.lit(default)
+        return F.regexp_extract(text, shape, fields[name][0]).cast("int")
+
+    year = number("year", 1970)
+    if fields.get("year", (0, 4))[1] == 2:
+        year = year + 2000
+    second = number("second", 0).cast("decimal(16,6)")
+    if "fraction" in fields:
+        second = second + F.rpad(F.regexp_extract(text, shape, fields["fraction"][0]), 6, "0").cast("decimal(16,6)") / 1_000_000
+    parts = [year, number("month", 1), number("day", 1), number("hour", 0), number("minute", 0), second.cast("decimal(16,6)")]
+    return F.when(text.rlike(shape), F.try_make_timestamp_ntz(*parts))
 
 
 def to_time(text: Column, formats: Sequence[str] = TIME_FORMATS) -> Column:
     """Text to ``timestamp_ntz`` by the first format that fits, else NULL.
 
-    A text of another shape than the format is never parsed: a failed parse is an
-    exception per row, a failed match is not.
+    All-digit formats are read as wall-clock time, whatever the zone of the session. A format
+    with names of months or zones goes through Spark's parser and the session zone.
     """
     parsed = []
     for fmt in formats:
-        moment = F.try_to_timestamp(text, F.lit(fmt))
-        shape = _shape_of(fmt)
-        parsed.append(F.when(text.rlike(shape), moment) if shape else moment)
-    return F.coalesce(*parsed).cast("timestamp_ntz")
+        known = _fields_of(fmt)
+        parsed.append(_from_fields(text, *known) if known else F.try_to_timestamp(text, F.lit(fmt)).cast("timestamp_ntz"))
+    return F.coalesce(*parsed)
 
 
 def _flat(text: Column) -> Column:
@@ -94,21 +115,19 @@ def safe_ratio(over: Column, under: Column) -> Column:
 
 
 def clamp(value: Column, low: float | Column | None, high: float | Column | None) -> Column:
-    """Limit to ``[low, high]``. ``greatest``/``least`` skip NULLs, hence the guard."""
+    """Limit to ``[low, high]``; NULL and NaN give NULL.
+
+    ``greatest``/``least`` skip NULLs and take NaN for the largest number, hence the guard.
+    """
     limited = value
     if low is not None:
         limited = F.greatest(limited, low if isinstance(low, Column) else F.lit(low))
     if high is not None:
         limited = F.least(limited, high if isinstance(high, Column) else F.lit(high))
-    return F.when(value.isNotNull(), limited)
+    return F.when(value.isNotNull() & ~F.isnan(value), limited)
 
 
 def hash_number(key: Column, seed: int) -> Column:
     """32-bit number from md5 of ``key:seed``: the same in every engine and run."""
     digest = F.md5(F.concat(key.cast("string"), F.lit(f":{seed}")).cast("binary"))
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
-
-
-def hash_share(key: Column, seed: int) -> Column:
-    """The hash number scaled to ``[0, 1)``."""
-    return hash_number(key, seed) / F.lit(float(2**32))

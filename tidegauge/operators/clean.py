@@ -114,15 +114,16 @@ def threshold(
     upper: float | None = None,
     inclusive: bool = True,
 ) -> DataFrame:
-    """Rows within the bounds. Missing values fall out once there is a bound."""
+    """Rows within the bounds. Missing values, NaN too, fall out once there is a bound."""
     require(df, [name])
     value = column(name)
     if lower is not None:
         df = df.filter(value >= lower if inclusive else value > lower)
     if upper is not None:
         df = df.filter(value <= upper if inclusive else value < upper)
-        if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
-            df = df.filter(~F.isnan(value))
+    # NaN is above every number.
+    if (lower is not None or upper is not None) and isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
+        df = df.filter(~F.isnan(value))
     return df
 
 

@@ -31,13 +31,14 @@ from tidegauge.roles import Roles
 
 FEATURES = "features"
 
-# Default settings per kind. Spark caps the depth of a tree at 30. A full set
+# Default settings per kind. Spark caps the depth of a tree at 30. Up to 4,096
+# features the linear solver takes the normal equations, beyond them gradients. A full set
 # of category slots makes the normal equations singular; they are then solved by iteration
 # on the small aggregated system, so a tight tolerance costs no pass over the data.
 DEFAULTS = {
     "linear_regression": {
         "fitIntercept": True,
-        "solver": "normal",
+        "solver": "auto",
         "regParam": 0.0,
         "maxIter": 1000,
         "tol": 1e-13,
@@ -90,22 +91,24 @@ def build_model(
     return KINDS[name](featuresCol=features, labelCol=target, predictionCol=prediction, **settings)
 
 
+def _deriving(roles: Roles, use_date: bool, drop_na: bool = False) -> tuple[DateFeatures, Interactions]:
+    """The stages that derive columns from those of ``roles``."""
+    dates = DateFeatures(
+        timeCol=roles.time, dropOriginal=True, addCyclical=use_date, generate=use_date, dropNa=drop_na and use_date
+    )
+    return dates, Interactions(columns=list(roles.interactions), ratios=True, products=False)
+
+
 def feature_stages(roles: Roles, drop_na: bool = False, use_date: bool = True) -> list:
     """Date features, clipping to the 1st and 99th percentile, ratios."""
-    clipped = list(roles.numeric) + (roles.date_features if use_date else [])
-    stages = [
-        DateFeatures(
-            timeCol=roles.time,
-            dropOriginal=True,
-            addCyclical=use_date,
-            generate=use_date,
-            dropNa=drop_na and use_date,
-        ),
-        QuantileClipper(columns=clipped, lower=0.01, upper=0.99),
-    ]
-    if roles.interactions:
-        stages.append(Interactions(columns=list(roles.interactions), ratios=True, products=False))
-    return stages
+    dates, pairs = _deriving(roles, use_date, drop_na)
+    clipper = QuantileClipper(columns=[*roles.numeric, *dates.feature_names()], lower=0.01, upper=0.99)
+    return [dates, clipper, pairs] if roles.interactions else [dates, clipper]
+
+
+def number_slots(roles: Roles, use_date: bool = True) -> list[str]:
+    """Numeric columns of the feature vector in its order, as the stages name them."""
+    return [*roles.numeric, *(name for stage in _deriving(roles, use_date) for name in stage.feature_names())]
 
 
 def preprocessor_stages(
@@ -116,8 +119,7 @@ def preprocessor_stages(
     The vector holds the categorical block first. Unseen and missing categories are all
     zeros. Other columns are dropped, but for the target and those in ``carry``.
     """
-    dates = roles.date_features if use_date else []
-    numbers = [*roles.numeric, *dates, *roles.ratio_features]
+    numbers = number_slots(roles, use_date)
     kept = [*carry] + ([roles.target] if roles.target not in carry else [])
     texts = [safe_name(c) for c in roles.categorical]
     values = [safe_name(c) for c in numbers]
@@ -165,7 +167,10 @@ def model_pipeline(
 def assembled(
     df: DataFrame, columns: Sequence[str], carry: Sequence[str] = (), output: str = FEATURES
 ) -> DataFrame:
-    """``carry`` columns plus a vector of ``columns``; rows lacking one are left out."""
+    """``carry`` columns plus a vector of ``columns``; a row that lacks one is an error.
+
+    Rows are never left out: impute first where values may be missing.
+    """
     require(df, [*columns, *carry])
     plain = df.select(
         *[column(c) for c in carry],
@@ -173,7 +178,7 @@ def assembled(
     )
     names = [f"x__{i}" for i in range(len(columns))]
     return (
-        VectorAssembler(inputCols=names, outputCol=output, handleInvalid="skip")
+        VectorAssembler(inputCols=names, outputCol=output, handleInvalid="error")
         .transform(plain)
         .select(*[column(c) for c in carry], output)
     )
@@ -412,12 +417,3 @@ def score(
             "model_version": F.lit(entry.version).cast("string"),
         }
     )
-
-
-def score_frame(model: Model, df: DataFrame, order: Sequence[str], prediction: str = "prediction") -> DataFrame:
-    """Score with a bare regressor: assemble ``order`` and keep the other columns."""
-    vectors = VectorAssembler(
-        inputCols=[quoted(c) for c in order], outputCol=FEATURES, handleInvalid="error"
-    )
-    double = df.withColumns({c: column(c).cast(T.DoubleType()) for c in order})
-    return model.transform(vectors.transform(double)).drop(FEATURES)

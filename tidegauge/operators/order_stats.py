@@ -104,8 +104,12 @@ def as_position(df: DataFrame, name: str) -> Column:
     """The column as a double that keeps its order; NULL for NaN."""
     kind = df.schema[name].dataType
     value = column(name)
-    if isinstance(kind, (T.TimestampNTZType, T.TimestampType)):
-        return F.unix_micros(value.cast("timestamp")).cast("double")
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(value).cast("double")
+    if isinstance(kind, T.TimestampNTZType):
+        # From its fields, which no time zone touches.
+        seconds = F.unix_date(value.cast("date")) * 86400.0 + F.hour(value) * 3600 + F.minute(value) * 60
+        return F.round(seconds * 1e6 + F.extract(F.lit("SECOND"), value).cast("double") * 1e6)
     if isinstance(kind, T.DateType):
         return F.unix_date(value).cast("double")
     if isinstance(kind, (T.DoubleType, T.FloatType)):
@@ -456,12 +460,35 @@ def values_at_ranks(
     return found[0][1]
 
 
+def keys_at_ranks(df: DataFrame, key: str, ranks: Sequence[int], grid: Grid | None = None) -> list[tuple[Column, Column]]:
+    """For each 0-based rank, what to compare rows with: (row's side, key at the rank).
+
+    Keys that doubles tell apart are compared as positions. Larger ones may share a double;
+    they are looked up among the keys of that double, a few thousand for 64-bit numbers.
+    """
+    place = as_position(df, key)
+    sides = []
+    for rank, found in zip(ranks, values_at_ranks(df, key, ranks, grid)):
+        side = place, F.lit(found)
+        if abs(found) >= EXACT_DOUBLE and not isinstance(df.schema[key].dataType, (T.DoubleType, T.FloatType)):
+            rest = rank - df.filter(place < found).count()
+            near = df.filter(place == found).groupBy(column(key).alias("key")).count().orderBy("key")
+            for row in near.toLocalIterator():
+                if rest < row["count"]:
+                    side = column(key), F.lit(row["key"])
+                    break
+                rest -= row["count"]
+        sides.append(side)
+    return sides
+
+
 def nth_row(df: DataFrame, key: str, position: int) -> DataFrame:
     """The row at a 0-based position by ``key`` (all rows that tie there)."""
     grid = build_grid(df, [key])
     if not 0 <= position < grid.rows:
         return df.limit(0)
-    return df.filter(as_position(df, key) == values_at_ranks(df, key, [position], grid)[0])
+    ((own, there),) = keys_at_ranks(df, key, [position], grid)
+    return df.filter(own == there)
 
 
 def with_rank(df: DataFrame, key: str, name: str = "rank", grid: Grid | None = None) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidegauge.functions.names import column, require
 from tidegauge.functions.values import hash_number
-from tidegauge.operators.order_stats import as_position, build_grid, values_at_ranks
+from tidegauge.operators.order_stats import build_grid, keys_at_ranks
 
 
 def test_share(key: str, share: float, seed: int) -> Column:
@@ -21,7 +21,7 @@ def hash_split(
     """Mark each row ``train`` or ``test``.
 
     Membership depends on the key alone: the same in every run, on any partitioning. Sizes
-    match the share in expectation.
+    match the share in expectation. Rows without a key are ``train``.
     """
     require(df, [key])
     if not 0.0 < share < 1.0:
@@ -45,7 +45,8 @@ def folds(
     """Number each row 0..k-1: runs of the key order, or hash folds when ``shuffled``.
 
     Runs have equal length, the first ones a row more when it does not divide. They are cut
-    at the keys found at their first ranks, so no global numbering is needed.
+    at the keys found at their first ranks, so no global numbering is needed. Rows without a
+    key are in fold 0.
     """
     require(df, [key])
     if k < 2:
@@ -56,9 +57,7 @@ def folds(
     if grid.rows < k:
         raise ValueError(f"{grid.rows} rows cannot fill {k} folds")
     size, extra = divmod(grid.rows, k)
-    starts = values_at_ranks(df, key, [i * size + min(i, extra) for i in range(1, k)], grid)
-    place = as_position(df, key)
     number = F.lit(0)
-    for start in starts:
-        number = number + F.when(place >= F.lit(start), 1).otherwise(0)
+    for own, start in keys_at_ranks(df, key, [i * size + min(i, extra) for i in range(1, k)], grid):
+        number = number + F.when(own >= start, 1).otherwise(0)
     return df.withColumn(name, number.cast("int"))

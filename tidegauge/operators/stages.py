@@ -8,12 +8,14 @@ its columns; each transform is a projection.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import combinations
 
 from pyspark import keyword_only
-from pyspark.ml import Estimator, Model, Transformer
+from pyspark.ml import Estimator, Model, Pipeline, Transformer
+from pyspark.ml.feature import OneHotEncoder, StringIndexer
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,10 +23,10 @@ from tidegauge.functions.calendar import cycle, part
 from tidegauge.functions.names import column, numeric_columns, require, safe_name
 from tidegauge.functions.values import TIME_FORMATS, clamp, nan_to_null, safe_ratio, to_time
 from tidegauge.operators.order_stats import quantile_values
-from tidegauge.operators.profile import distinct_values, value_counts
-from tidegauge.roles import CYCLE_PARTS, DATE_PARTS
+from tidegauge.operators.profile import value_counts
 
-MAX_DUMMIES = 1000
+DATE_PARTS = ("hour", "dayofweek", "month", "dayofyear")
+CYCLE_PARTS = ("sin_hour", "cos_hour")
 
 
 def _check_shares(lower: float, upper: float) -> None:
@@ -124,17 +126,23 @@ class Interactions(Transformer, _Stage):
         self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
         self._setDefault(ratios=True, products=False)
 
+    def _made(self, names: Sequence[str]) -> list[tuple[str, str, str]]:
+        """(new name, first, second) of all pairs."""
+        signs = [s for s, on in (("x", "products"), ("div", "ratios")) if self.getOrDefault(on)]
+        return [(f"{a}__{s}__{b}", a, b) for a, b in combinations(names, 2) for s in signs]
+
+    def feature_names(self) -> list[str]:
+        return [name for name, _, _ in self._made(self.getOrDefault("columns"))]
+
     def _transform(self, df: DataFrame) -> DataFrame:
         names = self._names(df)
         require(df, names)
-        made = []
-        for i, a in enumerate(names):
-            for b in names[i + 1 :]:
-                if self.getOrDefault("products"):
-                    made.append((column(a) * column(b)).alias(f"{a}__x__{b}"))
-                if self.getOrDefault("ratios"):
-                    made.append(safe_ratio(column(a), column(b)).alias(f"{a}__div__{b}"))
-        return df.select("*", *made)
+
+        def value(name: str, a: str, b: str) -> Column:
+            ratio = name == f"{a}__div__{b}"
+            return safe_ratio(column(a), column(b)) if ratio else column(a) * column(b)
+
+        return df.select("*", *[value(*m).alias(m[0]) for m in self._made(names)])
 
 
 class SafeColumns(Transformer, _Stage):
@@ -302,8 +310,9 @@ class ModeImputerModel(Model, _Stage):
 class Dummies(Estimator, _Stage):
     """0/1 columns ``<column>_<value>`` for all sorted values but the first.
 
-    Values become columns, so their number is checked: above ``MAX_DUMMIES`` the fit
-    raises instead of building an unusable table.
+    Values are sorted as what they are (numbers by size), then named by their text. The
+    values of all columns are counted in one job. For columns with very many values see
+    ``SparseDummies``, which makes one vector instead of one column per value.
     """
 
     @keyword_only
@@ -314,16 +323,11 @@ class Dummies(Estimator, _Stage):
     def _fit(self, df: DataFrame) -> "DummiesModel":
         names = list(self.getOrDefault("columns"))
         require(df, names)
-        values, sizes = [], []
-        for name in names:
-            found = distinct_values(df, name).filter(F.col("value").isNotNull())
-            rows = found.limit(MAX_DUMMIES + 1).collect()
-            if len(rows) > MAX_DUMMIES:
-                raise ValueError(f"column '{name}' has more than {MAX_DUMMIES} values")
-            listed = sorted(str(r["value"]) for r in rows)
-            values += listed
-            sizes.append(len(listed))
-        return DummiesModel(columns=names, values=values, sizes=sizes)
+        # The distinct values become column names, so they have to be known here.
+        found = df.select(*[F.collect_set(column(c)).alias(f"s{i}") for i, c in enumerate(names)])
+        texts = [F.transform(F.sort_array(f"s{i}"), lambda v: v.cast("string")).alias(f"s{i}") for i in range(len(names))]
+        row = found.select(*texts).first()
+        return DummiesModel(columns=names, values=[v for listed in row for v in listed], sizes=[len(listed) for listed in row])
 
 
 class DummiesModel(Model, _Stage):
@@ -344,3 +348,51 @@ class DummiesModel(Model, _Stage):
             start += size
         kept = [column(c) for c in df.columns if c not in self.getOrDefault("columns")]
         return df.select(*kept, *made)
+
+
+class SparseDummies(Estimator, _Stage):
+    """0/1 values of a column as one sparse vector, ``<column>_dummies``, a slot per value.
+
+    For categories that are too many to be columns: the plan stays small whatever their
+    number. Slots are in the order of the values' texts; a missing or unseen value is all
+    zeros.
+    """
+
+    @keyword_only
+    def __init__(self, *, columns=None):
+        super().__init__()
+        self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
+
+    def _fit(self, df: DataFrame):
+        names = list(self.getOrDefault("columns"))
+        require(df, names)
+        texts = TextColumns(columns=names)
+        places = [f"{safe_name(c)}__place" for c in names]
+        # The last place is that of unseen values; the encoder drops it.
+        indexer = StringIndexer(
+            inputCols=[f"{safe_name(c)}__text" for c in names], outputCols=places, stringOrderType="alphabetAsc", handleInvalid="keep"
+        )
+        encoder = OneHotEncoder(inputCols=places, outputCols=[f"{safe_name(c)}_dummies" for c in names], dropLast=True)
+        return Pipeline(stages=[texts, indexer, encoder, DropColumns(columns=[*places, *[f"{safe_name(c)}__text" for c in names]])]).fit(df)
+
+
+class TextColumns(Transformer, _Stage):
+    """Adds ``<column>__text``, the column as text."""
+
+    @keyword_only
+    def __init__(self, *, columns=None):
+        super().__init__()
+        self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        return df.withColumns({f"{safe_name(c)}__text": column(c).cast("string") for c in self._names(df)})
+
+
+class DropColumns(Transformer, _Stage):
+    @keyword_only
+    def __init__(self, *, columns=None):
+        super().__init__()
+        self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        return df.drop(*self.getOrDefault("columns"))

@@ -15,8 +15,9 @@ from tidegauge.sources.tables import write_table
 
 def feature_frame(df: DataFrame, roles: Roles) -> DataFrame:
     """Categorical, numeric and time columns in that order, then the target."""
-    require(df, [*roles.inputs, roles.target])
-    return df.select(*[column(c) for c in (*roles.inputs, roles.target)])
+    wanted = [*roles.categorical, *roles.numeric, roles.time, roles.target]
+    require(df, wanted)
+    return df.select(*[column(c) for c in wanted])
 
 
 def engineer(

@@ -33,15 +33,20 @@ def read_table(
     fmt: str = "parquet",
     schema: T.StructType | None = None,
     required: Sequence[str] = (),
+    multi_line: bool = False,
 ) -> DataFrame:
     """Read a table and check that ``required`` columns are there.
 
+    ``multi_line`` reads CSV fields with line breaks inside quotes; such files cannot be
+    split among tasks.
+
     A missing path raises ``FileNotFoundError``; a missing column ``ValueError``. Text
     formats never infer types: without a schema their columns are read as strings.
     """
     reader = spark.read
     if fmt == "csv":
         reader = reader.option("header", True).option("enforceSchema", schema is None)
+        reader = reader.option("multiLine", multi_line).option("escape", '"')
     if schema is not None:
         reader = reader.schema(schema)
     try:
@@ -63,20 +68,20 @@ def write_table(
 ) -> None:
     """Write a table, partitioned and sorted within files when asked.
 
-    Rows go to their partition folder by a hash of the partition columns and, so that a
-    hot partition is not one task's work, of the row; adaptive execution then joins the
-    small pieces.
+    With ``partition_by`` rows are rebalanced on those columns: adaptive execution joins
+    small pieces and splits the rows of a hot partition by their size. With ``sort_by``
+    alone files hold consecutive ranges, so that they are in order as a whole.
     """
     writer = df
     if partition_by:
-        keys = [column(c) for c in partition_by]
-        spread = F.pmod(F.xxhash64(*[column(c) for c in df.columns]), F.lit(16))
-        writer = writer.repartition(*keys, spread)
+        writer = writer.hint("rebalance", *[column(c) for c in partition_by])
+    elif sort_by:
+        writer = writer.repartitionByRange(*[column(c) for c in sort_by])
     if sort_by:
         writer = writer.sortWithinPartitions(*[column(c) for c in (*partition_by, *sort_by)])
     out = writer.write.mode(mode).format(fmt)
     if fmt == "csv":
-        out = out.option("header", True)
+        out = out.option("header", True).option("escape", '"')
     if partition_by:
         out = out.partitionBy(*partition_by)
     out.save(path)
