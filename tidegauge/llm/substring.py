@@ -227,6 +227,9 @@ def repeated(docs: DataFrame, key: str = "doc_id", text: str = "text", width: in
     zipped = F.explode(F.arrays_zip("anchor", "start", "n")).alias("p")
     several = spread.select(F.explode(F.arrays_zip("anchor", "again")).alias("p")).select("p.*")
     several = several.groupBy("anchor").agg(F.sum(F.when(F.col("again"), 2).otherwise(1)).alias("places")).filter("places > 1")
+    # Stored, so that the join with it is a plain one: Spark can then split the rows of an
+    # anchor that very many documents share.
+    several = written(several, "several")
     # A row that is there twice has each of its pieces twice: distinct keeps one of them.
     segments = spread.select("doc", "body", zipped).select("doc", "body", "p.*").join(several, "anchor")
     segments = segments.groupBy("doc", "body").agg(F.collect_set(F.struct("start", "n", "anchor", (F.col("places") > hot).alias("hot"))).alias("seg"))
