@@ -104,17 +104,17 @@ def copies(
 def _by_bytes(docs: DataFrame, rows: DataFrame, hits: DataFrame, key: str, plain: Column, digest) -> DataFrame:
     """Groups of the rows whose digest was hit, by their full texts.
 
-    Grouping by the text compares whole texts; equal ones are merged before the shuffle, so a
-    group that holds a third of all rows arrives as one row per task.
+    Grouping by the text compares whole texts. The rows of a digest that holds a third of all
+    rows are joined in pieces and merged in each task before they meet.
     """
     texts = docs.select(F.col(key).alias("doc"), plain.alias("body"))
     texts = texts.withColumn("digest", digest(F.col("body"))).join(hits.select("digest"), "digest")
-    texts = written(texts.groupBy("digest", "body").agg(F.max("doc").alias("last"), F.count("*").alias("size")), "hits")
-    mixed = texts.groupBy("digest").agg(F.count("*").alias("kinds")).filter("kinds > 1")
-    same = rows.join(hits, "digest").join(mixed, "digest", "left_anti")
-    same = same.select("doc", "row", "n", F.struct("keep.doc", "keep.row").alias("keep"), "digest")
+    texts = written(texts.groupBy("digest", "body").agg(F.count("*").alias("size")).select("digest"), "hits")
+    mixed = checkpointed(texts.groupBy("digest").agg(F.count("*").alias("kinds")).filter("kinds > 1"))
+    same = rows.join(hits, "digest").select("doc", "row", "n", F.struct("keep.doc", "keep.row").alias("keep"), "digest")
     if mixed.isEmpty():
         return same
+    same = same.join(mixed, "digest", "left_anti").select(same.columns)
     # Texts that differ but share a digest: their rows are numbered anew with the text at hand.
     apart = docs.select(F.col(key).alias("doc"), plain.alias("body")).withColumn("digest", digest(F.col("body")))
     apart = apart.join(mixed.select("digest"), "digest", "left_semi").withColumn("row", F.monotonically_increasing_id())
