@@ -1,7 +1,9 @@
 """Split, model and evaluation queries.
 
-Where the result has a closed form, the model is a line through one feature and the oracle
-uses the regression aggregates. Tree models have no SQL form and use few, shallow trees.
+Where the result has a closed form the oracle uses it: regression aggregates for a line
+through one feature, the normal equations for a full linear pipeline, group means for a tree
+that may grow to single values. Whole forests have no SQL form; theirs says how many rows are
+scored and what must hold of the errors, and they use few, shallow trees.
 """
 
 from __future__ import annotations
@@ -9,6 +11,7 @@ from __future__ import annotations
 from uuid import uuid4
 
 from pyspark.ml import Pipeline
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from catalog.features import IS_TEST_SQL
@@ -93,7 +96,7 @@ def cv_summary(spark, folder):
 
 
 def cv_scores(spark, folder):
-    return round_all(M.fold_scores(_fold_metrics(spark, folder), "rmse"), 3)
+    return round_all(M.fold_scores(_fold_metrics(spark, folder)), 6)
 
 
 def residual_histogram(spark, folder):
@@ -145,28 +148,80 @@ def stored_features(spark, folder):
     return feature_table(df, "value")
 
 
-def _tree_metrics(spark, folder, kind):
+def _tree_rows(spark, folder, kind):
+    """Rows scored per split, and whether the fit explains the rows it saw."""
     roles = EVENT_ROLES
     marked = hash_split(events(spark, folder), "event_id")
     pipeline = M.model_pipeline(roles, kind, SMALL.get(kind), carry=["split"])
     scored = pipeline.fit(marked.filter("split = 'train'")).transform(marked)
-    return round_all(regression_metrics(scored, roles.target, "prediction", ["split"]), 3)
+    found = regression_metrics(scored, roles.target, "prediction", ["split"])
+    return found.select("split", "n", (F.col("rmse") > 0).alias("scored"), ((F.col("split") == "test") | (F.col("r2") > 0)).alias("explains"))
 
 
 def forest_fit(spark, folder):
-    return _tree_metrics(spark, folder, "random_forest")
+    return _tree_rows(spark, folder, "random_forest")
 
 
 def gbt_fit(spark, folder):
-    return _tree_metrics(spark, folder, "boosted_trees")
+    return _tree_rows(spark, folder, "boosted_trees")
+
+
+def _shown(spark, folder):
+    """Two features of few values: hour of the event and half of the month."""
+    return events(spark, folder).select(
+        F.hour("ts").cast("double").alias("hour"), (F.dayofmonth("ts") > 15).cast("double").alias("half"), "value"
+    )
+
+
+def _group_means(spark, folder, kind, params):
+    """A tree that may grow to single values predicts the mean of each group of equal features."""
+    df = _shown(spark, folder)
+    vectors = M.assembled(df, ["hour", "half"], carry=["hour", "half", "value"])
+    scored = M.build_model(kind, "value", params).fit(vectors).transform(vectors)
+    return round_all(scored.select("hour", "half", "prediction").distinct())
+
+
+def forest_means(spark, folder):
+    return _group_means(spark, folder, "random_forest", {"numTrees": 1, "bootstrap": False})
+
+
+def boosting_means(spark, folder):
+    """The first round of boosting is such a tree when it sees all rows and features."""
+    return _group_means(
+        spark, folder, "boosted_trees", {"maxIter": 1, "maxDepth": 10, "subsamplingRate": 1.0, "featureSubsetStrategy": "all"}
+    )
 
 
 def pipeline_fit(spark, folder):
-    """Features, preprocessor and line: predictions of all rows."""
+    """Features, preprocessor and line: the residuals meet the normal equations.
+
+    They sum to zero within every category and are orthogonal to every number of the vector.
+    """
     roles = EVENT_ROLES
     df = events(spark, folder)
-    model = M.model_pipeline(roles, "linear_regression", carry=["event_id"]).fit(df)
-    return round_all(model.transform(df).select("event_id", "value", "prediction"), 4)
+    made = M.model_pipeline(roles, "linear_regression", carry=["event_type"]).fit(df).transform(df)
+    residual = F.col("value") - F.col("prediction")
+    slots = vector_to_array(M.FEATURES)
+    names = M.number_slots(roles)
+    first = F.size(slots) - len(names)
+    per_type = made.groupBy(F.col("event_type").alias("item")).agg(F.count(F.lit(1)).alias("n"), F.sum(residual).alias("moment"))
+    sums = made.agg(F.count(F.lit(1)).alias("n"), *[F.avg(residual * F.get(slots, first + i)).alias(f"m{i}") for i in range(len(names))])
+    rows = F.inline(F.array(*[F.struct(F.lit(c).alias("item"), "n", F.col(f"m{i}").alias("moment")) for i, c in enumerate(names)]))
+    found = per_type.unionByName(sums.select(rows))
+    return found.select("item", "n", (F.abs("moment") < 1e-4).alias("is_zero"))
+
+
+def feature_subsets(spark, folder):
+    """The same line on all features, without one number, and without a category as well."""
+    df = events(spark, folder)
+    subsets = {"all": EVENT_ROLES, "no_k": EVENT_ROLES.without("k"), "no_k_no_type": EVENT_ROLES.without("k", "event_type")}
+    found = None
+    for name, roles in subsets.items():
+        scored = M.model_pipeline(roles, "linear_regression").fit(df).transform(df)
+        row = regression_metrics(scored, roles.target, "prediction")
+        row = row.select(F.lit(name).alias("features"), "n", ((F.col("r2") >= -1e-9) & (F.col("r2") <= 1)).alias("explains"))
+        found = row if found is None else found.unionByName(row)
+    return found
 
 
 def pipeline_means(spark, folder):
@@ -186,29 +241,27 @@ def linear_suite(spark, folder):
     return round_all(train_suite(df, "value", "event_id", ["linear_regression"]))
 
 
+def _sound(rows):
+    """Metric rows with what must hold of them: errors positive, a fit explains what it saw."""
+    value = F.col("value")
+    good = F.when(F.col("metric") == "r2", (value <= 1) & ((F.col("split") == "test") | (value > 0))).otherwise(value > 0)
+    return rows.select("run", "model", "split", "metric", good.alias("sound"))
+
+
 def model_comparison(spark, folder):
-    return round_all(
-        compare_models(events(spark, folder), EVENT_ROLES, "event_id", params=SMALL), 3
-    )
+    return _sound(compare_models(events(spark, folder), EVENT_ROLES, "event_id", params=SMALL))
 
 
 def suite(spark, folder):
     """Bare regressors on the numeric feature table."""
     df = events(spark, folder).select("event_id", "user_id", "k", "value")
-    return round_all(train_suite(df, "value", "event_id", params=SMALL), 3)
+    return _sound(train_suite(df, "value", "event_id", params=SMALL))
 
 
 def search(spark, folder):
-    df = events(spark, folder)
-    pipeline = M.model_pipeline(EVENT_ROLES, "boosted_trees", SMALL["boosted_trees"])
-    grid = {"maxIter": [2, 3], "maxDepth": [2]}
-    found = M.grid_search(pipeline, df, "value", "event_id", grid, k=2)
-    return round_all(
-        found.table.select(
-            F.col("params")["maxIter"].alias("rounds"), F.col("params")["maxDepth"].alias("depth"), "rmse"
-        ),
-        3,
-    )
+    """A line with and without intercept in three folds: mean error of both settings."""
+    found = M.grid_search(_line_pipeline(), _orders(spark, folder), "y", "o_orderkey", {"fitIntercept": [True, False]}, k=3)
+    return round_all(found.table.select(F.col("params")["fitIntercept"].alias("intercept"), "rmse", "rmse_std"), 3)
 
 
 def save_load_score(spark, folder):
@@ -239,6 +292,9 @@ QUERIES = {
     "forest_fit": forest_fit,
     "gbt_fit": gbt_fit,
     "pipeline_fit": pipeline_fit,
+    "forest_means": forest_means,
+    "boosting_means": boosting_means,
+    "feature_subsets": feature_subsets,
     "pipeline_means": pipeline_means,
     "linear_suite": linear_suite,
     "compare_models": model_comparison,
@@ -296,7 +352,7 @@ SQL = {
             round(stddev_pop({m}) FILTER (split = 'test'), 3) AS test_std FROM g"""
         for m in ("rmse", "mae", "r2")
     ),
-    "cv_scores": f"""WITH {_FOLDS} SELECT CAST(f AS INTEGER) AS fold, round(rmse, 3) AS score
+    "cv_scores": f"""WITH {_FOLDS} SELECT CAST(f AS INTEGER) AS fold, round(r2, 6) AS score
         FROM g WHERE split = 'test'""",
     "residuals": """WITH d AS (SELECT l_extendedprice - l_quantity * 2000 AS r FROM lineitem),
         s AS (SELECT MIN(r) AS lo, MAX(r) AS hi FROM d),
@@ -321,6 +377,39 @@ SQL = {
     ),
     "feature_table": f"""WITH {EVENTS_SQL} SELECT event_id, user_id, k, value FROM e
         WHERE event_id % 7 <> 0""",
+    **{
+        name: f"""SELECT CASE WHEN {IS_TEST_SQL} THEN 'test' ELSE 'train' END AS split, COUNT(*) AS n,
+          TRUE AS scored, TRUE AS explains FROM events GROUP BY 1"""
+        for name in ("forest_fit", "gbt_fit")
+    },
+    **{
+        name: """SELECT CAST(hour(ts) AS DOUBLE) AS hour, CAST(day(ts) > 15 AS INTEGER)::DOUBLE AS half,
+          round(AVG(value), 6) AS prediction FROM events GROUP BY 1, 2"""
+        for name in ("forest_means", "boosting_means")
+    },
+    "pipeline_fit": "SELECT event_type AS item, COUNT(*) AS n, TRUE AS is_zero FROM events GROUP BY 1"
+    + "".join(f" UNION ALL SELECT '{c}', COUNT(*), TRUE FROM events" for c in M.number_slots(EVENT_ROLES)),
+    "feature_subsets": " UNION ALL ".join(
+        f"SELECT '{c}' AS features, COUNT(*) AS n, TRUE AS explains FROM events" for c in ("all", "no_k", "no_k_no_type")
+    ),
+    **{
+        name: " UNION ALL ".join(
+            f"SELECT 'run' AS run, '{m}' AS model, '{s}' AS split, '{c}' AS metric, TRUE AS sound"
+            for m in ("random_forest", "linear_regression", "boosted_trees")
+            for s, c in _ROWS
+        )
+        for name in ("compare_models", "train_suite")
+    },
+    "grid_search": f"""WITH {_ORDERS},
+        n AS (SELECT *, row_number() OVER (ORDER BY o_orderkey) - 1 AS i, COUNT(*) OVER () AS t FROM o),
+        h AS (SELECT x, y, CASE WHEN i < (t % 3) * (t // 3 + 1) THEN i // (t // 3 + 1)
+                ELSE (i - (t % 3)) // (t // 3) END AS fold FROM n),
+        w AS (SELECT f, regr_slope(y, x) AS a, regr_intercept(y, x) AS b, SUM(x * y) / SUM(x * x) AS c
+              FROM h JOIN range(3) AS v(f) ON h.fold <> v.f GROUP BY 1),
+        e AS (SELECT f, sqrt(AVG((y - a * x - b) ** 2)) AS one, sqrt(AVG((y - c * x) ** 2)) AS two
+              FROM h JOIN w ON h.fold = w.f GROUP BY 1)
+        SELECT 'True' AS intercept, round(AVG(one), 3) AS rmse, round(stddev_pop(one), 3) AS rmse_std FROM e
+        UNION ALL SELECT 'False', round(AVG(two), 3), round(stddev_pop(two), 3) FROM e""",
     "pipeline_means": """SELECT event_type, COUNT(*) AS n, round(AVG(value), 6) AS mean_prediction
         FROM events GROUP BY 1""",
     "linear_suite": f"""WITH {EVENTS_SQL},

@@ -214,9 +214,9 @@ def cross_validate(
     """Metrics per fold and part, ``(fold, split, n, rmse, mae, r2, mape)``.
 
     Each fold fits on the others. Fits run a few at a time; all metrics come from one
-    aggregate over the union of the scored folds.
+    aggregate over the union of the scored folds. The marked rows are kept for all of them.
     """
-    marked = folds(df, key, k, shuffled)
+    marked = folds(df, key, k, shuffled).persist()
     pool = ThreadPool(min(parallelism, k))
     try:
         fitted = pool.map(
@@ -231,7 +231,11 @@ def cross_validate(
                 F.lit(i).alias("fold"), F.lit(split).alias("split"), column(target), column(prediction)
             )
             scored = rows if scored is None else scored.unionByName(rows)
-    return regression_metrics(scored, target, prediction, ["fold", "split"])
+    found = regression_metrics(scored, target, prediction, ["fold", "split"])
+    # Two rows per fold: computed while the marked rows are kept.
+    rows = df.sparkSession.createDataFrame(found.collect(), found.schema)
+    marked.unpersist()
+    return rows
 
 
 def summarize_folds(fold_metrics: DataFrame, names: Sequence[str] = ("rmse", "mae", "r2")) -> DataFrame:

@@ -54,6 +54,8 @@ class Grid:
     splits: int
     groups: int
     seen: tuple[int, ...]
+    # Rows with a value, their mean, and the sum of squares about it, per column.
+    moments: tuple[tuple[int, float, float], ...]
 
     @property
     def total_cells(self) -> int:
@@ -76,6 +78,7 @@ class Grid:
             lows=some(self.lows),
             highs=some(self.highs),
             seen=some(self.seen),
+            moments=some(self.moments),
         )
 
     def value_of_cell(self, index: int, cell: int) -> float | None:
@@ -132,6 +135,13 @@ def _merged_edges(parts: Sequence[tuple[int, Sequence[float]]], intervals: int)
     return merged
 
 
+def _merged_moments(parts: Sequence[tuple[int, float, float]]) -> tuple[int, float, float]:
+    """Count, mean and sum of squares about the mean of the whole from those of its parts."""
+    n = sum(k for k, _, _ in parts)
+    mean = math.fsum(k * m for k, m, _ in parts) / n if n else 0.0
+    return n, mean, math.fsum(k * v + k * (m - mean) ** 2 for k, m, v in parts)
+
+
 def build_grid(
     df: DataFrame,
     columns: Sequence[str],
@@ -152,6 +162,8 @@ def build_grid(
             F.count(f"v{i}").alias(f"n{i}"),
             F.min(f"v{i}").alias(f"low{i}"),
             F.max(f"v{i}").alias(f"high{i}"),
+            F.avg(f"v{i}").alias(f"mean{i}"),
+            F.var_pop(f"v{i}").alias(f"var{i}"),
             F.expr(f"percentile_approx(v{i}, {shares}, {SKETCH_ACCURACY})").alias(f"edges{i}"),
         ]
     values = [as_position(df, name).alias(f"v{i}") for i, name in enumerate(columns)]
@@ -159,7 +171,7 @@ def build_grid(
     group = F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS))
     parts = df.select(group.alias("part"), *values).groupBy("part").agg(*aggregates).collect()
     groups = df.select(*[column(c) for c in by]).distinct().count() if by else 1
-    edges, frequent, lows, highs, seen, counts = [], [], [], [], [], [0]
+    edges, frequent, lows, highs, seen, counts, moments = [], [], [], [], [], [0], []
     for i in range(len(columns)):
         filled = [p for p in parts if p[f"n{i}"]]
         found = _merged_edges([(p[f"n{i}"], p[f"edges{i}"]) for p in filled], intervals)
@@ -171,6 +183,7 @@ def build_grid(
         lows.append(min((p[f"low{i}"] for p in filled), default=0.0))
         highs.append(max((p[f"high{i}"] for p in filled), default=0.0))
         counts.append(sum(p[f"n{i}"] for p in filled))
+        moments.append(_merged_moments([(p[f"n{i}"], p[f"mean{i}"], p[f"var{i}"]) for p in filled]))
     rows = max(counts)
     splits = max(1, min(MAX_SPLITS, math.ceil(rows / (rows_per_cell * intervals))))
     return Grid(
@@ -183,6 +196,7 @@ def build_grid(
         splits,
         groups,
         tuple(seen),
+        tuple(moments),
     )
 
 

@@ -60,25 +60,29 @@ def describe(
 ) -> DataFrame:
     """count, mean, std, min, percentiles and max, one row per column.
 
-    Percentiles are exact with linear interpolation; ``approx`` takes them from a sketch
-    in the same aggregate as the rest.
+    Percentiles are exact with linear interpolation. Count, mean, deviation and limits come
+    from the pass that fixes the cells of the exact percentiles. ``approx`` takes everything
+    from one aggregate with one sketch per column.
     """
     names = list(columns) if columns is not None else numeric_columns(df)
     labels = {percentile_name(p): p for p in percentiles}
     if approx:
-        found = df.agg(
-            *[
-                F.percentile_approx(_number(c), p, 10000).alias(f"{label}{i}")
-                for i, c in enumerate(names)
-                for label, p in labels.items()
-            ]
-        )
-        marks = _unfold(found, names, list(labels))
-    else:
-        marks = quantiles(df, names, labels).drop("n")
-    # One row per described column on both sides.
-    joined = moments(df, names).join(F.broadcast(marks), "column", "left")
-    return joined.select("column", "count", "mean", "std", "min", *labels, "max")
+        shares = [float(p) for p in labels.values()]
+        found = df.agg(*[F.percentile_approx(_number(c), shares, 10000).alias(f"marks{i}") for i, c in enumerate(names)])
+        marks = _unfold(found, names, ["marks"])
+        marks = marks.select("column", *[F.get("marks", F.lit(i)).alias(label) for i, label in enumerate(labels)])
+        # One row per described column on both sides.
+        joined = moments(df, names).join(F.broadcast(marks), "column", "left")
+        return joined.select("column", "count", "mean", "std", "min", *labels, "max")
+    grid = build_grid(df, names)
+    marks = quantile_values(df, names, labels, grid)
+    rows = []
+    for i, c in enumerate(names):
+        n, mean, squares = grid.moments[i]
+        some = (float(mean), (squares / (n - 1)) ** 0.5 if n > 1 else None, float(grid.lows[i])) if n else (None, None, None)
+        rows.append((c, n, *some, *(marks[c][label] for label in labels), float(grid.highs[i]) if n else None))
+    fields = ", ".join(f"`{f}` double" for f in ("mean", "std", "min", *labels, "max"))
+    return df.sparkSession.createDataFrame(rows, f"column string, count bigint, {fields}")
 
 
 def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -340,10 +344,14 @@ def cap_and_describe(
     df: DataFrame, name: str, value: float | None = None, share: float = 0.99
 ) -> DataFrame:
     """Summary of a column before and after the cap."""
-    capped, found = cap(df, name, value, share)
-    before = describe(df, [name]).withColumn("stage", F.lit("before"))
+    label = percentile_name(share)
+    # The cap is one more percentile of the first description.
+    before = describe(df, [name], sorted({*PERCENTILES, share}))
+    found = before.first()[label]
+    extra = [label] if share not in PERCENTILES else []
+    capped = threshold(df, name, upper=found if value is None else float(value))
     after = describe(capped, [name]).withColumn("stage", F.lit("after"))
-    return before.unionByName(after).withColumn("percentile", F.lit(found))
+    return before.drop(*extra).withColumn("stage", F.lit("before")).unionByName(after).withColumn("percentile", F.lit(found))
 
 
 def compare(

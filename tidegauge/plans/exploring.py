@@ -9,6 +9,7 @@ from tidegauge.operators.clean import threshold
 from tidegauge.operators.profile import cap, compare_quantile, correlation, describe
 from tidegauge.plans.cleaning import clean
 from tidegauge.roles import Roles
+from tidegauge.session import stored
 
 # Plausible upper limits of an energy reading.
 TARGET_CAP = 157.0
@@ -28,9 +29,10 @@ def explore(
     """Tables of an exploration, by name.
 
     ``profiled`` is described after the target cap, ``capped`` is described and cut at
-    ``second_cap``. With ``other`` the target's 99th percentile is compared.
+    ``second_cap``. With ``other`` the target's 99th percentile is compared. The cleaned
+    tables are stored once; all others are made from them.
     """
-    tidy = clean(df, roles)
+    tidy = stored(clean(df, roles), "clean")
     target = resolve(tidy, [roles.target])
     within, _ = cap(tidy, target, target_cap)
     second = resolve(within, [capped])
@@ -46,7 +48,7 @@ def explore(
         "correlation": correlation(final),
     }
     if other is not None:
-        original = clean(other, roles)
+        original = stored(clean(other, roles), "original")
         tables["other_correlation"] = correlation(original)
         tables["percentile_comparison"] = compare_quantile(
             {"original": original, "modified": final}, target

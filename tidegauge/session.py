@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,6 +64,13 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a parquet table in the shared folder, read back: for large reused tables."""
+    path = f"{shared_folder(df.sparkSession).rstrip('/')}/{name}-{uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def broadcast_if_small(df: DataFrame, rows: int, row_bytes: int = 64) -> DataFrame:
     """Broadcast ``df`` when ``rows``, a bound known before the join, is small enough.
 
