@@ -19,10 +19,11 @@ from catalog.inputs import (
 )
 from tidegauge.functions.names import normalize_headers, rename, resolve, safe_names
 from tidegauge.operators import clean as C
+from tidegauge.operators.order_stats import nth_row
 from tidegauge.operators.profile import null_profile, schema_report
-from tidegauge.plans.cleaning import clean, preprocess
+from tidegauge.plans.cleaning import clean, prepare_table, preprocess
 from tidegauge.session import shared_folder
-from tidegauge.sources.tables import read_table, write_table
+from tidegauge.sources.tables import read_table, text_schema, write_table
 
 
 def _typed(spark, folder):
@@ -159,7 +160,48 @@ def write_read(spark, folder):
     return stored.select("event_id", "user_id", "event_type", "value", F.col("day").cast("string").alias("day"))
 
 
+def csv_round_trip(spark, folder):
+    """Text with quotes, commas and line breaks through a CSV sink and source."""
+    path = f"{shared_folder(spark)}/csv-{uuid4().hex}"
+    note = F.concat(F.lit('said "'), "event_type", F.lit('",\nthen left'))
+    df = table(spark, folder, "events").select("event_id", "value", "event_type", note.alias("note"))
+    write_table(df, path, fmt="csv", sort_by=["event_id"])
+    back = read_table(spark, path, "csv", required=["event_id", "note"], schema=text_schema(df.columns), multi_line=True)
+    typed = C.coerce_numeric(back, ["value"]).withColumn("event_id", F.col("event_id").cast("bigint"))
+    return typed.select("event_id", "value", "event_type", "note")
+
+
+def prepared(spark, folder):
+    """Raw CSV to a table with a folder per day: rows per day and the largest value."""
+    base = f"{shared_folder(spark)}/prepared-{uuid4().hex}"
+    write_table(normalize_headers(dirty_events(spark, folder)), f"{base}/raw", fmt="csv")
+    names = ["event_id", "user_id", "date", "usage_value", "event_type"]
+    raw = read_table(spark, f"{base}/raw", "csv", schema=text_schema(names))
+    write_table(raw, f"{base}/text")
+    stored = prepare_table(spark, f"{base}/text", f"{base}/out", DIRTY_ROLES, fmt="parquet")
+    found = stored.groupBy(F.col("date_day").cast("string").alias("day")).agg(
+        F.count(F.lit(1)).alias("n"), F.max("usage_value").alias("largest"), F.sum("hour").alias("hours")
+    )
+    return round_all(found)
+
+
+def threshold_nan(spark, folder):
+    """NaN is within no bound."""
+    df = table(spark, folder, "events").select("event_id", F.when(F.col("event_id") % 3 == 0, F.lit(float("nan"))).otherwise(F.col("value")).alias("value"))
+    return C.threshold(df, "value", lower=40.0)
+
+
+def row_lookup_wide(spark, folder):
+    """The row at a position by ids that doubles cannot tell apart."""
+    df = table(spark, folder, "events").select((F.col("event_id") + F.lit(1 << 60)).alias("wide_id"), "event_type")
+    return nth_row(df, "wide_id", 57)
+
+
 QUERIES = {
+    "csv_round_trip": csv_round_trip,
+    "prepare_table": prepared,
+    "threshold_nan": threshold_nan,
+    "row_lookup_wide": row_lookup_wide,
     "coerce_numeric": coerce_numeric,
     "coerce_timestamp": coerce_timestamp,
     "normalize_text": normalize_text,
@@ -183,6 +225,16 @@ QUERIES = {
 }
 
 SQL = {
+    "csv_round_trip": """SELECT event_id, value, event_type,
+        'said "' || event_type || '",' || chr(10) || 'then left' AS note FROM events""",
+    "prepare_table": f"""WITH {TYPED_SQL},
+        r AS (SELECT t.date, t.usage_value FROM typed t JOIN dirty d USING (event_id)
+              WHERE t.date IS NOT NULL AND t.usage_value IS NOT NULL AND d.raw_type <> '')
+        SELECT strftime(date, '%Y-%m-%d') AS day, COUNT(*) AS n, round(MAX(usage_value), 6) AS largest,
+          CAST(SUM(hour(date)) AS BIGINT) AS hours FROM r GROUP BY 1""",
+    "threshold_nan": "SELECT event_id, value FROM events WHERE event_id % 3 <> 0 AND value >= 40",
+    "row_lookup_wide": """SELECT event_id + 1152921504606846976 AS wide_id, event_type FROM
+        (SELECT *, row_number() OVER (ORDER BY event_id) - 1 AS i FROM events) WHERE i = 57""",
     "coerce_numeric": f"WITH {TYPED_SQL} SELECT event_id, usage_value FROM typed",
     "coerce_timestamp": f"""WITH {TYPED_SQL}
         SELECT event_id, strftime(date, '%Y-%m-%d %H:%M:%S') AS date FROM typed""",

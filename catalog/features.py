@@ -17,6 +17,7 @@ from tidegauge.operators.stages import (
     MedianImputer,
     ModeImputer,
     QuantileClipper,
+    SparseDummies,
     Standardizer,
     clip_batch,
 )
@@ -43,6 +44,32 @@ def date_batch_clip(spark, folder):
     return round_all(clip_batch(made, DATES[:4], 0.05, 0.95))
 
 
+def clip_nan(spark, folder):
+    """NaN stays missing."""
+    nan = F.when(F.col("event_id") % 5 == 0, F.lit(float("nan"))).otherwise(F.col("value"))
+    df = table(spark, folder, "events").select("event_id", nan.alias("value"))
+    return round_all(QuantileClipper(columns=["value"]).fit(df).transform(df))
+
+
+def dummies_typed(spark, folder):
+    """Booleans and whole numbers as categories."""
+    df = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", (F.col("l_tax") > 0.04).alias("high"), (F.col("l_linenumber") * 5).alias("n"))
+    made = Dummies(columns=["high", "n"]).fit(df).transform(df)
+    names = [c for c in made.columns if c not in ("l_orderkey", "l_linenumber")]
+    return made.groupBy("l_linenumber").agg(F.count(F.lit(1)).alias("rows"), *[F.sum(c).alias(c) for c in names])
+
+
+def sparse_dummies(spark, folder):
+    """One slot per part in a sparse vector: its sum is one for every row."""
+    df = table(spark, folder, "lineitem").select("l_partkey")
+    made = SparseDummies(columns=["l_partkey"]).fit(df).transform(df)
+    slots = vector_to_array("l_partkey_dummies")
+    width = made.select(F.size(slots).alias("width"), "l_partkey")
+    total = F.aggregate(slots, F.lit(0.0), lambda acc, x: acc + x)
+    sums = made.agg(F.count(F.lit(1)).alias("rows"), F.sum(total).alias("ones"))
+    return sums.select("rows", "ones", F.lit(width.first()["width"]).alias("slots"))
+
+
 def ratio_features(spark, folder):
     df = table(spark, folder, "lineitem").select("l_quantity", "l_discount", "l_tax")
     return round_all(Interactions(columns=["l_quantity", "l_discount", "l_tax"]).transform(df), 4)
@@ -129,6 +156,9 @@ def engineered_split(spark, folder):
 
 
 QUERIES = {
+    "clip_nan": clip_nan,
+    "dummies_typed": dummies_typed,
+    "sparse_dummies": sparse_dummies,
     "date_features": date_features,
     "batch_clip": date_batch_clip,
     "ratio_features": ratio_features,
@@ -171,6 +201,14 @@ _CLIP_SQL = (
 _SCALED = number_slots(EVENT_ROLES)
 
 SQL = {
+    "clip_nan": """WITH e AS (SELECT event_id, CASE WHEN event_id % 5 <> 0 THEN value END AS value FROM events),
+        b AS (SELECT quantile_cont(value, 0.01) AS vl, quantile_cont(value, 0.99) AS vh FROM e)
+        SELECT event_id, CASE WHEN value IS NOT NULL THEN round(least(greatest(value, vl), vh), 6) END AS value FROM e, b""",
+    "dummies_typed": """SELECT l_linenumber, COUNT(*) AS rows, CAST(SUM(CAST(l_tax > 0.04 AS INTEGER)) AS BIGINT) AS high_true, """
+    + ", ".join(f"CAST(SUM(CAST(l_linenumber = {i} AS INTEGER)) AS BIGINT) AS n_{5 * i}" for i in range(2, 8))
+    + " FROM lineitem GROUP BY 1",
+    "sparse_dummies": """SELECT COUNT(*) AS rows, CAST(COUNT(*) AS DOUBLE) AS ones,
+        CAST(COUNT(DISTINCT l_partkey) AS INTEGER) AS slots FROM lineitem""",
     "date_features": f"""WITH {TYPED_SQL}
         SELECT event_id, round(coalesce(hour(date), -1)::DOUBLE, 5) AS date_hour,
           round(coalesce(isodow(date) - 1, -1)::DOUBLE, 5) AS date_dayofweek,

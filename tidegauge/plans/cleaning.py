@@ -68,9 +68,18 @@ def prepare_table(
     roles: Roles,
     fmt: str = "csv",
     output_fmt: str = "parquet",
+    by_day: bool = True,
 ) -> DataFrame:
-    """Read raw records, preprocess, write; returns the written table."""
+    """Read raw records, preprocess, write in order of time; returns the written table.
+
+    ``by_day`` makes one folder per day, column ``<time>_day``, so that readers of a period
+    skip the rest.
+    """
     raw = read_table(spark, source, fmt, required=[roles.time, *roles.categorical, roles.target])
     typed = coerce_numeric(raw, [roles.target, *roles.numeric])
-    write_table(preprocess(typed, roles, sort=False), output, output_fmt, sort_by=[roles.time])
+    ready = preprocess(typed, roles, sort=False)
+    day = f"{roles.time}_day"
+    if by_day:
+        ready = ready.withColumn(day, column(roles.time).cast("date"))
+    write_table(ready, output, output_fmt, partition_by=[day] if by_day else [], sort_by=[roles.time])
     return read_table(spark, output, output_fmt)
