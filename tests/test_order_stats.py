@@ -119,3 +119,20 @@ def test_wide_keys_are_told_apart(spark):
     assert [r["key"] for r in nth_row(df, "key", 3).collect()] == [(1 << 60) + 3]
     marked = folds(df, "key", 4).orderBy("key").collect()
     assert [r["fold"] for r in marked] == [0, 0, 1, 1, 2, 2, 3, 3]
+
+
+def test_an_outlier_does_not_stretch_the_parts(spark):
+    """Log-normal values with one at 1e15: no part holds many times its share."""
+    from tidegauge.operators.order_stats import long_cells, quantile_values, with_rank
+
+    rng = np.random.default_rng(8)
+    values = np.append(rng.lognormal(size=60_000), 1e15)
+    df = spark.createDataFrame(pd.DataFrame({"x": values}))
+    grid = build_grid(df, ["x"], rows_per_cell=3, intervals=64)
+    assert grid.splits > 1
+    sizes = [r["count"] for r in long_cells(df, grid).groupBy("cell", "part").count().collect()]
+    assert max(sizes) <= 12 * len(values) / (64 * grid.splits)
+    found = quantile_values(df, ["x"], {"p": 0.995, "m": 0.5}, grid)["x"]
+    assert found["p"] == np.quantile(values, 0.995) and found["m"] == np.quantile(values, 0.5)
+    ranked = with_rank(df, "x", grid=grid).toPandas()
+    assert (ranked["rank"].to_numpy() == pd.Series(ranked["x"]).rank(method="min").to_numpy() - 1).all()

@@ -3,9 +3,9 @@
 The value line of every column is cut into *cells* at quantile edges from one sketch,
 fixed on the driver. Counting rows per cell is one small aggregate and gives, by running
 sums, how many rows lie before each cell. A question such as "the value of rank k" then
-concerns one cell only. Where cells hold many rows each is cut again into equal *parts*,
-but only the rows of the cells in question are counted by part, and only those of the
-part in question value by value.
+concerns one cell only. Where cells hold many rows each is cut again into *parts* at the
+quantiles of its own rows, by a second sketch; only the rows of the cells in question are
+counted by part, and only those of the part in question value by value.
 
 The sketch steers where the work goes, never the answer: counts are exact, so a poor
 sketch makes cells uneven but leaves results unchanged. A value that fills many rows
@@ -33,7 +33,7 @@ INTERVALS = 512
 SKETCH_ACCURACY = 8 * INTERVALS
 SKETCH_GROUPS = 64
 ROWS_PER_CELL = 2_000_000
-MAX_SPLITS = 1024
+MAX_SPLITS = 256
 EXACT_DOUBLE = 2.0**53
 
 
@@ -56,6 +56,8 @@ class Grid:
     seen: tuple[int, ...]
     # Rows with a value, their mean, and the sum of squares about it, per column.
     moments: tuple[tuple[int, float, float], ...]
+    # Edges of the parts of all cells, on tables whose cells hold many rows.
+    fine: tuple[tuple[float, ...], ...] = ()
 
     @property
     def total_cells(self) -> int:
@@ -79,6 +81,7 @@ class Grid:
             highs=some(self.highs),
             seen=some(self.seen),
             moments=some(self.moments),
+            fine=some(self.fine) if self.fine else (),
         )
 
     def value_of_cell(self, index: int, cell: int) -> float | None:
@@ -186,7 +189,7 @@ def build_grid(
         moments.append(_merged_moments([(p[f"n{i}"], p[f"mean{i}"], p[f"var{i}"]) for p in filled]))
     rows = max(counts)
     splits = max(1, min(MAX_SPLITS, math.ceil(rows / (rows_per_cell * intervals))))
-    return Grid(
+    grid = Grid(
         tuple(columns),
         tuple(edges),
         tuple(frequent),
@@ -198,19 +201,22 @@ def build_grid(
         tuple(seen),
         tuple(moments),
     )
+    return replace(grid, fine=_fine_edges(df, grid, splits)) if splits > 1 else grid
 
 
-def _part(grid: Grid, index: int, value: Column, cell: Column) -> Column:
-    """Which of the equal parts of its cell a value falls in."""
-    if grid.splits == 1:
-        return F.lit(0)
-    bounds = (grid.lows[index], *grid.edges[index], grid.highs[index])
-    widths = [high - low for low, high in zip(bounds, bounds[1:])]
-    scales = [grid.splits / w if 0.0 < w < math.inf else 0.0 for w in widths]
-    low = F.element_at(F.expr(doubles(bounds[:-1])), cell + 1)
-    scale = F.element_at(F.expr(doubles(scales)), cell + 1)
-    part = F.floor((value - low) * scale)
-    return F.least(F.greatest(part, F.lit(0)), F.lit(grid.splits - 1)).cast("int")
+def _fine_edges(df: DataFrame, grid: Grid, splits: int) -> tuple[tuple[float, ...], ...]:
+    """Edges that cut every cell into about ``splits`` parts of equal rows, per column.
+
+    A second sketch, per cell, so that a value far from the others does not stretch the
+    parts: they follow the rows, not the range. At most cells x splits numbers per column.
+    """
+    shares = doubles(i / splits for i in range(1, splits))
+    inner = f"percentile_approx(value, {shares}, {8 * splits})"
+    found = long_cells(df, grid).groupBy("ix", "cell").agg(F.expr(inner).alias("edges")).select("ix", "edges")
+    edges = [set(e) for e in grid.edges]
+    for row in found.toLocalIterator():
+        edges[row["ix"]].update(float(e) for e in row["edges"] if math.isfinite(e))
+    return tuple(tuple(sorted(e)) for e in edges)
 
 
 def with_cells(df: DataFrame, grid: Grid, keep: Sequence[Column] = ()) -> DataFrame:
@@ -218,22 +224,25 @@ def with_cells(df: DataFrame, grid: Grid, keep: Sequence[Column] = ()) -> DataFr
     kept = df.select(*keep).columns
     count = len(grid.columns)
     values = [as_position(df, c).alias(f"v{i}") for i, c in enumerate(grid.columns)]
-    splitter = Bucketizer(
-        splitsArray=[[-math.inf, *e, math.inf] for e in grid.edges],
-        inputCols=[f"v{i}" for i in range(count)],
-        outputCols=[f"i{i}" for i in range(count)],
-        handleInvalid="keep",
-    )
-    wide = splitter.transform(df.select(*keep, *values))
+
+    def placed(rows: DataFrame, edges: Sequence[Sequence[float]], name: str) -> DataFrame:
+        return Bucketizer(
+            splitsArray=[[-math.inf, *e, math.inf] for e in edges],
+            inputCols=[f"v{i}" for i in range(count)],
+            outputCols=[f"{name}{i}" for i in range(count)],
+            handleInvalid="keep",
+        ).transform(rows)
+
+    wide = placed(df.select(*keep, *values), grid.edges, "i")
+    if grid.fine:
+        wide = placed(wide, grid.fine, "f")
     cells = []
     for i in range(count):
         value, cell = F.col(f"v{i}"), F.col(f"i{i}").cast("int")
+        # Parts are numbered through all cells.
+        part = F.col(f"f{i}").cast("int") if grid.fine else F.lit(0)
         known = value.isNotNull()
-        cells += [
-            value,
-            F.when(known, cell).alias(f"b{i}"),
-            F.when(known, _part(grid, i, value, cell)).alias(f"p{i}"),
-        ]
+        cells += [value, F.when(known, cell).alias(f"b{i}"), F.when(known, part).alias(f"p{i}")]
     return wide.select(*[column(c) for c in kept], *cells)
 
 
@@ -509,8 +518,7 @@ def with_rank(df: DataFrame, key: str, name: str = "rank", grid: Grid | None = N
     """Add the 0-based position of each row by ``key`` and, as ``<name>_rows``, the count.
 
     Equal keys share the position of the first of them; rows without a key get NULL.
-    Only rows of one cell meet in a window partition. Rows of a one-value cell need no
-    ordering and are spread by hash.
+    Only rows of one part of a cell meet in a window partition.
     """
     grid = grid or build_grid(df, [key])
     row = [column(c) for c in df.columns]
@@ -538,8 +546,10 @@ def with_rank(df: DataFrame, key: str, name: str = "rank", grid: Grid | None = N
     level = F.col("b0").isNull()
     if grid.frequent[0]:
         level = level | F.col("b0").isin(grid.one_value_cells(0))
-    spread = F.when(level, F.pmod(F.xxhash64(*row), F.lit(256))).otherwise(F.lit(0))
-    window = Window.partitionBy(*place, spread).orderBy(column(key))
-    inside = F.when(level, F.lit(0)).otherwise(F.rank().over(window) - 1)
-    rank = F.when(F.col("b0").isNotNull(), F.col(start) + inside)
-    return placed.select(*row, rank.cast("bigint").alias(name), F.col(rows))
+    # Rows of a one-value cell stand where the cell starts; they and rows without a key are
+    # neither sorted nor shuffled.
+    flat = placed.filter(level).withColumn("_in", F.lit(0))
+    window = Window.partitionBy(*place).orderBy(column(key))
+    uneven = placed.filter(~level).withColumn("_in", F.rank().over(window) - 1)
+    rank = F.when(F.col("b0").isNotNull(), F.col(start) + F.col("_in"))
+    return flat.unionByName(uneven).select(*row, rank.cast("bigint").alias(name), F.col(rows))
