@@ -25,9 +25,9 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each near-duplicate group, the document with the smallest id."""
+    """Of each group of near duplicates (five words, 0.8), the document with the smallest id."""
     findable(spark)
-    return jaccard.kept(docs)
+    return jaccard.kept(docs, n=5, percent=80)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

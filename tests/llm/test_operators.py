@@ -136,7 +136,8 @@ def test_jaccard_on_messy_rows(messy, nothing):
     assert {r.doc_id for r in left.collect()} == keep
 
 
-def test_jaccard_chains_and_stars(spark):
+@pytest.mark.parametrize("n, percent", [(4, 85), (5, 80)])
+def test_jaccard_chains_and_stars(spark, n, percent):
     """Near copies of one text that are not near each other, chains, and all small sizes."""
     base = prose(150, 2).split()
     rows = [(0, " ".join(base))]
@@ -155,7 +156,7 @@ def test_jaccard_chains_and_stars(spark):
         rows.append((len(rows), " ".join([*w[:-1], "other"]) if size % 2 else " ".join([*w, "other"])))
     rows = [(len(rows) - i, t) for i, t in rows]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    assert tuples(jaccard.groups(docs)) == _linked(rows)
+    assert tuples(jaccard.groups(docs, n=n, percent=percent)) == _linked(rows, n, percent)
 
 
 def test_components(spark):
@@ -383,7 +384,7 @@ def test_pipeline_stages(spark, small):
             want, _ = _exact([(r.doc_id, r.text) for r in before.collect()])
             assert own == {keep for _, keep, _ in want}
         if name == "near_dedup":
-            assert own == {g for _, _, g in _linked([(r.doc_id, r.text) for r in before.collect()])}
+            assert own == {g for _, _, g in _linked([(r.doc_id, r.text) for r in before.collect()], 5, 80)}
         if name == "packing":
             assert own == ids
         else:

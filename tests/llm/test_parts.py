@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -186,18 +187,27 @@ def test_light_and_heavy_sizes():
     assert 10 <= jaccard.boundary(85) <= 19
 
 
-def test_linked_heavy_sets_share_a_list():
+@pytest.mark.parametrize("percent", [80, 85, 90])
+def test_linked_sets_differ_in_fewer_shingles_than_blocks(percent):
+    sizes = np.arange(jaccard.BLOCKED, 3000)
+    blocks = 2 ** jaccard.block_level(sizes, percent)
+    for a, m in zip(sizes.tolist(), blocks.tolist(), strict=True):
+        assert all(a + b - 2 * jaccard.need(a, b, percent) < m for b in jaccard.partners(a, percent) if b >= a)
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_linked_heavy_sets_share_a_list(percent):
     rng = np.random.default_rng(3)
     for size in (*range(14, 90), 150, 400, 900):
         for _ in range(6):
             a = rng.integers(1, 2**63, size, dtype=np.uint64)
-            t = int(rng.choice(list(jaccard.partners(size, 85))))
-            if min(t, size) <= jaccard.boundary(85):
+            t = int(rng.choice(list(jaccard.partners(size, percent))))
+            if min(t, size) <= jaccard.boundary(percent):
                 continue
-            shared = jaccard.need(size, t, 85)
+            shared = jaccard.need(size, t, percent)
             b = np.concatenate((rng.permutation(a)[:shared], rng.integers(1, 2**63, t - shared, dtype=np.uint64)))
             rows = np.repeat([0, 1], [len(a), len(b)])
-            row, key = jaccard.list_keys(2, rows, np.concatenate((np.sort(a), np.sort(b))), jaccard.boundary(85), 85)
+            row, key = jaccard.list_keys(2, rows, np.concatenate((np.sort(a), np.sort(b))), jaccard.boundary(percent), percent)
             assert set(key[row == 0].tolist()) & set(key[row == 1].tolist()), (size, t)
 
 

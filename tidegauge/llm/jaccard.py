@@ -92,8 +92,15 @@ def shingles(texts: pa.Array, n: int) -> Iterator[tuple[int, np.ndarray, np.ndar
         yield words.row0, words.rows, row[new], value[new]
 
 
-def _level(size: np.ndarray) -> np.ndarray:
-    return np.floor(np.log2(np.maximum(size, 3) / 2.5)).astype(np.int64)
+def block_level(size: np.ndarray, percent: int) -> np.ndarray:
+    """Number of blocks of a set as a power of two: more than its linked partners differ in.
+
+    Linked sets of sizes ``a <= b <= a / p`` differ in ``a (1 + 1 / p) (1 - p) / (1 + p)``
+    shingles at most.
+    """
+    p = percent / 100
+    differ = (1 + 1 / p) * (1 - p) / (1 + p)
+    return np.floor(np.log2(np.maximum(size, 3) * differ / 0.44)).astype(np.int64)
 
 
 def list_keys(rows: int, row: np.ndarray, value: np.ndarray, light: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
@@ -109,7 +116,7 @@ def list_keys(rows: int, row: np.ndarray, value: np.ndarray, light: int, percent
     out_row.append(row[use])
     out_key.append(mix(value[use] ^ np.uint64(0x5151)))
     # Blocks: at the level of the smaller set, which is this one or its smallest partner.
-    own, lower = _level(size), _level(np.maximum(least, BLOCKED))
+    own, lower = block_level(size, percent), block_level(np.maximum(least, BLOCKED), percent)
     for level, which in ((own, size >= BLOCKED), (lower, (size >= BLOCKED) & (lower < own))):
         use = np.flatnonzero(which[row])
         blocks = np.left_shift(1, level)[row[use]]
