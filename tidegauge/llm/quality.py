@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from tidegauge.llm.store import written
+from tidegauge.llm.store import hashed_sample, written
 from tidegauge.llm.words import SLICE
 
 LABELLED = 6_000
@@ -177,9 +177,9 @@ def platt(z: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 def co_train(table: DataFrame, rounds: int = ROUNDS, labelled: int = LABELLED, taught: int = TAUGHT) -> Model | Constant:
     """Fit both views on ``stored_views`` rows, teaching each other over ``rounds``."""
-    order = F.xxhash64("doc", F.lit("quality"))
     # At most ``labelled`` rows.
-    rows = table.filter("label is not null").orderBy(order, "doc").limit(labelled).collect()
+    known = table.filter("label is not null")
+    rows = hashed_sample(known, ["doc"], labelled, known.count()).collect()
     y = np.array([r["label"] for r in rows])
     if not 0 < y.sum() < len(y):
         return Constant(float(y.mean()) if len(y) else 1.0)
@@ -201,7 +201,7 @@ def co_train(table: DataFrame, rounds: int = ROUNDS, labelled: int = LABELLED, t
 
     model = fitted()
     for _ in range(rounds):
-        for view, chosen in enumerate(_confident(table, model, order, taught, share)):
+        for view, chosen in enumerate(_confident(table, model, taught, share)):
             if chosen:
                 x = unpacked(chosen)[view]
                 own[view].append((x, np.array([r["pseudo"] for r in chosen]), np.full(len(chosen), 0.5)))
@@ -209,7 +209,7 @@ def co_train(table: DataFrame, rounds: int = ROUNDS, labelled: int = LABELLED, t
     return model
 
 
-def _confident(table: DataFrame, model: Model, order, taught: int, share: float) -> list[list]:
+def _confident(table: DataFrame, model: Model, taught: int, share: float) -> list[list]:
     """For each view, the pseudo-labelled rows that the other view teaches it."""
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -229,12 +229,13 @@ def _confident(table: DataFrame, model: Model, order, taught: int, share: float)
         sides.append(F.when((teacher >= CONFIDENT) & (pupil >= 1 - OBJECTS), F.struct(F.lit(view).alias("view"), F.lit(1.0).alias("pseudo"))))
         sides.append(F.when((teacher <= 1 - CONFIDENT) & (pupil <= OBJECTS), F.struct(F.lit(view).alias("view"), F.lit(0.0).alias("pseudo"))))
     told = written(free.select("doc", "content", "page", F.explode(F.filter(F.array(*sides), lambda s: s.isNotNull())).alias("side")), "taught")
+    many = {(r["view"], r["pseudo"]): r["count"] for r in told.select("side.*").groupBy("view", "pseudo").count().collect()}
     out: list[list] = []
     for view in (0, 1):
         rows: list = []
         for pseudo, most in ((1.0, int(2 * taught * share) + 1), (0.0, int(2 * taught * (1 - share)) + 1)):
             part = told.filter(f"side.view = {view} and side.pseudo = {pseudo}").select("content", "page", "doc", F.lit(pseudo).alias("pseudo"))
-            rows += part.orderBy(order, "doc").limit(most).collect()
+            rows += hashed_sample(part, ["doc"], most, many.get((view, pseudo), 0)).collect()
         out.append(rows)
     return out
 

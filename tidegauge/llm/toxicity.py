@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegauge.llm.automata import Automaton, determinise, run
-from tidegauge.llm.store import written
+from tidegauge.llm.store import hashed_sample, written
 from tidegauge.llm.words import MARKS, Words, long_column, mix, spans, split
 from tidegauge.llm.words import _CODE as CODES
 
@@ -280,7 +280,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, key: str, text: str, lab
     """Texts and labels of at most ``most`` labelled rows that are not held out, by a hash."""
     rows = labels.filter(F.col(label).isin(0, 1) & F.col(key).isNotNull() & ~held_out(key))
     rows = rows.groupBy(key).agg(F.max(label).alias(label))
-    rows = rows.orderBy(F.xxhash64(key), key).limit(most)
+    rows = hashed_sample(rows, [key], most, rows.count())
     # At most ``most`` rows, so they may be broadcast.
     sample = docs.select(F.col(key), F.col(text).alias("text")).join(F.broadcast(rows), key)
     return written(sample.select("text", F.col(label).cast("int").alias(label)), "labelled").repartition(8)
