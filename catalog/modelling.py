@@ -153,7 +153,7 @@ def _tree_rows(spark, folder, kind):
     roles = EVENT_ROLES
     marked = hash_split(events(spark, folder), "event_id")
     pipeline = M.model_pipeline(roles, kind, SMALL.get(kind), carry=["split"])
-    scored = pipeline.fit(marked.filter("split = 'train'")).transform(marked)
+    scored = M.fit_kept(pipeline, marked.filter("split = 'train'")).transform(marked)
     found = regression_metrics(scored, roles.target, "prediction", ["split"])
     return found.select("split", "n", (F.col("rmse") > 0).alias("scored"), ((F.col("split") == "test") | (F.col("r2") > 0)).alias("explains"))
 
@@ -199,7 +199,7 @@ def pipeline_fit(spark, folder):
     """
     roles = EVENT_ROLES
     df = events(spark, folder)
-    made = M.model_pipeline(roles, "linear_regression", carry=["event_type"]).fit(df).transform(df)
+    made = M.fit_kept(M.model_pipeline(roles, "linear_regression", carry=["event_type"]), df).transform(df)
     residual = F.col("value") - F.col("prediction")
     slots = vector_to_array(M.FEATURES)
     names = M.number_slots(roles)
@@ -217,7 +217,7 @@ def feature_subsets(spark, folder):
     subsets = {"all": EVENT_ROLES, "no_k": EVENT_ROLES.without("k"), "no_k_no_type": EVENT_ROLES.without("k", "event_type")}
     found = None
     for name, roles in subsets.items():
-        scored = M.model_pipeline(roles, "linear_regression").fit(df).transform(df)
+        scored = M.fit_kept(M.model_pipeline(roles, "linear_regression"), df).transform(df)
         row = regression_metrics(scored, roles.target, "prediction")
         row = row.select(F.lit(name).alias("features"), "n", ((F.col("r2") >= -1e-9) & (F.col("r2") <= 1)).alias("explains"))
         found = row if found is None else found.unionByName(row)
@@ -228,7 +228,7 @@ def pipeline_means(spark, folder):
     """Mean prediction per category: a line with a slot per category meets the mean."""
     roles = EVENT_ROLES
     df = events(spark, folder)
-    scored = M.model_pipeline(roles, "linear_regression", carry=["event_type"]).fit(df).transform(df)
+    scored = M.fit_kept(M.model_pipeline(roles, "linear_regression", carry=["event_type"]), df).transform(df)
     found = scored.groupBy("event_type").agg(
         F.count(F.lit(1)).alias("n"), F.avg("prediction").alias("mean_prediction")
     )

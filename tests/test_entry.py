@@ -25,14 +25,7 @@ def test_every_oracle_belongs_to_a_query():
     assert set(sql) <= set(queries)
     # The corpus queries, where they are there, are tested on their own.
     queries = {name for module in entry.MODULES if module.__name__.startswith("catalog.") for name in module.QUERIES}
-    assert queries - set(sql) == {
-        "forest_fit",
-        "gbt_fit",
-        "pipeline_fit",
-        "compare_models",
-        "train_suite",
-        "grid_search",
-    }
+    assert queries <= set(sql)
 
 
 def test_oracle_sql_parses(folder):

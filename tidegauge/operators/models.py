@@ -164,6 +164,15 @@ def model_pipeline(
     )
 
 
+def fit_kept(estimator: Estimator, df: DataFrame) -> Model:
+    """Fit on rows that are kept meanwhile: stages read their input several times."""
+    kept = df.persist()
+    try:
+        return estimator.fit(kept)
+    finally:
+        kept.unpersist()
+
+
 def assembled(
     df: DataFrame, columns: Sequence[str], carry: Sequence[str] = (), output: str = FEATURES
 ) -> DataFrame:
