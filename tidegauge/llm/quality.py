@@ -30,8 +30,8 @@ from pyspark.sql.functions import arrow_udf
 from tidegauge.llm.store import hashed_sample, written
 from tidegauge.llm.words import SLICE
 
-LABELLED = 6_000
-TAUGHT = 1_000
+LABELLED = 4_000
+TAUGHT = 600
 ROUNDS = 3
 CONFIDENT = 0.97
 OBJECTS = 0.5
@@ -97,15 +97,22 @@ def views(texts: pa.Array, lang: pa.Array, source: pa.Array, chars: pa.Array) ->
 
 
 def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-3) -> np.ndarray:
-    """Weights of a logistic model, the intercept last (Newton steps)."""
-    x = np.hstack((x.astype(np.float64), np.ones((len(x), 1))))
-    w = np.zeros(x.shape[1])
+    """Weights of a logistic model, the intercept last (Newton steps).
+
+    Sums run over blocks of rows, so the driver holds the rows once, as they came.
+    """
+    w = np.zeros(x.shape[1] + 1)
     penalty = np.full(len(w), ridge * weight.sum())
     penalty[-1] = 1e-6
     for _ in range(8):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        h = (x * (weight * np.maximum(p * (1 - p), 1e-4))[:, None]).T @ x + np.diag(penalty)
-        w = w + np.linalg.solve(h, x.T @ (weight * (y - p)) - penalty * w)
+        h, g = np.diag(penalty), -penalty * w
+        for at in range(0, len(x), 512):
+            own = slice(at, at + 512)
+            part = np.hstack((x[own].astype(np.float64), np.ones((len(x[own]), 1))))
+            p = 1 / (1 + np.exp(-np.clip(part @ w, -30, 30)))
+            h += (part * (weight[own] * np.maximum(p * (1 - p), 1e-4))[:, None]).T @ part
+            g += part.T @ (weight[own] * (y[own] - p))
+        w = w + np.linalg.solve(h, g)
     return w
 
 
