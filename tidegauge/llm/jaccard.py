@@ -234,14 +234,18 @@ def rare_pairs(open_: DataFrame, texts: DataFrame, n: int, percent: int) -> Data
 
     with_text = open_.join(texts, "node").select("node", "component", "text")
     held = written(with_text.mapInArrow(taken, "node long, component long, values array<long>"), "open")
-    single = held.select("node", "component", F.explode("values").alias("value"))
+    single = held.select("node", "component", F.size("values").alias("size"), F.explode("values").alias("value"))
     often = single.groupBy("value").agg(F.count("*").alias("often"), (F.min("component") != F.max("component")).alias("open"))
-    # The shingles of one document, rarest first.
-    ordered = single.join(often, "value").groupBy("node", "component").agg(F.sort_array(F.collect_list(F.struct("often", "value", "open"))).alias("order"))
-    ordered = ordered.withColumn("size", F.size("order"))
+    # The shingles of one document, rarest first. Those that no other has come before all
+    # others; only their number matters, so they are not shipped.
+    shared = single.join(often.filter("often > 1"), "value").groupBy("node", "component", "size")
+    ordered = shared.agg(F.sort_array(F.collect_list(F.struct("often", "value", "open"))).alias("order"))
+    ordered = ordered.withColumn("own", F.col("size") - F.size("order"))
     length = F.col("size") - F.ceil(F.col("size") * F.lit(percent) / 100).cast("int") + 1
-    front = ordered.select("node", "component", "size", F.posexplode(F.slice("order", F.lit(1), length)).alias("place", "s"))
-    front = written(front.filter("s.open").select("node", "component", "size", "place", F.col("s.value").alias("value")), "front")
+    rest = F.slice("order", F.lit(1), F.greatest(length - F.col("own"), F.lit(0)))
+    front = ordered.select("node", "component", "size", "own", F.posexplode(rest).alias("at", "s")).filter("s.open")
+    place = (F.col("own") + F.col("at")).alias("place")
+    front = written(front.select("node", "component", "size", place, F.col("s.value").alias("value")), "front")
     a = front.withColumnsRenamed({c: f"{c}_a" for c in ("node", "component", "size", "place")})
     b = front.withColumnsRenamed({c: f"{c}_b" for c in ("node", "component", "size", "place")})
     least = F.ceil(F.lit(percent) * (F.col("size_a") + F.col("size_b")) / (100 + percent))
