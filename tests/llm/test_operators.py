@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -332,6 +333,29 @@ def test_decontamination(spark, messy, nothing):
     assert decontam.clean(messy, benchmark.limit(0)).count() == messy.count()
 
 
+@pytest.mark.parametrize("size", [200, 1_000, 10_000])
+def test_decontamination_of_many_items(spark, size):
+    rng = random.Random(size)
+    words = ["".join(rng.choices("abcdefghijklmnop", k=5)) for _ in range(5_000)]
+    text = lambda n: rng.choices(words, weights=[1 / (k + 1) for k in range(len(words))], k=n)
+    items = [text(400 if i % 50 == 0 else rng.randrange(15, 60)) for i in range(size)]
+    docs = []
+    for i in range(0, 60):
+        for tenths in range(4):
+            changed = set(rng.sample(range(len(items[i])), tenths * len(items[i]) // 10))
+            docs.append((4 * i + tenths, text(80) + ["changed" if k in changed else w for k, w in enumerate(items[i])] + text(90)))
+    frames = [spark.createDataFrame([(i, " ".join(w)) for i, w in rows], schema) for rows, schema in ((docs, "doc_id long, text string"), (enumerate(items), "item_id long, text string"))]
+    found = {r.whole.doc_id: r.leak for r in decontam.matches(*frames).filter("leak is not null").collect()}
+    for i, w in docs:
+        item = items[i // 4]
+        masks = {}
+        for k, x in enumerate(item):
+            masks[x] = masks.get(x, 0) | (1 << k)
+        if decontam.common(masks, len(item), w[80:-90]) >= 0.7 * len(item):
+            assert i in found, (i, len(item))
+            assert i % 4 or found[i]["share"] == 1.0
+
+
 def test_decontamination_finds_what_brute_force_finds(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet")
     items = spark.read.parquet(f"{small}/benchmark.parquet").collect()

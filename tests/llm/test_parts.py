@@ -226,6 +226,30 @@ def test_longest_common_subsequence():
         assert decontam.common(masks, len(a), b) == row[-1]
 
 
+def test_lookup_loses_no_stretch():
+    rng = np.random.default_rng(9)
+    words = [f"w{k}" for k in range(40)]
+    for _ in range(30):
+        items = [" ".join(rng.choice(words, rng.integers(1, 12))) + "." * int(rng.integers(0, 2)) + " " + " ".join(rng.choice(words, rng.integers(1, 3))) for _ in range(6)]
+        made = [decontam.Item(k, decontam.word_list(t), decontam.word_list(decontam.answer(t))) for k, t in enumerate(items)]
+        texts = [" ".join(rng.choice(words, rng.integers(0, 130))) for _ in range(5)]
+        norm = rng.random(decontam.HASHED)
+        lookup = decontam.Lookup(made, norm)
+        (split_,) = split(pa.array(texts), MARKS, lower=True)
+        code, first = split_.hashes(), split_.first
+        got = list(lookup.places(code, split_.row_of(), first))
+        for k, item in enumerate(made):
+            n, masks = len(item.words), {}
+            for i, w in enumerate(item.words):
+                masks[w] = masks.get(w, 0) | (1 << i)
+            for r in range(len(texts)):
+                for a in range(first[r], first[r + 1]):
+                    part = code[a : min(a + decontam.reach(n), first[r + 1])].tolist()
+                    share = decontam.common(masks, n, part) / n
+                    if share >= decontam.SURE or (share >= decontam.LIKELY and decontam.holds(part, item.answer)):
+                        assert any(k == i and low <= a <= high for i, low, high in got)
+
+
 def test_views_of_odd_texts():
     content, page = quality.views(pa.array([None, "", "A b\n9!", "x" * 3000]), pa.array([None, "en", "en", None]), pa.array(["s", None, "s", "s"]), pa.array([None, 0, 6, 3000], pa.int64()))
     assert content.shape == (4, quality.PAIRS) and page.shape == (4, quality.PAGE)
