@@ -356,6 +356,18 @@ def test_decontamination_of_many_items(spark, size):
             assert i % 4 or found[i]["share"] == 1.0
 
 
+def test_decontamination_reports_every_item(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(decontam, "ITEMS", 4)  # several blocks
+    items = [prose(15 + i, 700 + i) for i in range(10)]
+    near = " ".join(w if k % 6 else "changed" for k, w in enumerate(items[7].split()))
+    docs = [(1, " ".join([prose(50, 1), items[3], prose(60, 2), near, prose(50, 3), items[1]])), (2, prose(80, 4)), (3, items[5] + " " + items[5])]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame(list(enumerate(items)), "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    found = decontam.op6_decontamination(spark, str(tmp_path)).collect()
+    assert sorted((r.doc_id, r.item_id) for r in found) == [(1, 1), (1, 3), (1, 7), (3, 5)]
+    assert all((r.lcs_share == 1.0) == (r.item_id != 7) for r in found)
+
+
 def test_decontamination_finds_what_brute_force_finds(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet")
     items = spark.read.parquet(f"{small}/benchmark.parquet").collect()
