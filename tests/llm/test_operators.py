@@ -368,6 +368,15 @@ def test_decontamination_reports_every_item(spark, tmp_path, monkeypatch):
     assert all((r.lcs_share == 1.0) == (r.item_id != 7) for r in found)
 
 
+def test_decontamination_searches_all_texts_of_an_id(spark):
+    texts = [prose(20, 800 + i) for i in range(4)]
+    benchmark = spark.createDataFrame([(1, texts[0]), (1, texts[1]), (None, texts[2]), (None, texts[3]), (1, texts[0])], "item_id long, text string")
+    docs = spark.createDataFrame([(i, prose(30, i) + " " + t) for i, t in enumerate(texts)] + [(9, " ".join(texts)), (10, prose(60, 10))], "doc_id long, text string")
+    found = {r.whole.doc_id: [x["item"] for x in r.leaks] for r in decontam.matches(docs, benchmark).collect()}
+    assert found == {0: [1], 1: [1], 2: [None], 3: [None], 9: [1, 1, None, None], 10: []}
+    assert [r.doc_id for r in decontam.clean(docs, benchmark).collect()] == [10]
+
+
 def test_decontamination_finds_what_brute_force_finds(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet")
     items = spark.read.parquet(f"{small}/benchmark.parquet").collect()
