@@ -272,6 +272,22 @@ def test_toxicity_learns_and_catches_misspellings(spark):
     assert score[5][1] == 1
 
 
+def test_toxicity_catches_misspellings_of_inflected_and_short_terms(spark):
+    bad = ["idiot", "idiots", "idiott", "scum"]
+    rows = []
+    for i in range(600):
+        w = prose(30, i).split()
+        if i % 3 == 0:
+            w.insert(i % 25, bad[i // 3 % 4])
+        rows.append((" ".join(w), int(i % 3 == 0)))
+    terms, weights = toxicity.train(spark.createDataFrame(rows, "text string, toxic int"))
+    wrong = ["idjot", "1diot", "id1ot", "idoit", "idjots", "scmu", "scvm"]
+    docs = spark.createDataFrame([*((i, f"what a {w} you are") for i, w in enumerate(wrong)), (98, "such idiotic talk"), (99, "a kind person")], "doc_id long, text string")
+    score = {r.doc_id: (r.exact, r.near) for r in toxicity.score(docs, "doc_id", "text", terms, weights).collect()}
+    assert [score[i] for i in range(len(wrong))] == [(0, 1)] * len(wrong)
+    assert score[98][0] == 1 and score[99] == (0, 0)
+
+
 def test_toxicity_without_labels(spark, messy, nothing):
     terms, weights = toxicity.train(spark.createDataFrame([], "text string, toxic int"))
     assert terms == []

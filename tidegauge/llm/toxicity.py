@@ -15,7 +15,7 @@ without labels of both kinds the score is the share of toxic labels (0 without a
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +33,10 @@ LABELLED = 20_000
 STEMS = range(4, 8)
 #: A term must beat chance by this factor over all candidates together.
 CHANCE = 0.01
-#: Terms this long may be misspelled by one edit (bytes).
+#: Whole terms this long may be misspelled by one edit (bytes), in the plain automaton.
 LONG = 5
+#: Edits that a whole term may have from so many bytes on; a swap of neighbours is one.
+BUDGET = ((4, 1),)
 WINDOW = 8
 LIMIT = 0.3
 #: Words of reporting.
@@ -130,23 +132,35 @@ def learn_lexicon(docs: DataFrame) -> list[tuple[bytes, bool]]:
         return n * (p * math.log(p / share) + ((1 - p) * math.log((1 - p) / (1 - share)) if p < 1 else 0.0))
 
     least = math.log(max(len(rows), 1000) / CHANCE)
+    words = [r[0] for r in rows if not r[1]]
     rows = [r for r in rows if surprise(r[2], r[3]) >= least]
     seen = context_counts(docs, [(w, stem) for w, stem, _, _ in rows])
     scores = [(surprise(*seen.get(k, (0, 0))), len(w), w, stem) for k, (w, stem, _, _) in enumerate(rows)]
     terms: list[tuple[bytes, bool]] = []
     for found, _, word, stem in sorted(scores, reverse=True):
-        if found >= least and not any(word.startswith(t) or t.startswith(word) for t, _ in terms):
+        # Only whole words may be misspelled, so a stem does not shut them out.
+        if found >= least and not (stem and any(word.startswith(t) or t.startswith(word) for t, _ in terms)):
             terms.append((word, stem))
-    return terms
+    # Forms of a stem that are too rare to stand alone.
+    stems, have = tuple(t for t, stem in terms if stem), {t for t, stem in terms if not stem}
+    return terms + [(w, False) for w in sorted(words) if w.startswith(stems) and w not in have]
 
 
 # --- automaton -----------------------------------------------------------------------------
 
 
-def lexicon_automaton(terms: list[tuple[bytes, bool]]) -> tuple[Automaton, np.ndarray]:
+def allowed(term: bytes) -> int:
+    """Edits that a whole term may have."""
+    return next((edits for size, edits in BUDGET if len(term) >= size), 0)
+
+
+def lexicon_automaton(
+    terms: list[tuple[bytes, bool]], most: Callable[[bytes], int] = lambda term: int(len(term) >= LONG), swaps: bool = False
+) -> tuple[Automaton, np.ndarray]:
     """Trie of the terms intersected with their Levenshtein automata, and the symbol of each byte.
 
-    Results are the number of edits. A stem accepts any ending.
+    Results are the number of edits. A stem accepts any ending. ``most``: edits that a whole
+    term may have; ``swaps``: a swap of neighbours is one edit, not two.
     """
     alphabet = sorted({b for t, _ in terms for b in t})
     symbol = np.zeros(256, dtype=np.int32)
@@ -156,7 +170,7 @@ def lexicon_automaton(terms: list[tuple[bytes, bool]]) -> tuple[Automaton, np.nd
     stems: dict[int, int] = {}
     budget = [0]
     for term, stem in terms:
-        edits = int(len(term) >= LONG and not stem)
+        edits = 0 if stem else most(term)
         at = 0
         budget[0] = max(budget[0], edits)
         for b in term:
@@ -168,34 +182,40 @@ def lexicon_automaton(terms: list[tuple[bytes, bool]]) -> tuple[Automaton, np.nd
             budget[at] = max(budget[at], edits)
         (stems if stem else whole)[at] = edits
 
-    def closed(states) -> set[tuple[int, int]]:
+    # A state is a node, the edits so far and the symbol that ends a swap (or -1).
+    def closed(states) -> set[tuple[int, int, int]]:
         """With letters left out of the word."""
         seen, todo = set(), list(states)
         while todo:
-            node, edits = todo.pop()
-            if (node, edits) not in seen:
-                seen.add((node, edits))
-                todo += [(child, edits + 1) for child in trie[node].values() if edits < budget[child]]
+            node, edits, due = todo.pop()
+            if (node, edits, due) not in seen:
+                seen.add((node, edits, due))
+                if due < 0:
+                    todo += [(child, edits + 1, -1) for child in trie[node].values() if edits < budget[child]]
         return seen
 
-    def step(state: tuple[int, int], s: int) -> set[tuple[int, int]]:
-        node, edits = state
-        after = [(node, edits)] if node in stems and edits <= stems[node] else []
+    def step(state: tuple[int, int, int], s: int) -> set[tuple[int, int, int]]:
+        node, edits, due = state
+        if due >= 0:
+            return closed([(node, edits, -1)] if s == due else [])
+        after = [(node, edits, -1)] if node in stems and edits <= stems[node] else []
         for b, child in trie[node].items():
             if s and symbol[b] == s:
-                after.append((child, edits))
+                after.append((child, edits, -1))
             elif edits < budget[child]:
-                after.append((child, edits + 1))
+                after.append((child, edits + 1, -1))
+            if swaps and s:
+                after += [(end, edits + 1, int(symbol[b])) for c, end in trie[child].items() if symbol[c] == s and b != c and edits < budget[end]]
         if edits < budget[node]:
-            after.append((node, edits + 1))
+            after.append((node, edits + 1, -1))
         return closed(after)
 
-    def accept(state: tuple[int, int]) -> int | None:
-        node, edits = state
+    def accept(state: tuple[int, int, int]) -> int | None:
+        node, edits, due = state
         fits = (node in whole and edits <= whole[node]) or (node in stems and edits <= stems[node])
-        return edits if fits else None
+        return edits if fits and due < 0 else None
 
-    return determinise(closed([(0, 0)]), step, accept, len(alphabet) + 1), symbol
+    return determinise(closed([(0, 0, -1)]), step, accept, len(alphabet) + 1), symbol
 
 
 # --- documents -----------------------------------------------------------------------------
@@ -216,7 +236,7 @@ FEATURES = ("exact", "near", "quoted")
 
 def hits(docs: DataFrame, key: str, text: str, terms: list[tuple[bytes, bool]], more: tuple[str, ...] = ()) -> DataFrame:
     """Per document: exact hits, misspelled hits and quoted hits. ``more``: columns to keep."""
-    automaton, symbol = lexicon_automaton(terms)
+    automaton, symbol = lexicon_automaton(terms, allowed, swaps=True)
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in docs.select(key, *more).schema)
     edits = np.array([min(x) if x else 9 for x in automaton.labels])
 
