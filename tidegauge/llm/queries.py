@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 from tidegauge.llm import (
+    collocation,
     decontam,
     exact_stream,
     jaccard,
     license_scan,
+    merkle,
     packing,
     quality,
     reshard,
+    slack_packing,
     substring,
     toxicity,
     url_filter,
@@ -36,6 +39,9 @@ QUERIES = {
     "op8_packing": packing.op8_packing,
     "op9_exact_dedup": exact_stream.op9_exact_dedup,
     "op10_url_filter": url_filter.op10_url_filter,
+    "op11_merkle": merkle.op11_merkle,
+    "op12_collocations": collocation.op12_collocations,
+    "op13_bin_slack": slack_packing.op13_bin_slack,
 }
 QUERIES = {name: _ready(query) for name, query in QUERIES.items()}
 SQL = {
@@ -43,4 +49,6 @@ SQL = {
     "op3_jaccard_join": jaccard.SQL,
     "op5_license_scan": license_scan.SQL,
     "op9_exact_dedup": exact_stream.SQL,
+    "op11_merkle": merkle.SQL,
+    "op12_collocations": collocation.SQL,
 }
