@@ -4,7 +4,8 @@ Documents become token ids plus an end mark; longer ones than a sequence are cut
 the packing is only how many pieces there are of each length, at most ``capacity`` numbers
 whatever the corpus. For each bin a dynamic program over these lengths, with the reachable
 sums as the bits of one integer, finds the fullest combination beside the longest piece left;
-it is removed as often as the counts allow, which is what repeating the search would do. The
+it is removed as often as the counts allow, which is what repeating the search would do. Plans
+that take a combination a little less full where it has longer pieces compete. The
 plan is a few thousand rows: which ranks of a length go to which run of sequences. Pieces get
 their rank in a length from the order of their task and the counts of the tasks before it, so
 no length, however frequent, is sorted or meets in one task.
@@ -122,11 +123,12 @@ def pieces(docs: DataFrame, key: str, text: str, words: Vocabulary, capacity: in
     return rows.mapInArrow(tokenised, shape)
 
 
-def fullest(counts: list[int], capacity: int, must: int) -> dict[int, int]:
+def fullest(counts: list[int], capacity: int, must: int, spare: int = 0) -> dict[int, int]:
     """The combination of available lengths that leaves least of ``capacity``, with ``must`` in it.
 
     ``counts[v]`` pieces of length ``v`` are available. Sums are bits of an integer; copies are
-    added by doubling. Of equal sums the one with longer pieces is taken.
+    added by doubling. Of equal sums the one with longer pieces is taken; with ``spare``, sums
+    up to so much below the fullest count as equal to it.
     """
     room = capacity - must
     full = (1 << (room + 1)) - 1
@@ -143,17 +145,19 @@ def fullest(counts: list[int], capacity: int, must: int) -> dict[int, int]:
             sums |= (sums << (take * v)) & full
             left -= take
             take *= 2
-    at = sums.bit_length() - 1
+    best = sums.bit_length() - 1
+    low = max(0, best - spare)
+    wanted = sums >> low << low
     chosen = {must: 1}
     for v, without in reversed(steps):
         # The most copies of the longest length that leave a sum the shorter ones reach.
-        most = min(counts[v] - (v == must), at // v)
+        most = min(counts[v] - (v == must), (wanted.bit_length() - 1) // v)
         for times in range(most, -1, -1):
-            if without >> (at - times * v) & 1:
+            if (wanted >> (times * v)) & without:
                 break
+        wanted = (wanted >> (times * v)) & without
         if times:
             chosen[v] = chosen.get(v, 0) + times
-            at -= times * v
     return chosen
 
 
@@ -169,7 +173,7 @@ class Plan:
     sequences: int
 
 
-def plan(histogram: dict[int, int], capacity: int) -> Plan:
+def _removed(histogram: dict[int, int], capacity: int, spare: int) -> Plan:
     """Remove fullest combinations until no piece is left."""
     counts = [0] * (capacity + 1)
     for v, n in histogram.items():
@@ -180,7 +184,7 @@ def plan(histogram: dict[int, int], capacity: int) -> Plan:
         if not counts[longest]:
             longest -= 1
             continue
-        chosen = fullest(counts, capacity, longest)
+        chosen = fullest(counts, capacity, longest, spare)
         times = min(counts[v] // m for v, m in chosen.items())
         offset = 0
         for v in sorted(chosen, reverse=True):
@@ -194,6 +198,23 @@ def plan(histogram: dict[int, int], capacity: int) -> Plan:
     return Plan(*columns, sequences=sequence)
 
 
+def plan(histogram: dict[int, int], capacity: int) -> Plan:
+    """The shortest of the plans with growing spare, from the least slack on.
+
+    A little slack early on saves short pieces, which later bins need, so the strict rule is
+    not always the one with fewest sequences. The search ends where no plan can be shorter.
+    """
+    least = -(-sum(v * n for v, n in histogram.items()) // capacity)
+    best, spare = None, 0
+    while spare <= capacity:
+        found = _removed(histogram, capacity, spare)
+        best = found if best is None or found.sequences < best.sequences else best
+        if best.sequences == least or spare == capacity:
+            break
+        spare = min(spare * 2 or 1, capacity)
+    return best
+
+
 def place(lengths: np.ndarray, ranks: np.ndarray, plan: Plan) -> tuple[np.ndarray, np.ndarray]:
     """Sequence and offset of pieces by length and rank; runs are ordered by both."""
     first = np.searchsorted(plan.length, lengths)
