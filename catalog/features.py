@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from catalog.inputs import EVENT_ROLES, EVENTS_SQL, TYPED_SQL, dirty_events, events, round_all, table
 from tidegauge.functions.names import normalize_headers
 from tidegauge.operators import clean as C
+from tidegauge.operators.fused import FusedPipeline
 from tidegauge.operators.models import feature_stages, fit_kept, number_slots, preprocessor_stages
 from tidegauge.operators.stages import (
     DateFeatures,
@@ -136,14 +137,14 @@ def frame(spark, folder):
 def feature_pipeline(spark, folder):
     """Date features, clipping and the ratio, fitted and applied."""
     df = events(spark, folder).select("event_id", "ts", "user_id", "k")
-    return round_all(Pipeline(stages=feature_stages(EVENT_ROLES)).fit(df).transform(df), 5)
+    return round_all(FusedPipeline(stages=feature_stages(EVENT_ROLES)).fit(df).transform(df), 5)
 
 
 def feature_matrix(spark, folder):
     """The vector a model sees, slot by slot: categories first, then scaled numbers."""
     df = events(spark, folder)
     stages = [*feature_stages(EVENT_ROLES), *preprocessor_stages(EVENT_ROLES, carry=["event_id"])]
-    made = fit_kept(Pipeline(stages=stages), df).transform(df)
+    made = fit_kept(FusedPipeline(stages=stages), df).transform(df)
     slots = vector_to_array("features")
     width = 5 + len(_SCALED)
     return round_all(made.select("event_id", *[slots[i].alias(f"x{i}") for i in range(width)]), 4)

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegauge.functions.names import column, quoted, require, safe_name
+from tidegauge.operators.fused import FusedPipeline
 from tidegauge.operators.quality import long_metrics, regression_metrics, split_metrics
 from tidegauge.operators.split import folds
 from tidegauge.operators.stages import (
@@ -155,7 +156,7 @@ def model_pipeline(
     carry: Sequence[str] = (),
 ) -> Pipeline:
     """Features, preprocessor and regressor in one pipeline."""
-    return Pipeline(
+    return FusedPipeline(
         stages=[
             *feature_stages(roles, drop_na, use_date),
             *preprocessor_stages(roles, use_date, carry=carry),
@@ -323,7 +324,7 @@ def grid_search(
     marked = folds(df, key, k)
     scores = [
         _fold_rmse(
-            Pipeline(stages=before),
+            FusedPipeline(stages=before),
             regressor,
             maps,
             marked.filter(F.col("fold") != i).drop("fold"),

@@ -141,8 +141,14 @@ def _merged_edges(parts: Sequence[tuple[int, Sequence[float]]], intervals: int)
 def _merged_moments(parts: Sequence[tuple[int, float, float]]) -> tuple[int, float, float]:
     """Count, mean and sum of squares about the mean of the whole from those of its parts."""
     n = sum(k for k, _, _ in parts)
-    mean = math.fsum(k * m for k, m, _ in parts) / n if n else 0.0
-    return n, mean, math.fsum(k * v + k * (m - mean) ** 2 for k, m, v in parts)
+    mean = _added(k * m for k, m, _ in parts) / n if n else 0.0
+    return n, mean, _added(k * v + k * (m - mean) ** 2 for k, m, v in parts)
+
+
+def _added(values: Iterable[float]) -> float:
+    """Exact sum; infinities add up to an infinity or NaN."""
+    listed = list(values)
+    return math.fsum(listed) if all(map(math.isfinite, listed)) else sum(listed)
 
 
 def build_grid(

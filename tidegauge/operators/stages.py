@@ -22,8 +22,8 @@ from pyspark.sql import types as T
 from tidegauge.functions.calendar import cycle, part
 from tidegauge.functions.names import column, numeric_columns, require, safe_name
 from tidegauge.functions.values import TIME_FORMATS, clamp, nan_to_null, safe_ratio, to_time
-from tidegauge.operators.order_stats import quantile_values
 from tidegauge.operators.profile import value_counts
+from tidegauge.operators.scans import quantiles_of
 
 DATE_PARTS = ("hour", "dayofweek", "month", "dayofyear")
 CYCLE_PARTS = ("sin_hour", "cos_hour")
@@ -199,12 +199,9 @@ class QuantileClipper(Estimator, _Stage):
 
     def _fit(self, df: DataFrame) -> "QuantileClipperModel":
         names = self._names(df)
-        shares = {"low": self.getOrDefault("lower"), "high": self.getOrDefault("upper")}
-        found = quantile_values(df, names, shares)
-        kept = [c for c in names if found[c]["low"] is not None]
-        return QuantileClipperModel(
-            columns=kept, first=[found[c]["low"] for c in kept], second=[found[c]["high"] for c in kept]
-        )
+        found = quantiles_of(df, names, self.getOrDefault("lower"), self.getOrDefault("upper"))
+        kept = [c for c in names if found[c][0] is not None]
+        return QuantileClipperModel(columns=kept, first=[found[c][0] for c in kept], second=[found[c][1] for c in kept])
 
 
 class QuantileClipperModel(_NumbersModel):
@@ -224,9 +221,9 @@ class MedianImputer(Estimator, _Stage):
 
     def _fit(self, df: DataFrame) -> "MedianImputerModel":
         names = self._names(df)
-        found = quantile_values(df, names, {"median": 0.5})
-        kept = [c for c in names if found[c]["median"] is not None]
-        return MedianImputerModel(columns=kept, first=[found[c]["median"] for c in kept])
+        found = quantiles_of(df, names, 0.5)
+        kept = [c for c in names if found[c][0] is not None]
+        return MedianImputerModel(columns=kept, first=[found[c][0] for c in kept])
 
 
 class MedianImputerModel(_NumbersModel):

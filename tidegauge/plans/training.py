@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.functions.names import column, numeric_columns
+from tidegauge.operators.fused import FusedPipeline
 from tidegauge.operators.models import (
     FEATURES,
     assembled,
@@ -66,7 +67,7 @@ def compare_models(
     """
     marked = hash_split(df, key, share, seed)
     stages = [*feature_stages(roles), *preprocessor_stages(roles, carry=["split", roles.target])]
-    prepared = Pipeline(stages=stages).fit(marked.filter(F.col("split") == "train"))
+    prepared = FusedPipeline(stages=stages).fit(marked.filter(F.col("split") == "train"))
     vectors = prepared.transform(marked).select("split", column(roles.target), FEATURES).persist()
     try:
         rows, _ = _fit_kinds(vectors, roles.target, kinds, params, run, roles.prediction)
