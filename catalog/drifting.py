@@ -13,6 +13,7 @@ from tidegauge.operators import scenario as S
 from tidegauge.operators.order_stats import with_rank
 from tidegauge.operators.profile import histogram
 from tidegauge.operators.quality import degradation, performance
+from tidegauge.operators.reference import History, keep_reference, ks_against, stored_reference
 from tidegauge.plans.monitoring import Monitor
 from tidegauge.plans.scenarios import scenario_power_factor, scenario_totals, what_if
 from tidegauge.session import shared_folder
@@ -51,6 +52,26 @@ def drift_history(spark, folder):
     return round_all(D.drift_history(before, after, week, ["value", "k"], ["event_type"]))
 
 
+def ks_against_stored(spark, folder):
+    """The later rows against the stored distribution of the earlier ones."""
+    before, after = _shipped(spark, folder)
+    path = f"{shared_folder(spark)}/reference-{uuid4().hex}"
+    keep_reference(before, path, NUMBERS)
+    return round_all(ks_against(stored_reference(spark, path), after))
+
+
+def drift_history_grown(spark, folder):
+    """Weekly history that grows by two increments; the cut lies inside a week."""
+    before, after = _months(spark, folder)
+    week = F.date_format(F.date_trunc("week", "ts"), "yyyy-MM-dd")
+    path = f"{shared_folder(spark)}/history-{uuid4().hex}"
+    history = History(keep_reference(before, f"{path}/reference", ["value", "k"], ["event_type"]), path)
+    cut = F.dayofyear("ts") % 5 < 2
+    history.add(after.filter(cut), week, "first")
+    history.add(after.filter(~cut), week, "second")
+    return round_all(history.summary())
+
+
 def ks_history(spark, folder):
     """KS per event type of the current half against the whole reference half."""
     before, after = _months(spark, folder)
@@ -224,6 +245,8 @@ QUERIES = {
     "ks_drift": ks_drift,
     "chi2_drift": chi_squared_drift,
     "drift_history": drift_history,
+    "ks_against_stored": ks_against_stored,
+    "drift_history_grown": drift_history_grown,
     "ks_by_group": ks_history,
     "psi": stability,
     "psi_by_group": stability_history,
@@ -467,3 +490,6 @@ SQL = {
           (psi > 0.2)::INTEGER::DOUBLE AS share,
           CASE WHEN psi > 0.2 THEN 'critical' ELSE 'ok' END AS tier FROM ({_psi_sql(["value"])})""",
 }
+# Stored references and histories answer as the direct tests do.
+SQL["ks_against_stored"] = SQL["ks_drift"]
+SQL["drift_history_grown"] = SQL["drift_history"]

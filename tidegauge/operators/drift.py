@@ -161,6 +161,11 @@ def ks(
         final = _complete(_ks_by_group(ref, cur, by), ref_sizes, cur_sizes, groups, columns, by)
     else:
         final = _complete(_ks_overall(ref, cur, grid), ref_sizes, cur_sizes, None, columns, by)
+    return ks_rows(final, grid, by)
+
+
+def ks_rows(final: DataFrame, grid: Grid, by: Sequence[str]) -> DataFrame:
+    """Result rows from distances (``by``, ix, d) and sizes ``nr`` and ``nc``."""
     p = kolmogorov_p(F.col("d"), F.col("nr"), F.col("nc"))
     return final.select(
         *[column(c) for c in by],
@@ -274,11 +279,19 @@ def chi_squared(
     require(current, [*columns, *by])
     if by:
         current = current.dropna(subset=by)
+    groups = current.select(*[column(c) for c in by]).distinct() if by else None
+    return chi_squared_of_counts(_texts(reference, columns), _texts(current, columns, by), groups, columns, by)
+
+
+def chi_squared_of_counts(
+    ref_counts: DataFrame, cur_counts: DataFrame, groups: DataFrame | None, columns: Sequence[str], by: Sequence[str] = ()
+) -> DataFrame:
+    """``chi_squared`` from rows per (``by``, ``column``, ``value``) of both sides."""
     places = {c: i for i, c in enumerate(columns)}
     ix = F.element_at(F.create_map(*[F.lit(x) for pair in places.items() for x in pair]), F.col("column")).alias("ix")
     k = [*[column(c) for c in by], F.col("ix")]
-    ref = _texts(reference, columns).select(ix, "value", F.col("n").alias("a"))
-    cur = _texts(current, columns, by).select(*k[:-1], ix, "value", F.col("n").alias("b"))
+    ref = ref_counts.select(ix, "value", F.col("n").alias("a"))
+    cur = cur_counts.select(*k[:-1], ix, "value", F.col("n").alias("b"))
     ref_sizes = ref.groupBy("ix").agg(F.sum("a").alias("nr"), F.count(F.lit(1)).alias("ka"))
     cur_sizes = cur.groupBy(*k).agg(F.sum("b").alias("nc"))
     # One row of totals per column, and per group and column.
@@ -289,7 +302,6 @@ def chi_squared(
     found = met.groupBy(*k).agg(
         F.sum(term).alias("shared"), F.sum(a).alias("met"), F.count_if(F.col("a").isNull()).alias("fresh")
     )
-    groups = current.select(*[column(c) for c in by]).distinct() if by else None
     rows = _complete(found, ref_sizes, cur_sizes, groups, columns, by)
     unmet = (na - F.col("met")) * nb / na
     full = (F.col("nr") > 0) & (F.col("nc") > 0)
@@ -333,7 +345,11 @@ def column_drift(
         parts.append(chi_squared(reference, current, categorical, by))
     if not parts:
         raise ValueError("no column to compare")
-    rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return judged(parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1]), alpha)
+
+
+def judged(rows: DataFrame, alpha: float = ALPHA) -> DataFrame:
+    """Add ``drifted`` and ``status`` to rows of tests."""
     some_ref, some_cur = F.col("n_reference") > 0, F.col("n_current") > 0
     status = (
         F.when(some_ref & some_cur, "tested")
