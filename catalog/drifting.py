@@ -182,11 +182,16 @@ def drift_summary_incomplete(spark, folder):
 
 
 def watched_by_type(spark, folder):
-    """What a monitor watches when no columns are named."""
-    before, _ = _months(spark, folder)
-    monitor = Monitor.of(before, find_target(before.withColumnRenamed("value", "Usage kWh")).replace("Usage kWh", "value"), time=first_time_column(before) or "ts")
-    rows = [(c, kind) for kind, own in (("numeric", monitor.numeric), ("categorical", monitor.categorical)) for c in own]
-    return spark.createDataFrame(rows, "column string, kind string")
+    """What a monitor watches when no columns are named, and how many values it finds there."""
+    df = events(spark, folder).withColumnsRenamed({"value": "Usage kWh", "ts": "reading_time"})
+    df = df.withColumn("k", F.when(F.col("event_id") % 7 != 0, F.col("k")))
+    target, time = find_target(df), first_time_column(df)
+    monitor = Monitor.of(df, target, time=time)
+    roles = [("target", [target]), ("time", [time]), ("numeric", monitor.numeric), ("categorical", monitor.categorical)]
+    own = [(c, kind) for kind, columns in roles for c in columns]
+    counts = df.agg(*[F.count(f"`{c}`").alias(f"n{i}") for i, (c, _) in enumerate(own)])
+    rows = [F.struct(F.lit(c).alias("column"), F.lit(kind).alias("kind"), F.col(f"n{i}").alias("filled")) for i, (c, kind) in enumerate(own)]
+    return counts.select(F.inline(F.array(*rows)))
 
 
 def inferred_report(spark, folder):
@@ -471,9 +476,16 @@ SQL = {
           SELECT p_value FROM ({_chi_rows_sql('e', ['event_type'], _LATER)}) UNION ALL
           SELECT 0.0 FROM range(4))
         {_summary_sql("SELECT * FROM rows")}""",
-    "watched_by_type": """SELECT column_name AS "column",
-          CASE WHEN data_type = 'VARCHAR' THEN 'categorical' ELSE 'numeric' END AS kind
-        FROM (VALUES ('event_id', 'BIGINT'), ('user_id', 'BIGINT'), ('k', 'DOUBLE'), ('event_type', 'VARCHAR'), ('props', 'VARCHAR')) AS v(column_name, data_type)""",
+    "watched_by_type": f"""WITH {EVENTS_SQL}, n AS (
+          SELECT COUNT(value) AS v, COUNT(ts) AS t, COUNT(event_id) AS i, COUNT(user_id) AS u,
+            COUNT(k) FILTER (event_id % 7 <> 0) AS k, COUNT(event_type) AS e, (SELECT COUNT(props) FROM events) AS p FROM e)
+        SELECT 'Usage kWh' AS "column", 'target' AS kind, v AS filled FROM n
+        UNION ALL SELECT 'reading_time', 'time', t FROM n
+        UNION ALL SELECT 'event_id', 'numeric', i FROM n
+        UNION ALL SELECT 'user_id', 'numeric', u FROM n
+        UNION ALL SELECT 'k', 'numeric', k FROM n
+        UNION ALL SELECT 'event_type', 'categorical', e FROM n
+        UNION ALL SELECT 'props', 'categorical', p FROM n""",
     "inferred_report": f"""WITH {EVENTS_SQL}, n AS (SELECT COUNT(*) FILTER (NOT ({_LATER})) AS a, COUNT(*) FILTER ({_LATER}) AS b,
             COUNT(k) FILTER (NOT ({_LATER})) AS ka, COUNT(k) FILTER ({_LATER}) AS kb FROM e)
         SELECT 'user_id' AS "column", 'ks' AS test, a AS n_reference, b AS n_current, 'tested' AS status FROM n

@@ -14,7 +14,7 @@ from catalog.inputs import EVENT_ROLES, events
 from tidegauge.operators import scans
 from tidegauge.operators.fused import FusedPipeline
 from tidegauge.operators.models import feature_stages, preprocessor_stages
-from tidegauge.operators.stages import MedianImputer, ModeImputer, QuantileClipper, Standardizer
+from tidegauge.operators.stages import Dummies, MedianImputer, ModeImputer, QuantileClipper, Standardizer
 from tidegauge.roles import Roles
 
 ROLES = Roles(target="y", numeric=("a b", "c", "empty", "flat"), categorical=("kind", "none"), interactions=("a b", "c"), time="at", key="id")
@@ -150,3 +150,15 @@ def test_hot_value_and_skew(spark, monkeypatch):
 
 def test_nothing_asked(rows):
     assert scans.answer(rows.filter(F.lit(False)), scans.Asked()).around == {}
+
+
+def test_dummies_are_bounded(spark, monkeypatch):
+    df = spark.createDataFrame([(i, float(i % 3), i % 2 == 0, None if i == 4 else f"v{i % 11}") for i in range(40)], "i int, x double, b boolean, s string")
+    made = Dummies(columns=["x", "b", "s"]).fit(df).transform(df)
+    assert made.columns == ["i", "x_1.0", "x_2.0", "b_true", "s_v1", "s_v10", *[f"s_v{i}" for i in range(2, 10)]]
+    assert made.agg(F.sum("`x_1.0`")).first()[0] == 13
+    numbers = Dummies(columns=["i"]).fit(df).transform(df).columns
+    assert numbers == [f"i_{i}" for i in range(1, 40)]
+    monkeypatch.setattr("tidegauge.operators.stages.MOST_DUMMIES", 39)
+    with pytest.raises(ValueError, match="SparseDummies"):
+        Dummies(columns=["i"]).fit(df)

@@ -7,7 +7,9 @@ its columns; each transform is a projection.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from decimal import Decimal
 from itertools import combinations
 
 from pyspark import keyword_only
@@ -29,6 +31,10 @@ DATE_PARTS = ("hour", "dayofweek", "month", "dayofyear")
 CYCLE_PARTS = ("sin_hour", "cos_hour")
 
 
+#: Values of all columns together that may become columns of their own.
+MOST_DUMMIES = 10_000
+
+
 def _check_shares(lower: float, upper: float) -> None:
     if not 0 <= lower < upper <= 1:
         raise ValueError("quantiles must satisfy 0 <= lower < upper <= 1")
@@ -308,8 +314,8 @@ class Dummies(Estimator, _Stage):
     """0/1 columns ``<column>_<value>`` for all sorted values but the first.
 
     Values are sorted as what they are (numbers by size), then named by their text. The
-    values of all columns are counted in one job. For columns with very many values see
-    ``SparseDummies``, which makes one vector instead of one column per value.
+    values of all columns are counted in one job; more than ``MOST_DUMMIES`` are an error, for
+    which ``SparseDummies`` makes one vector instead of one column per value.
     """
 
     @keyword_only
@@ -320,11 +326,23 @@ class Dummies(Estimator, _Stage):
     def _fit(self, df: DataFrame) -> "DummiesModel":
         names = list(self.getOrDefault("columns"))
         require(df, names)
-        # The distinct values become column names, so they have to be known here.
-        found = df.select(*[F.collect_set(column(c)).alias(f"s{i}") for i, c in enumerate(names)])
-        texts = [F.transform(F.sort_array(f"s{i}"), lambda v: v.cast("string")).alias(f"s{i}") for i in range(len(names))]
-        row = found.select(*texts).first()
-        return DummiesModel(columns=names, values=[v for listed in row for v in listed], sizes=[len(listed) for listed in row])
+        # The distinct values become column names, so they have to be known here. They are
+        # counted by (column, value), and the driver takes no more than can be columns.
+        pairs = [F.struct(F.lit(i).alias("ix"), column(c).cast("string").alias("value")) for i, c in enumerate(names)]
+        found = df.select(F.inline(F.array(*pairs))).filter(F.col("value").isNotNull()).distinct().limit(MOST_DUMMIES + 1).collect()
+        if len(found) > MOST_DUMMIES:
+            raise ValueError(f"{names} have more than {MOST_DUMMIES} values: use SparseDummies")
+        listed = [sorted((r["value"] for r in found if r["ix"] == i), key=_order_of(df.schema[c].dataType)) for i, c in enumerate(names)]
+        return DummiesModel(columns=names, values=[v for values in listed for v in values], sizes=[len(values) for values in listed])
+
+
+def _order_of(kind: T.DataType):
+    """Sort key of the texts of a type: numbers by size, NaN last, others in byte order."""
+    if isinstance(kind, (T.IntegralType, T.DecimalType)):
+        return Decimal
+    if isinstance(kind, T.FractionalType):
+        return lambda v: (math.isnan(float(v)), float(v))
+    return str.encode
 
 
 class DummiesModel(Model, _Stage):
