@@ -17,6 +17,7 @@ from tidegauge.operators.reference import History, keep_reference, ks_against, s
 from tidegauge.plans.monitoring import Monitor
 from tidegauge.plans.scenarios import scenario_power_factor, scenario_totals, what_if
 from tidegauge.session import shared_folder
+from tidegauge.streaming.ledger import Rollup, WindowMonitor
 from tidegauge.streaming.live import monitor_stream, stream_rollup
 
 NUMBERS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -245,7 +246,41 @@ def stream_monitor(spark, folder):
     return round_all(spark.read.parquet(f"{path}/rows").drop("batch_id"))
 
 
+def _in_pieces(spark, df, pieces, taker, path):
+    """Run ``taker`` over ``df`` as a stream whose micro-batches are the ``pieces`` in turn."""
+    for i, piece in enumerate(pieces):
+        df.filter(piece).write.mode("append").parquet(f"{path}/inbox")
+        stream = spark.readStream.schema(df.schema).parquet(f"{path}/inbox")
+        query = taker.start(stream).option("checkpointLocation", f"{path}/state").trigger(availableNow=True).start()
+        query.awaitTermination()
+
+
+def stream_rollup_accounted(spark, folder):
+    """Hourly windows of events that come in two pieces, and the rows of the second that are late."""
+    path = f"{shared_folder(spark)}/stream-{uuid4().hex}"
+    hours = Rollup.of(path, "ts", sums=["total"], means=["mean"], maxes=["user_id"])
+    second = F.col("event_id") % 3 == 0
+    df = table(spark, folder, "events").select("event_id", "ts", "user_id", F.col("value").alias("total"), F.col("value").alias("mean"))
+    _in_pieces(spark, df, [~second, second], hours.ledger, path)
+    found = hours.windows(spark, flush=True).join(hours.ledger.late(spark), "window_start", "full")
+    none = F.lit(0).cast("bigint")
+    found = found.withColumns({"n": F.coalesce("n", none), "n_late": F.coalesce("n_late", none)})
+    return round_all(found.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss")))
+
+
+def stream_drift_by_day(spark, folder):
+    """Stability of every day of the later half; the days arrive in five mixed pieces."""
+    path = f"{shared_folder(spark)}/stream-{uuid4().hex}"
+    before, after = _months(spark, folder)
+    days = WindowMonitor.of(path, D.build_profile(before, ["value", "k"]), "ts", window="1 day", lateness="400 days")
+    _in_pieces(spark, after.select("event_id", "ts", "value", "k"), [F.col("event_id") % 5 == i for i in range(5)], days.ledger, path)
+    found = days.verdicts(spark, flush=True).withColumn("period", F.date_format("window_start", "yyyy-MM-dd"))
+    return round_all(found.select("period", "column", "psi", "n_reference", "n_current", "n_outside", "drifted", "share", "tier"))
+
+
 QUERIES = {
+    "stream_rollup_accounted": stream_rollup_accounted,
+    "stream_drift_by_day": stream_drift_by_day,
     "drift_summary": drift_summary,
     "ks_drift": ks_drift,
     "chi2_drift": chi_squared_drift,
@@ -505,3 +540,18 @@ SQL = {
 # Stored references and histories answer as the direct tests do.
 SQL["ks_against_stored"] = SQL["ks_drift"]
 SQL["drift_history_grown"] = SQL["drift_history"]
+SQL["stream_rollup_accounted"] = """WITH d AS (SELECT *, date_trunc('hour', ts) AS w, event_id % 3 = 0 AS second FROM events),
+    m AS (SELECT MAX(ts) - INTERVAL 2 HOUR AS mark FROM d WHERE NOT second),
+    r AS (SELECT d.*, second AND w + INTERVAL 1 HOUR <= mark AS late FROM d, m)
+    SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start, COUNT(*) FILTER (NOT late) AS n, COUNT(*) FILTER (late) AS n_late,
+      round(SUM(value) FILTER (NOT late), 6) AS total, round(AVG(value) FILTER (NOT late), 6) AS mean,
+      CAST(MAX(user_id) FILTER (NOT late) AS DOUBLE) AS user_id
+    FROM r GROUP BY w"""
+_BY_DAY = _psi_sql(["value", "k"], "period").replace(
+    EVENTS_SQL, EVENTS_SQL.replace("e AS (", "b AS (", 1) + ", e AS (SELECT *, strftime(ts, '%Y-%m-%d') AS period FROM b)"
+)
+SQL["stream_drift_by_day"] = f"""SELECT period, "column", psi, n_reference, n_current, n_outside, psi > 0.2 AS drifted,
+      AVG((psi > 0.2)::INTEGER) OVER (PARTITION BY period) AS share,
+      CASE WHEN AVG((psi > 0.2)::INTEGER) OVER (PARTITION BY period) > 0.3 THEN 'critical'
+           WHEN AVG((psi > 0.2)::INTEGER) OVER (PARTITION BY period) > 0.15 THEN 'warning' ELSE 'ok' END AS tier
+    FROM ({_BY_DAY})"""

@@ -482,8 +482,20 @@ def psi_against(profile: Profile, current: DataFrame, by: Sequence[str] = ()) ->
     require(current, [*profile.columns, *by])
     if by:
         current = current.dropna(subset=by)
+    counts = bucket_counts(profile, current, by)
+    groups = current.select(*[column(c) for c in by]).distinct() if by else current.sparkSession.range(1)
+    return psi_of_counts(profile, counts, groups, by)
+
+
+def bucket_counts(profile: Profile, current: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Rows ``n`` per (``by``, ix, bucket) of a profile; counts of parts of a table add up."""
+    return _bucket_counts(current, profile.edges, profile.columns, list(by))
+
+
+def psi_of_counts(profile: Profile, counts: DataFrame, groups: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """``psi_against`` from ``bucket_counts``, for the ``by`` values in ``groups``."""
+    by = list(by)
     keys = [*[column(c) for c in by], F.col("ix")]
-    counts = _bucket_counts(current, profile.edges, profile.columns, by)
     inside = F.col("bucket") > 0
     # At most one entry per bucket and group.
     seen = counts.groupBy(*keys).agg(
@@ -492,7 +504,6 @@ def psi_against(profile: Profile, current: DataFrame, by: Sequence[str] = ()) ->
         F.sum(F.when(~inside, F.col("n"))).alias("outside"),
     )
     every = F.explode(F.array(*[F.lit(i) for i in range(len(profile.columns))])).alias("ix")
-    groups = current.select(*keys[:-1]).distinct() if by else current.sparkSession.range(1)
     none = F.lit(0).cast("bigint")
     rows = groups.select(*keys[:-1], every).join(seen, [*by, "ix"], "left").withColumns(
         {"nc": F.coalesce("nc", none), "outside": F.coalesce("outside", none)}
