@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegauge.llm.graph import components
-from tidegauge.llm.store import checkpointed, written
+from tidegauge.llm.store import checkpointed, dropped, written
 from tidegauge.llm.words import BLANKS, lists, long_column, mix, spans, split
 from tidegauge.session import broadcast_if_small
 
@@ -246,21 +246,25 @@ def rare_pairs(open_: DataFrame, texts: DataFrame, n: int, percent: int) -> Data
     front = ordered.select("node", "component", "size", "own", F.posexplode(rest).alias("at", "s")).filter("s.open")
     place = (F.col("own") + F.col("at")).alias("place")
     front = written(front.select("node", "component", "size", place, F.col("s.value").alias("value")), "front")
+    dropped(held)
     a = front.withColumnsRenamed({c: f"{c}_a" for c in ("node", "component", "size", "place")})
     b = front.withColumnsRenamed({c: f"{c}_b" for c in ("node", "component", "size", "place")})
     least = F.ceil(F.lit(percent) * (F.col("size_a") + F.col("size_b")) / (100 + percent))
     room = F.least(F.col("size_a") - F.col("place_a"), F.col("size_b") - F.col("place_b"))
     met = a.join(b, "value").filter((F.col("node_a") < F.col("node_b")) & (F.col("component_a") != F.col("component_b")) & (room >= least))
-    return met.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
+    pairs = checkpointed(met.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct())
+    dropped(front)
+    return pairs
 
 
 def links(made: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
     """Edges between nodes that give the components of all links. ``made``: a stored ``sets``."""
     listed = made.select("node", F.explode("keys").alias("key"))
     several = listed.groupBy("key").agg(F.count("*").alias("rows")).filter("rows > 1").select("key")
-    shared = written(listed.join(several, "key").distinct(), "shared")
-    company = shared.groupBy("key").agg(F.count("*").alias("company")).filter("company > 1")
-    shared = written(shared.join(company, "key"), "lists")
+    met = written(listed.join(several, "key").distinct(), "shared")
+    company = met.groupBy("key").agg(F.count("*").alias("company")).filter("company > 1")
+    shared = written(met.join(company, "key"), "lists")
+    dropped(met)
     weight = shared.groupBy("node").agg(F.sum("company").alias("weight"))
     heads = shared.join(weight, "node").groupBy("key").agg(F.max(F.struct("weight", "node"))["node"].alias("pivot"))
     stars = shared.join(heads, "key").filter("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
@@ -271,12 +275,16 @@ def links(made: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
     labels = components(edges)
     placed = shared.select("key", "node").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     placed = checkpointed(placed)
+    dropped(shared)
     mixed = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y")
     open_ = checkpointed(placed.join(mixed.select("key"), "key", "left_semi").select("node", "component").distinct())
     if open_.isEmpty():
+        dropped(texts)
         return edges
-    rest = checkpointed(rare_pairs(open_, texts, n, percent))
-    return edges.unionByName(checkpointed(checked(rest, texts, n, percent)))
+    rest = rare_pairs(open_, texts, n, percent)
+    more = checkpointed(checked(rest, texts, n, percent))
+    dropped(texts)
+    return edges.unionByName(more)
 
 
 def node_texts(made: DataFrame, docs: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
@@ -321,7 +329,7 @@ def kept(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = WORD
 
     Rows with a null id, and rows that share an id, stay if their group's smallest id is theirs.
     """
-    gone = groups(docs, key, text, n, percent).filter("not (component_id <=> " + key + ")").select(F.col(key).alias("_gone")).distinct()
+    gone = groups(docs, key, text, n, percent).filter(~F.col("component_id").eqNullSafe(F.col(key))).select(F.col(key).alias("_gone")).distinct()
     gone = checkpointed(gone)
     whole = docs.select(F.struct(*docs.columns).alias("_whole"), F.col(key).alias("_key"))
     stay = whole.join(broadcast_if_small(gone, gone.count(), 16), F.col("_key").eqNullSafe(F.col("_gone")), "left_anti")

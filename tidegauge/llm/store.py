@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from pathlib import Path
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +13,9 @@ from pyspark.sql import functions as F
 from tidegauge.llm.words import UPPER
 from tidegauge.session import checkpointed, shared_folder
 
-__all__ = ["checkpointed", "findable", "folder", "hashed_sample", "lowered", "written"]
+__all__ = ["checkpointed", "dropped", "findable", "folder", "hashed_sample", "lowered", "released", "written"]
+
+_folders: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 
 
 def findable(spark: SparkSession) -> None:
@@ -38,7 +42,29 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """
     path = folder(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    _folders[table] = path
+    return table
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Delete tables that ``written`` made, once all that is read from them is stored itself."""
+    for table in tables:
+        spark = table.sparkSession
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_folders.pop(table))
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+    if tables:
+        released(tables[0].sparkSession)
+
+
+def released(spark: SparkSession) -> None:
+    """Let go of what finished steps leave behind.
+
+    Spark deletes shuffle files, checkpoints and compiled plans when the driver collects the
+    objects that stand for them, which a driver with room to spare may not do for long.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def hashed_sample(df: DataFrame, keys: list[str], most: int, rows: int) -> DataFrame:
