@@ -48,9 +48,11 @@ def rows(spark):
 def params(model):
     out = []
     for stage in model.stages:
+        if hasattr(stage, "labelsArray") or hasattr(stage, "stages"):
+            inner = getattr(stage, "stages", [stage])
+            out.append(("labels", {"labels": [list(x) for m in inner for x in m.labelsArray], "invalid": inner[0].getHandleInvalid()}))
+            continue
         own = {p.name: v for p, v in stage.extractParamMap().items()}
-        if hasattr(stage, "labelsArray"):
-            own["labels"] = [list(x) for x in stage.labelsArray]
         if hasattr(stage, "categorySizes"):
             own["sizes"] = list(stage.categorySizes)
         for name in ("inputCols", "outputCols", "outputCol", "stringOrderType"):
@@ -79,6 +81,16 @@ def test_fused_fit_is_the_plain_fit(rows):
     same(fused, plain)
 
 
+def test_categories_of_several_columns(rows):
+    """Columns with different numbers of categories."""
+    df = rows.withColumns({"few": F.expr("if(id % 2 = 0, 'x', 'y')"), "one": F.lit("z"), "many": F.expr("concat('m', id % 9)")})
+    roles = Roles(target="y", numeric=("a b", "c"), categorical=("few", "kind", "one", "many"), interactions=("a b", "c"), time="at", key="id")
+    fused, plain = FusedPipeline(stages=stages_of(roles)).fit(df), Pipeline(stages=stages_of(roles)).fit(df)
+    same(fused, plain)
+    vectors = [sorted(map(str, (r["features"] for r in m.transform(df.filter("id < 30")).collect()))) for m in (fused, plain)]
+    assert len(vectors[0]) == len(vectors[1]) == 30
+
+
 def test_fused_fit_of_events(spark, folder):
     df = events(spark, folder)
     fused, plain = FusedPipeline(stages=stages_of(EVENT_ROLES)).fit(df), Pipeline(stages=stages_of(EVENT_ROLES)).fit(df)

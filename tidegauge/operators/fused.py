@@ -227,7 +227,9 @@ class FusedPipeline(Pipeline):
             labels = [sorted(counts[n], key=lambda v: v.encode("utf-16-be"), reverse=down) for n in stage.getInputCols()]
             if any(not listed for listed in labels):
                 return stage.fit(rows)
-            return StringIndexerModel.from_arrays_of_labels(labels, stage.getInputCols(), stage.getOutputCols(), stage.getHandleInvalid())
+            # One model per column: the model of several takes label lists of one length only.
+            columns = zip(labels, stage.getInputCols(), stage.getOutputCols(), strict=True)
+            return PipelineModel([StringIndexerModel.from_labels(own, name, made, stage.getHandleInvalid()) for own, name, made in columns])
         return stage.fit(rows) if isinstance(stage, Estimator) else stage
 
     def _filled_with(self, name: str, col: _Column, models: dict[int, Model]) -> float | None:
