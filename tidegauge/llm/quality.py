@@ -30,8 +30,8 @@ from pyspark.sql.functions import arrow_udf
 from tidegauge.llm.store import hashed_sample, written
 from tidegauge.llm.words import SLICE
 
-LABELLED = 4_000
-TAUGHT = 600
+LABELLED = 6_000
+TAUGHT = 1_000
 ROUNDS = 3
 CONFIDENT = 0.97
 OBJECTS = 0.5
