@@ -15,7 +15,7 @@ from hypothesis import strategies as st
 
 from tidegauge.llm import decontam, jaccard, license_scan, packing, quality, reshard, substring, toxicity
 from tidegauge.llm.fm_index import FMIndex, Wavelet, suffix_array
-from tidegauge.llm.words import BLANKS, MARKS, split
+from tidegauge.llm.words import BLANKS, MARKS, mix, split
 
 TEXTS = st.lists(st.one_of(st.none(), st.text("aB \n\x0bé.9-", max_size=12)), max_size=8)
 
@@ -211,6 +211,31 @@ def test_linked_heavy_sets_share_a_list(percent):
             assert set(key[row == 0].tolist()) & set(key[row == 1].tolist()), (size, t)
 
 
+@pytest.mark.parametrize("percent", [80, 85])
+@pytest.mark.parametrize("size", [48, 60, 100, 200])
+def test_sets_that_agree_in_empty_blocks_only_share_a_list(percent, size):
+    """One shingle of each full block differs, which hashed shingles hardly ever do."""
+    rng = np.random.default_rng(8)
+    most = int(size * jaccard.differing(percent))
+    for grow in range(size // 10):
+        changed = most - grow
+        values = rng.integers(1, 2**63, 400 * size, dtype=np.uint64)
+        blocks = 2 ** int(jaccard.block_level(np.array([size]), percent)[0])
+        at = (mix(values ^ np.uint64(0xB10C)) % np.uint64(blocks)).astype(np.int64)
+        few = values[at < changed // 2]
+        a = few[:size]
+        block = at[at < changed // 2]
+        new = [int(np.flatnonzero(block[size:] == k)[0]) + size for k in range(changed // 2)]
+        old = [int(np.flatnonzero(block[:size] == k)[0]) for k in range(changed // 2) if (block[:size] == k).any()]
+        b = np.concatenate((np.delete(a, old), few[new]))
+        both = len(np.intersect1d(a, b))
+        if 100 * both < percent * (len(a) + len(b) - both):
+            continue
+        rows = np.repeat([0, 1], [len(a), len(b)])
+        row, key = jaccard.list_keys(2, rows, np.concatenate((np.sort(a), np.sort(b))), jaccard.boundary(percent), percent)
+        assert set(key[row == 0].tolist()) & set(key[row == 1].tolist())
+
+
 def test_longest_common_subsequence():
     rng = np.random.default_rng(4)
     for _ in range(50):

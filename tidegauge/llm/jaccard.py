@@ -10,8 +10,12 @@ share ``need(s, t)`` shingles.
   from 40 shingles on under whole *blocks* of shingles (hash classes of 2.5 to 5 each): two
   linked sets differ in fewer shingles than there are blocks, so some block is the same. A
   list under a block holds sets that agree in all of it, so that a passage that very many
-  documents share does not make a list. Of sets with more than 64 blocks the first 64 are
-  listed; a link is missed with a chance below 1e-16, as rare as equal 64-bit hashes.
+  documents share does not make a list. Two sets might agree in empty blocks only; then both
+  have no more full blocks than linked sets may differ in, and all such sets stand under
+  their first shingles besides. So no link is lost up to 64 blocks (below 225 shingles at
+  0.8, 319 at 0.85). Of more blocks the first 96 are listed: at the threshold a block is the
+  same and not empty with a chance of 0.39 or more, so none is with one of 3e-21 at most,
+  less than that of two equal 64-bit hashes (5e-20).
 * The boundary between both is the size from which the subsets of a set cost more than its
   places in lists, each of which may lead to a check.
 
@@ -46,7 +50,10 @@ from tidegauge.session import broadcast_if_small
 WORDS = 4
 PERCENT = 85
 BLOCKED = 40
-BLOCKS = 64
+BLOCKS = 96
+#: At the lower end of a level linked sets differ in up to this share of the blocks, at the
+#: upper end in up to twice of it.
+SPREAD = 0.44
 #: A place in a list counts as this many subsets.
 LIST_COST = 8
 
@@ -92,15 +99,19 @@ def shingles(texts: pa.Array, n: int) -> Iterator[tuple[int, np.ndarray, np.ndar
         yield words.row0, words.rows, row[new], value[new]
 
 
-def block_level(size: np.ndarray, percent: int) -> np.ndarray:
-    """Number of blocks of a set as a power of two: more than its linked partners differ in.
+def differing(percent: int) -> float:
+    """Most shingles in which linked sets differ, as a share of the smaller set's size.
 
     Linked sets of sizes ``a <= b <= a / p`` differ in ``a (1 + 1 / p) (1 - p) / (1 + p)``
     shingles at most.
     """
     p = percent / 100
-    differ = (1 + 1 / p) * (1 - p) / (1 + p)
-    return np.floor(np.log2(np.maximum(size, 3) * differ / 0.44)).astype(np.int64)
+    return (1 + 1 / p) * (1 - p) / (1 + p)
+
+
+def block_level(size: np.ndarray, percent: int) -> np.ndarray:
+    """Number of blocks of a set as a power of two: more than its larger linked partners differ in."""
+    return np.floor(np.log2(np.maximum(size, 3) * differing(percent) / SPREAD)).astype(np.int64)
 
 
 def list_keys(rows: int, row: np.ndarray, value: np.ndarray, light: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
@@ -110,24 +121,36 @@ def list_keys(rows: int, row: np.ndarray, value: np.ndarray, light: int, percent
     place = np.arange(len(row)) - first[row]
     least = -(-percent * size // 100)  # the smallest partner
     out_row, out_key = [], []
-    # Single shingles: pairs whose smaller set has fewer than BLOCKED.
-    short = (size > light) & (least < BLOCKED)
+    # Blocks: at the level of the smaller set, which lies between this one's and that of its
+    # smallest partner.
+    own, lower = block_level(size, percent), block_level(np.maximum(least, BLOCKED), percent)
+    thin = np.zeros(rows, dtype=bool)
+    for back in range(int((own - lower).max(initial=0)) + 1):
+        level = own - back
+        here = (size >= BLOCKED) & (level >= lower)
+        use = np.flatnonzero(here[row])
+        if not len(use):
+            continue
+        owner = row[use]
+        last = (np.left_shift(1, level) - 1)[owner].astype(np.uint64)
+        block = (mix(value[use] ^ np.uint64(0xB10C)) & last).astype(np.int64)
+        use, owner, block = use[block < BLOCKS], owner[block < BLOCKS], block[block < BLOCKS]
+        order = np.lexsort((block, owner))
+        owner, block = owner[order], block[order]
+        start = np.flatnonzero(np.concatenate(([True], (owner[1:] != owner[:-1]) | (block[1:] != block[:-1]))))
+        total = np.add.reduceat(mix(value[use][order]), start)
+        owner, block = owner[start], block[start]
+        out_row.append(owner)
+        out_key.append(mix(total ^ mix(((level[owner] << 40) + block).astype(np.uint64))))
+        # Sets with so few full blocks that a linked one may differ in all of them.
+        differ = np.floor(np.minimum(size * differing(percent), 2 * SPREAD * np.left_shift(1, level)) + 1e-9)
+        whole = here & (np.left_shift(1, level) <= BLOCKS)
+        thin |= whole & (np.bincount(owner, minlength=rows) <= differ)
+    # Single shingles: pairs whose smaller set has fewer than BLOCKED, and thin sets.
+    short = (size > light) & (least < BLOCKED) | thin
     use = short[row] & (place <= (size - least)[row])
     out_row.append(row[use])
     out_key.append(mix(value[use] ^ np.uint64(0x5151)))
-    # Blocks: at the level of the smaller set, which is this one or its smallest partner.
-    own, lower = block_level(size, percent), block_level(np.maximum(least, BLOCKED), percent)
-    for level, which in ((own, size >= BLOCKED), (lower, (size >= BLOCKED) & (lower < own))):
-        use = np.flatnonzero(which[row])
-        blocks = np.left_shift(1, level)[row[use]]
-        block = (mix(value[use] ^ np.uint64(0xB10C)) & (blocks - 1).astype(np.uint64)).astype(np.int64)
-        use, block = use[block < BLOCKS], block[block < BLOCKS]
-        total = np.zeros(rows * BLOCKS, dtype=np.uint64)
-        np.add.at(total, row[use] * BLOCKS + block, mix(value[use]))
-        full = np.flatnonzero(total)
-        owner, block = full // BLOCKS, full % BLOCKS
-        out_row.append(owner)
-        out_key.append(mix(total[full] ^ mix((level[owner] * BLOCKS + block).astype(np.uint64))))
     return np.concatenate(out_row), np.concatenate(out_key)
 
 
@@ -267,15 +290,17 @@ def links(made: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
     dropped(met)
     weight = shared.groupBy("node").agg(F.sum("company").alias("weight"))
     heads = shared.join(weight, "node").groupBy("key").agg(F.max(F.struct("weight", "node"))["node"].alias("pivot"))
-    stars = shared.join(heads, "key").filter("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
-    stars = checkpointed(stars)
+    arms = written(shared.join(heads, "key").filter("node <> pivot").select("key", "node", "pivot"), "arms")
+    stars = checkpointed(arms.select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct())
     texts = node_texts(made, docs, shared.select("node").distinct(), n)
+    dropped(shared)
     edges = checked(stars, texts, n, percent).unionByName(subset_links(made))
     edges = checkpointed(edges)
     labels = components(edges)
-    placed = shared.select("key", "node").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    # A list's pivot has been checked against all others, so only those may link further.
+    placed = arms.select("key", "node").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     placed = checkpointed(placed)
-    dropped(shared)
+    dropped(arms)
     mixed = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y")
     open_ = checkpointed(placed.join(mixed.select("key"), "key", "left_semi").select("node", "component").distinct())
     if open_.isEmpty():
