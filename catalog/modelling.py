@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from catalog.features import IS_TEST_SQL
 from catalog.inputs import EVENT_ROLES, EVENTS_SQL, events, round_all, table
 from tidegauge.operators import models as M
+from tidegauge.operators.boosting import ShareBoostedTrees
 from tidegauge.operators.profile import histogram
 from tidegauge.operators.quality import (
     long_metrics,
@@ -264,6 +265,35 @@ def search(spark, folder):
     return round_all(found.table.select(F.col("params")["fitIntercept"].alias("intercept"), "rmse", "rmse_std"), 3)
 
 
+def _grouped_orders(spark, folder):
+    """Order price, a number with seven values, and the same doubled."""
+    g = (F.col("o_custkey") % 7).cast("double")
+    return table(spark, folder, "orders").select("o_orderkey", g.alias("g"), (2 * g).alias("g2"), F.col("o_totalprice").cast("double").alias("y"))
+
+
+def _group_booster(**settings):
+    """Half of two equivalent columns for each tree; trees may grow to single values."""
+    from pyspark.ml.feature import VectorAssembler
+
+    booster = ShareBoostedTrees(labelCol="y", maxDepth=7, columnShare=0.5, rowShare=1.0, **settings)
+    return Pipeline(stages=[VectorAssembler(inputCols=["g", "g2"], outputCol=M.FEATURES), booster])
+
+
+def boosting_shares(spark, folder):
+    """Boosting with one column per tree nears the group means by its step each round."""
+    df = _grouped_orders(spark, folder)
+    scored = _group_booster(maxIter=8, stepSize=0.25).fit(df).transform(df)
+    return round_all(scored.groupBy("g").agg(F.count("y").alias("n"), F.min("prediction").alias("low"), F.max("prediction").alias("high")), 3)
+
+
+def search_rounds(spark, folder):
+    """Two lengths by two steps in three folds; lengths share one fit."""
+    grid = {"maxIter": [2, 5], "stepSize": [0.1, 0.5]}
+    found = M.grid_search(_group_booster(), _grouped_orders(spark, folder), "y", "o_orderkey", grid, k=3).table
+    setting = F.col("params")
+    return round_all(found.select(setting["maxIter"].cast("int").alias("rounds"), setting["stepSize"].cast("double").alias("step"), "rmse", "rmse_std"), 3)
+
+
 def save_load_score(spark, folder):
     """A stored full pipeline gives the predictions it gave before it was stored."""
     df = events(spark, folder)
@@ -300,6 +330,8 @@ QUERIES = {
     "compare_models": model_comparison,
     "train_suite": suite,
     "grid_search": search,
+    "boosting_shares": boosting_shares,
+    "search_rounds": search_rounds,
     "save_load_score": save_load_score,
 }
 
@@ -327,7 +359,24 @@ p AS (SELECT w.f, CASE WHEN h.fold = w.f THEN 'test' ELSE 'train' END AS split,
 g AS (SELECT f, split, sqrt(AVG((y - p) ** 2)) AS rmse, AVG(abs(y - p)) AS mae,
         1 - SUM((y - p) ** 2) / (var_pop(y) * COUNT(*)) AS r2 FROM p GROUP BY 1, 2)"""
 
+_GROUPED = "o AS (SELECT o_orderkey, CAST(o_custkey % 7 AS DOUBLE) AS g, CAST(o_totalprice AS DOUBLE) AS y FROM orders)"
+
 SQL = {
+    "boosting_shares": f"""WITH {_GROUPED}, m AS (SELECT AVG(y) AS m FROM o),
+        w AS (SELECT g, COUNT(*) AS n, AVG(y) AS w FROM o GROUP BY 1)
+        SELECT g, n, round(w - 0.75 ** 8 * (w - m), 3) AS low, round(w - 0.75 ** 8 * (w - m), 3) AS high FROM w, m""",
+    "search_rounds": f"""WITH {_GROUPED},
+        n AS (SELECT *, row_number() OVER (ORDER BY o_orderkey) - 1 AS i, COUNT(*) OVER () AS t FROM o),
+        h AS (SELECT g, y, CASE WHEN i < (t % 3) * (t // 3 + 1) THEN i // (t // 3 + 1)
+                ELSE (i - (t % 3)) // (t // 3) END AS fold FROM n),
+        k AS (SELECT f, g, y FROM h JOIN range(3) AS v(f) ON h.fold <> v.f),
+        m AS (SELECT f, AVG(y) AS m FROM k GROUP BY 1),
+        w AS (SELECT f, g, AVG(y) AS w FROM k GROUP BY 1, 2),
+        s AS (SELECT s.rounds, s.step, h.fold, sqrt(AVG((y - w + (1 - s.step) ** s.rounds * (w - m)) ** 2)) AS rmse
+              FROM h JOIN m ON m.f = h.fold JOIN w ON w.f = h.fold AND w.g = h.g
+              CROSS JOIN (VALUES (2, 0.1), (2, 0.5), (5, 0.1), (5, 0.5)) AS s(rounds, step) GROUP BY 1, 2, 3)
+        SELECT CAST(rounds AS INTEGER) AS rounds, CAST(step AS DOUBLE) AS step, round(AVG(rmse), 3) AS rmse,
+          round(stddev_pop(rmse), 3) AS rmse_std FROM s GROUP BY 1, 2""",
     "hash_split": f"""SELECT event_id, CASE WHEN {IS_TEST_SQL} THEN 'test' ELSE 'train' END AS split
         FROM events""",
     "contiguous_folds": """SELECT event_id, CAST(CASE WHEN i < (t % 5) * (t // 5 + 1) THEN i // (t // 5 + 1)

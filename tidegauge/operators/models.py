@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegauge.functions.names import column, quoted, require, safe_name
+from tidegauge.operators.boosting import ShareBoostedTrees, path_rmse
 from tidegauge.operators.fused import FusedPipeline
 from tidegauge.operators.quality import long_metrics, regression_metrics, split_metrics
 from tidegauge.operators.split import folds
@@ -283,18 +284,38 @@ def _fold_rmse(
     prediction: str,
     parallelism: int,
 ) -> list[float]:
-    """RMSE on ``valid`` of the regressor under each setting, features fitted once."""
+    """RMSE on ``valid`` of the regressor under each setting, features fitted once.
+
+    Boosters whose settings differ in the number of rounds only share one fit of the longest:
+    its first rounds are those of the shorter ones.
+    """
     fitted = features.fit(train)
     keep = [column(target), column(regressor.getFeaturesCol())]
+    if isinstance(regressor, ShareBoostedTrees) and regressor.isDefined("keyCol"):
+        keep.append(column(regressor.getOrDefault("keyCol")))
     parts = [fitted.transform(part).select(*keep).persist() for part in (train, valid)]
 
-    def one(settings: dict) -> float:
-        scored = regressor.fit(parts[0], settings).transform(parts[1])
-        return regression_metrics(scored, target, prediction).first()["rmse"]
-
-    pool = ThreadPool(max(1, min(parallelism, len(maps))))
+    boosted = isinstance(regressor, GBTRegressor | ShareBoostedTrees)
+    paths: dict[tuple, list[int]] = {}
+    for j, settings in enumerate(maps):
+        alike = tuple(sorted((p.name, v) for p, v in settings.items() if p.name != "maxIter"))
+        paths.setdefault(alike if boosted else (j,), []).append(j)
+
+    def one(group: list[int]) -> dict[int, float]:
+        if not boosted:
+            scored = regressor.fit(parts[0], maps[group[0]]).transform(parts[1])
+            return {group[0]: regression_metrics(scored, target, prediction).first()["rmse"]}
+        rounds = {j: maps[j].get(regressor.maxIter, regressor.getMaxIter()) for j in group}
+        longest = max(group, key=rounds.get)
+        model = regressor.fit(parts[0], maps[longest])
+        lead = int(isinstance(regressor, ShareBoostedTrees))
+        errors = path_rmse(model, parts[1].filter(column(target).isNotNull()), list(rounds.values()), lead)
+        return {j: errors[n] for j, n in rounds.items()}
+
+    pool = ThreadPool(max(1, min(parallelism, len(paths))))
     try:
-        return pool.map(one, maps)
+        found = {j: error for each in pool.map(one, paths.values()) for j, error in each.items()}
+        return [found[j] for j in range(len(maps))]
     finally:
         pool.close()
         for part in parts:
@@ -314,7 +335,7 @@ def grid_search(
     """Try every combination of the last stage's settings by k-fold RMSE; refit the best.
 
     The settings concern the regressor only, so the stages before it are fitted once per
-    fold, not once per fold and setting.
+    fold, not once per fold and setting. Numbers of rounds of a booster share one fit.
     """
     *before, regressor = pipeline.getStages()
     builder = ParamGridBuilder()
