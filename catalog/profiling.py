@@ -95,6 +95,20 @@ def correlation_daily(spark, folder):
     return round_all(P.correlation(daily))
 
 
+def _wide_lines(spark, folder):
+    """48 numbers of a line: sums of two columns with weights, absent where a rule says so."""
+    made = [
+        F.when((F.col("l_orderkey") + F.col("l_linenumber")) % (i + 3) != 0, F.col(NUMBERS[i % 4]) * (i + 1) + F.col(NUMBERS[(i + 1) % 4]) * (i % 5)).alias(f"w{i}")
+        for i in range(48)
+    ]
+    return table(spark, folder, "lineitem").select(*made)
+
+
+def correlation_wide(spark, folder):
+    """Pairwise-complete correlation of 48 columns by matrix products."""
+    return round_all(P.correlation(_wide_lines(spark, folder)))
+
+
 def histogram(spark, folder):
     return round_all(P.histogram(table(spark, folder, "lineitem"), "l_extendedprice", 30), 3)
 
@@ -168,6 +182,7 @@ QUERIES = {
     "distinct_counts": distinct_counts,
     "correlation_matrix": correlation_matrix,
     "correlation_daily": correlation_daily,
+    "correlation_wide": correlation_wide,
     "histogram": histogram,
     "box_stats": box_stats,
     "box_stats_by_category": box_stats_by_category,
@@ -267,6 +282,10 @@ SQL = {
                 CAST(MAX(user_id) AS DOUBLE) AS user_id FROM e GROUP BY 1)
         SELECT a, b, CASE WHEN isnan(r) THEN NULL ELSE r END AS r
         FROM ({_corr_sql(["value", "k", "user_id"], "d")})""",
+    "correlation_wide": f"""WITH w AS (SELECT {", ".join(
+        f"CASE WHEN (l_orderkey + l_linenumber) % {i + 3} <> 0 THEN {NUMBERS[i % 4]} * {i + 1} + {NUMBERS[(i + 1) % 4]} * {i % 5} END AS w{i}"
+        for i in range(48)
+    )} FROM lineitem) {_corr_sql([f"w{i}" for i in range(48)], "w")}""",
     "histogram": """WITH s AS (SELECT MIN(l_extendedprice) AS lo, MAX(l_extendedprice) AS hi FROM lineitem),
         b AS (SELECT CAST(least(floor((l_extendedprice - lo) / ((hi - lo) / 30)) + 1, 30) AS INTEGER) AS bin,
                 COUNT(*) AS n FROM lineitem, s GROUP BY 1)

@@ -12,9 +12,12 @@ from tidegauge.functions.names import categorical_columns, column, numeric_colum
 from tidegauge.functions.values import nan_to_null
 from tidegauge.operators.clean import threshold
 from tidegauge.operators.order_stats import build_grid, quantile_values, quantiles
+from tidegauge.operators.wide import wide_correlation
 from tidegauge.session import broadcast_if_small
 
 PERCENTILES = (0.05, 0.25, 0.5, 0.75, 0.99)
+#: Most columns whose correlations are written as one aggregate per pair.
+WIDE = 40
 
 
 def percentile_name(share: float) -> str:
@@ -231,9 +234,12 @@ def totals_change(df: DataFrame, baseline: str, scenario: str) -> DataFrame:
 def correlation(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Pearson correlation of all ordered pairs over rows where both are present.
 
-    Every pair is one mergeable aggregate of a single scan; half of them are computed.
+    Every pair is one mergeable aggregate of a single scan; half of them are computed. More
+    than ``WIDE`` columns, too many for expressions, go by matrix products of blocks.
     """
     names = list(columns) if columns is not None else numeric_columns(df)
+    if len(names) > WIDE:
+        return wide_correlation(df, names)
     pairs = [(a, b) for a in range(len(names)) for b in range(a, len(names))]
     row = df.agg(
         *[F.corr(_number(names[a]), _number(names[b])).alias(f"r{a}_{b}") for a, b in pairs]
