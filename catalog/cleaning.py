@@ -5,6 +5,7 @@ from __future__ import annotations
 from uuid import uuid4
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from catalog.inputs import (
     DIRTY_ROLES,
@@ -23,6 +24,7 @@ from tidegauge.operators.order_stats import nth_row
 from tidegauge.operators.profile import null_profile, schema_report
 from tidegauge.plans.cleaning import clean, prepare_table, preprocess
 from tidegauge.session import shared_folder
+from tidegauge.sources.quarantine import quarantined
 from tidegauge.sources.tables import read_table, text_schema, write_table
 
 
@@ -171,6 +173,20 @@ def csv_round_trip(spark, folder):
     return typed.select("event_id", "value", "event_type", "note")
 
 
+def quarantined_lines(spark, folder):
+    """Lines of events, some with a field too many, an open quote or a word for a number."""
+    base = f"{shared_folder(spark)}/lines-{uuid4().hex}"
+    e = F.col("event_id")
+    value = F.when(e % 13 == 0, "much").when(e % 11 == 0, F.lit('"7')).otherwise((e % 50).cast("string"))
+    line = F.concat_ws(",", e, value, "event_type", F.when(e % 7 == 0, "more"))
+    table(spark, folder, "events").select(line.alias("line")).write.text(f"{base}/raw")
+    found = quarantined(spark, f"{base}/raw", T.StructType.fromDDL("event_id long, amount int, event_type string"), f"{base}/out", header=False)
+    good = found.good.select(F.lit("good").alias("state"), "event_id", "amount", F.lit("").alias("record"))
+    bad = found.bad.select(F.lit("bad").alias("state"), F.lit(-1).cast("long").alias("event_id"), F.lit(-1).alias("amount"), "record")
+    sums = found.counts.agg(F.sum("good").alias("event_id"), F.sum("bad").cast("int").alias("amount"))
+    return good.unionByName(bad).unionByName(sums.select(F.lit("counts").alias("state"), "event_id", "amount", F.lit("").alias("record")))
+
+
 def prepared(spark, folder):
     """Raw CSV to a table with a folder per day: rows per day and the largest value."""
     base = f"{shared_folder(spark)}/prepared-{uuid4().hex}"
@@ -199,6 +215,7 @@ def row_lookup_wide(spark, folder):
 
 QUERIES = {
     "csv_round_trip": csv_round_trip,
+    "quarantined_lines": quarantined_lines,
     "prepare_table": prepared,
     "threshold_nan": threshold_nan,
     "row_lookup_wide": row_lookup_wide,
@@ -227,6 +244,13 @@ QUERIES = {
 SQL = {
     "csv_round_trip": """SELECT event_id, value, event_type,
         'said "' || event_type || '",' || chr(10) || 'then left' AS note FROM events""",
+    "quarantined_lines": """WITH l AS (SELECT event_id, event_id % 13 = 0 OR event_id % 11 = 0 OR event_id % 7 = 0 AS bad,
+          concat_ws(',', event_id, CASE WHEN event_id % 13 = 0 THEN 'much' WHEN event_id % 11 = 0 THEN '"7'
+            ELSE CAST(event_id % 50 AS VARCHAR) END, event_type, CASE WHEN event_id % 7 = 0 THEN 'more' END) AS line FROM events)
+        SELECT CASE WHEN bad THEN 'bad' ELSE 'good' END AS state, CASE WHEN bad THEN -1 ELSE event_id END AS event_id,
+          CAST(CASE WHEN bad THEN -1 ELSE event_id % 50 END AS INTEGER) AS amount, CASE WHEN bad THEN line ELSE '' END AS record FROM l
+        UNION ALL SELECT 'counts', CAST(SUM(CASE WHEN bad THEN 0 ELSE 1 END) AS BIGINT),
+          CAST(SUM(CASE WHEN bad THEN 1 ELSE 0 END) AS INTEGER), '' FROM l""",
     "prepare_table": f"""WITH {TYPED_SQL},
         r AS (SELECT t.date, t.usage_value FROM typed t JOIN dirty d USING (event_id)
               WHERE t.date IS NOT NULL AND t.usage_value IS NOT NULL AND d.raw_type <> '')
