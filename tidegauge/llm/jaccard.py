@@ -257,12 +257,14 @@ def rare_pairs(open_: DataFrame, texts: DataFrame, n: int, percent: int) -> Data
 
     with_text = open_.join(texts, "node").select("node", "component", "text")
     held = written(with_text.mapInArrow(taken, "node long, component long, values array<long>"), "open")
-    single = held.select("node", "component", F.size("values").alias("size"), F.explode("values").alias("value"))
+    single = held.select("node", "component", F.explode("values").alias("value"))
     often = single.groupBy("value").agg(F.count("*").alias("often"), (F.min("component") != F.max("component")).alias("open"))
     # The shingles of one document, rarest first. Those that no other has come before all
     # others; only their number matters, so they are not shipped.
-    shared = single.join(often.filter("often > 1"), "value").groupBy("node", "component", "size")
+    # What a node has once comes back by a join, so that each shingle ships as two numbers.
+    shared = single.select("node", "value").join(often.filter("often > 1"), "value").groupBy("node")
     ordered = shared.agg(F.sort_array(F.collect_list(F.struct("often", "value", "open"))).alias("order"))
+    ordered = ordered.join(held.select("node", "component", F.size("values").alias("size")), "node")
     ordered = ordered.withColumn("own", F.col("size") - F.size("order"))
     length = F.col("size") - F.ceil(F.col("size") * F.lit(percent) / 100).cast("int") + 1
     rest = F.slice("order", F.lit(1), F.greatest(length - F.col("own"), F.lit(0)))
@@ -281,7 +283,9 @@ def rare_pairs(open_: DataFrame, texts: DataFrame, n: int, percent: int) -> Data
 
 
 def links(made: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """Edges between nodes that give the components of all links. ``made``: a stored ``sets``."""
+    """Edges between nodes that give the components of all links. ``made``: a stored ``sets``,
+    deleted once its lists are read."""
+    stored, made = made, made.filter("node is not null")
     listed = made.select("node", F.explode("keys").alias("key"))
     several = listed.groupBy("key").agg(F.count("*").alias("rows")).filter("rows > 1").select("key")
     met = written(listed.join(several, "key").distinct(), "shared")
@@ -296,6 +300,7 @@ def links(made: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
     dropped(shared)
     edges = checked(stars, texts, n, percent).unionByName(subset_links(made))
     edges = checkpointed(edges)
+    dropped(stored)
     labels = components(edges)
     # A list's pivot has been checked against all others, so only those may link further.
     placed = arms.select("key", "node").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -334,8 +339,9 @@ def node_texts(made: DataFrame, docs: DataFrame, nodes: DataFrame, n: int) -> Da
 def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """One row per document: key, n_shingles and component_id (smallest id of its group)."""
     rows = docs.select(F.col(key).alias("doc"), F.col(text).alias("text"))
-    made = written(sets(rows, n, percent), "sets")
-    labels = components(links(made.filter("node is not null"), rows, n, percent))
+    listed = written(sets(rows, n, percent), "sets")
+    made = written(listed.select("doc", "size", "node"), "nodes")
+    labels = components(links(listed, rows, n, percent))
     first = made.filter("node is not null").groupBy("node").agg(F.min("doc").alias("first"))
     linked = labels.join(first, "node")
     least = checkpointed(linked.groupBy("component").agg(F.min("first").alias("least")))
