@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -173,6 +175,43 @@ def test_quantile_filter_skips_narrow_columns(spark):
     assert kept.select("y").distinct().count() == 3
 
 
+def chained_rows(rows, lower, upper, min_distinct):
+    """Brute force: indices of the rows that stay, column after column."""
+    left = list(range(len(rows)))
+    for c in range(len(rows[0])):
+        values = sorted(rows[i][c] for i in left if rows[i][c] is not None and rows[i][c] == rows[i][c])
+        if len(set(values)) <= min_distinct:
+            continue
+        ends = []
+        for q in (lower, upper):
+            place = (len(values) - 1) * q
+            low, high = values[int(place)], values[min(int(place) + 1, len(values) - 1)]
+            ends.append(low + (high - low) * (place - int(place)))
+        left = [i for i in left if rows[i][c] is not None and ends[0] <= rows[i][c] <= ends[1]]
+    return left
+
+
+@pytest.mark.parametrize("limit", [100_000, 300, 0])
+def test_quantile_filter_follows_the_chain(spark, monkeypatch, limit):
+    """Wide, tied, narrow, correlated, null and NaN columns; joint counts, a part of them, none."""
+    monkeypatch.setattr("tidegauge.operators.chained.DRIVER_ROWS", limit)
+    rng = random.Random(5)
+    rows = []
+    for i in range(4000):
+        a = rng.gauss(0, 1)
+        b = None if i % 50 == 0 else float("nan") if i % 50 == 1 else a * 3 + rng.random()
+        rows.append((a, b, float(rng.randrange(25)), float(i % 4), float("inf") if i % 900 == 7 else rng.expovariate(1), None))
+    schema = "a double, b double, c double, d double, e double, f double, i int"
+    df = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], schema).repartition(4)
+    kept = C.quantile_filter(df, ["a", "b", "c", "d", "e", "f"], 0.02, 0.97)
+    assert sorted(column(kept, "i")) == chained_rows(rows, 0.02, 0.97, 10)
+
+
+def test_quantile_filter_of_no_rows(spark):
+    df = spark.createDataFrame([], "a double, b double")
+    assert C.quantile_filter(df, ["a", "b"]).count() == 0
+
+
 def test_fill_mean_and_strip_thousands(spark):
     df = spark.createDataFrame([("1,000.5", "1"), ("2", "x"), (None, "3")], "n string, m string")
     made = C.strip_thousands(df)

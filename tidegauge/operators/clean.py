@@ -22,6 +22,7 @@ from tidegauge.functions.values import (
     to_number,
     to_time,
 )
+from tidegauge.operators.chained import chained_bounds
 from tidegauge.operators.order_stats import build_grid, nth_row, quantile_values
 
 
@@ -136,10 +137,20 @@ def quantile_filter(
 ) -> DataFrame:
     """Column after column, keep rows between two quantiles of what is left so far.
 
-    Only columns with more than ``min_distinct`` values count. The bounds are literals,
-    so each pass is the source scan with pushed-down filters, not a growing lineage.
+    Only columns with more than ``min_distinct`` values count. Two scans answer all columns
+    of a table whose joint counts the driver can take (``chained``); on larger ones columns
+    go one by one. The bounds are literals, so each pass is the source scan with pushed-down
+    filters, not a growing lineage.
     """
     names = list(columns) if columns is not None else numeric_columns(df)
+    require(df, names)
+    while names:
+        done, bounds = chained_bounds(df, names, lower, upper, min_distinct)
+        if not done:
+            break
+        for name, (low, high) in bounds.items():
+            df = df.filter((column(name) >= low) & (column(name) <= high))
+        names = names[done:]
     shares = {"low": lower, "high": upper}
     for name in names:
         grid = build_grid(df, [name])

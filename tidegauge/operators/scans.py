@@ -78,10 +78,9 @@ class _Windows:
     bounds: tuple[tuple[float, float], ...]
 
 
-def _sketched(df: DataFrame, shares: Mapping[str, set[float]], moments: Sequence[str]) -> tuple[int, list[_Windows], dict]:
-    """One scan: number of rows, windows of the columns with values, moments."""
+def sketches(df: DataFrame, asked: Sequence[str], measured: Sequence[str]) -> tuple[int, dict[str, tuple[int, list[float]]], dict]:
+    """One scan: number of rows; rows and sorted edges of the columns with values; moments."""
     steps = doubles(i / INTERVALS for i in range(1, INTERVALS))
-    asked, measured = list(shares), list(moments)
     made = [F.count(F.lit(1)).alias("rows")]
     values = []
     for i, name in enumerate(asked):
@@ -92,13 +91,24 @@ def _sketched(df: DataFrame, shares: Mapping[str, set[float]], moments: Sequence
         made += [F.count(f"w{i}").alias(f"k{i}"), F.avg(f"w{i}").alias(f"m{i}"), F.var_pop(f"w{i}").alias(f"s{i}")]
     group = F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("part")
     parts = df.select(group, *values).groupBy("part").agg(*made).collect()
-    windows = []
+    edges = {}
     for i, name in enumerate(asked):
         filled = [p for p in parts if p[f"n{i}"]]
-        rows = sum(p[f"n{i}"] for p in filled)
-        if not rows:
-            continue
-        edges = sorted(_merged_edges([(p[f"n{i}"], p[f"e{i}"]) for p in filled], INTERVALS))
+        if filled:
+            edges[name] = sum(p[f"n{i}"] for p in filled), sorted(_merged_edges([(p[f"n{i}"], p[f"e{i}"]) for p in filled], INTERVALS))
+    found = {}
+    for i, name in enumerate(measured):
+        filled = [(p[f"k{i}"], p[f"m{i}"], p[f"s{i}"]) for p in parts if p[f"k{i}"]]
+        n, mean, square = _merged_moments(filled)
+        found[name] = n, mean, square / n if n else 0.0
+    return sum(p["rows"] for p in parts), edges, found
+
+
+def _sketched(df: DataFrame, shares: Mapping[str, set[float]], moments: Sequence[str]) -> tuple[int, list[_Windows], dict]:
+    """One scan: number of rows, windows of the columns with values, moments."""
+    total, sketched, found = sketches(df, list(shares), list(moments))
+    windows = []
+    for name, (rows, edges) in sketched.items():
         spans = []
         for share in sorted(shares[name]):
             at = round(share * INTERVALS) - 1
@@ -109,12 +119,17 @@ def _sketched(df: DataFrame, shares: Mapping[str, set[float]], moments: Sequence
             else:
                 spans.append((low, high))
         windows.append(_Windows(name, rows, tuple(spans)))
-    found = {}
-    for i, name in enumerate(measured):
-        filled = [(p[f"k{i}"], p[f"m{i}"], p[f"s{i}"]) for p in parts if p[f"k{i}"]]
-        n, mean, square = _merged_moments(filled)
-        found[name] = n, mean, square / n if n else 0.0
-    return sum(p["rows"] for p in parts), windows, found
+    return total, windows, found
+
+
+def slot_sql(value: str, windows: Sequence[tuple[float, float]]) -> str:
+    """Number of the gap (even) or window (odd) that a value lies in."""
+    slot = "0"
+    for low, high in windows:
+        # A value at or past the window's start is one further, past its end two.
+        low, high = (f"CAST('{'-' if x < 0 else ''}Infinity' AS DOUBLE)" if math.isinf(x) else f"CAST('{x!r}' AS DOUBLE)" for x in (low, high))
+        slot += f" + CASE WHEN {value} > {high} THEN 2 WHEN {value} >= {low} THEN 1 ELSE 0 END"
+    return slot
 
 
 def _counted(df: DataFrame, windows: Sequence[_Windows], categories: Sequence[str]) -> list | None:
@@ -129,12 +144,7 @@ def _counted(df: DataFrame, windows: Sequence[_Windows], categories: Sequence[st
     )
     rows = []
     for i, w in enumerate(windows):
-        slot = "0"
-        for low, high in w.bounds:
-            # A value at or past the window's start is one further, past its end two.
-            low, high = (f"CAST('{'-' if x < 0 else ''}Infinity' AS DOUBLE)" if math.isinf(x) else f"CAST('{x!r}' AS DOUBLE)" for x in (low, high))
-            slot += f" + CASE WHEN v{i} > {high} THEN 2 WHEN v{i} >= {low} THEN 1 ELSE 0 END"
-        rows.append(f"{i}, CASE WHEN v{i} IS NOT NULL THEN {slot} END, v{i}, CAST(NULL AS STRING)")
+        rows.append(f"{i}, CASE WHEN v{i} IS NOT NULL THEN {slot_sql(f'v{i}', w.bounds)} END, v{i}, CAST(NULL AS STRING)")
     for i in range(len(categories)):
         rows.append(f"{-1 - i}, CASE WHEN t{i} IS NOT NULL THEN 0 END, CAST(NULL AS DOUBLE), t{i}")
     long = plain.select(F.expr(f"stack({len(rows)}, {', '.join(rows)}) AS (ix, slot, value, text)")).filter("slot IS NOT NULL")
@@ -143,7 +153,7 @@ def _counted(df: DataFrame, windows: Sequence[_Windows], categories: Sequence[st
     return found if len(found) <= DRIVER_ROWS else None
 
 
-def _ranks(rows: int, share: float) -> tuple[int, int, float]:
+def ranks(rows: int, share: float) -> tuple[int, int, float]:
     place = (rows - 1) * share
     return math.floor(place), math.ceil(place), place - math.floor(place)
 
@@ -151,7 +161,7 @@ def _ranks(rows: int, share: float) -> tuple[int, int, float]:
 def _looked_up(w: _Windows, shares: set[float], counts: Sequence) -> dict[float, tuple[float, float, float]] | None:
     """Values about every share, or None if one is in no window."""
     line = sorted(((r["slot"], -math.inf if r["value"] is None else r["value"], r["n"]) for r in counts))
-    wanted = sorted({rank for q in shares for rank in _ranks(w.rows, q)[:2]})
+    wanted = sorted({rank for q in shares for rank in ranks(w.rows, q)[:2]})
     found, upto, at = {}, 0, 0
     for slot, value, n in line:
         upto += n
@@ -160,7 +170,7 @@ def _looked_up(w: _Windows, shares: set[float], counts: Sequence) -> dict[float,
                 return None
             found[wanted[at]] = value
             at += 1
-    return {q: (found[low], found[high], part) for q in shares for low, high, part in [_ranks(w.rows, q)]}
+    return {q: (found[low], found[high], part) for q in shares for low, high, part in [ranks(w.rows, q)]}
 
 
 def _by_cells(df: DataFrame, shares: Mapping[str, set[float]]) -> dict[str, dict[float, tuple[float, float, float]]]:
@@ -170,11 +180,11 @@ def _by_cells(df: DataFrame, shares: Mapping[str, set[float]]) -> dict[str, dict
     grid = build_grid(df, names)
 
     def around(rows: int) -> list[int]:
-        return [rank for q in every for rank in _ranks(rows, q)[:2]]
+        return [rank for q in every for rank in ranks(rows, q)[:2]]
 
     out = {}
     for ix, (rows, values) in _driver_values(df, grid, around).items():
-        out[names[ix]] = {q: (values[2 * i], values[2 * i + 1], _ranks(rows, q)[2]) for i, q in enumerate(every)}
+        out[names[ix]] = {q: (values[2 * i], values[2 * i + 1], ranks(rows, q)[2]) for i, q in enumerate(every)}
     return out
 
 
