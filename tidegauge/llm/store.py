@@ -4,31 +4,19 @@ from __future__ import annotations
 
 import gc
 import uuid
-from pathlib import Path
 from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegauge.llm.words import UPPER
-from tidegauge.session import checkpointed, shared_folder
+from tidegauge.session import checkpointed, findable, shared_folder
 
 __all__ = ["checkpointed", "dropped", "findable", "folder", "hashed_sample", "lowered", "released", "written"]
 
 _folders: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 
 
-def findable(spark: SparkSession) -> None:
-    """Let Python workers on this machine import the package from any working directory.
-
-    A cluster gets it as any Python dependency, for example by ``--py-files``.
-    """
-    root = str(Path(__file__).resolve().parents[2])
-    paths = spark.sparkContext.environment.get("PYTHONPATH", "")
-    if root not in paths.split(":"):
-        spark.sparkContext.environment["PYTHONPATH"] = f"{root}:{paths}".rstrip(":")
-
-
 def folder(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder."""
     return f"{shared_folder(spark).rstrip('/')}/corpus/{name}-{uuid.uuid4().hex}"

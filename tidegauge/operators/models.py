@@ -9,7 +9,7 @@ from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from tidegauge.functions.names import column, quoted, require, safe_name
 from tidegauge.operators.boosting import ShareBoostedTrees, path_rmse
 from tidegauge.operators.fused import FusedPipeline
+from tidegauge.operators.least_squares import LeastSquares
 from tidegauge.operators.quality import long_metrics, regression_metrics, split_metrics
 from tidegauge.operators.split import folds
 from tidegauge.operators.stages import (
@@ -35,8 +36,7 @@ FEATURES = "features"
 
 # Default settings per kind. Spark caps the depth of a tree at 30. Up to 4,096
 # features the linear solver takes the normal equations, beyond them gradients. A full set
-# of category slots makes the normal equations singular; they are then solved by iteration
-# on the small aggregated system, so a tight tolerance costs no pass over the data.
+# of category slots makes the normal equations singular; ``LeastSquares`` solves them exactly.
 DEFAULTS = {
     "linear_regression": {
         "fitIntercept": True,
@@ -62,7 +62,7 @@ DEFAULTS = {
     },
 }
 KINDS = {
-    "linear_regression": LinearRegression,
+    "linear_regression": LeastSquares,
     "random_forest": RandomForestRegressor,
     "boosted_trees": GBTRegressor,
 }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from pathlib import Path
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,6 +40,17 @@ def local_session(cores: int = 8, app: str = "tidegauge", memory: str = "8g") ->
     return spark
 
 
+def findable(spark: SparkSession) -> None:
+    """Let Python workers on this machine import the package from any working directory.
+
+    A cluster gets it as any Python dependency, for example by ``--py-files``.
+    """
+    root = str(Path(__file__).resolve().parents[1])
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in paths.split(":"):
+        spark.sparkContext.environment["PYTHONPATH"] = f"{root}:{paths}".rstrip(":")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder that every executor can reach, named by ``spark.checkpoint.dir``.
 
