@@ -64,11 +64,10 @@ def sparse_dummies(spark, folder):
     """One slot per part in a sparse vector: its sum is one for every row."""
     df = table(spark, folder, "lineitem").select("l_partkey")
     made = SparseDummies(columns=["l_partkey"]).fit(df).transform(df)
-    slots = vector_to_array("l_partkey_dummies")
-    width = made.select(F.size(slots).alias("width"), "l_partkey")
-    total = F.aggregate(slots, F.lit(0.0), lambda acc, x: acc + x)
-    sums = made.agg(F.count(F.lit(1)).alias("rows"), F.sum(total).alias("ones"))
-    return sums.select("rows", "ones", F.lit(width.first()["width"]).alias("slots"))
+    # The stored form of a vector: its size, and its values other than zero.
+    slots = F.unwrap_udt("l_partkey_dummies")
+    total = F.aggregate(slots["values"], F.lit(0.0), lambda acc, x: acc + x)
+    return made.agg(F.count(F.lit(1)).alias("rows"), F.sum(total).alias("ones"), F.max(slots["size"]).alias("slots"))
 
 
 def ratio_features(spark, folder):

@@ -275,3 +275,13 @@ def test_missing_features_are_never_skipped(spark):
         train_suite(df, "y", "id", kinds=["linear_regression"])
     row = train_suite(df.fillna(1.0), "y", "id", kinds=["linear_regression"]).filter("metric = 'r2' and split = 'test'").first()
     assert row["value"] == pytest.approx(1.0)
+
+
+def test_sparse_dummies_are_never_made_dense(spark, tmp_path):
+    from catalog.features import sparse_dummies
+
+    spark.range(6000).selectExpr("id % 2000 AS l_partkey").write.parquet(str(tmp_path / "lineitem.parquet"))
+    found = sparse_dummies(spark, str(tmp_path))
+    assert found.collect() == [(6000, 6000.0, 2000)]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "unwrap_udt" in plan.lower() or "unwrapudt" in plan.lower()
