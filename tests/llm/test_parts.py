@@ -280,3 +280,13 @@ def test_views_of_odd_texts():
     assert content.shape == (4, quality.PAIRS) and page.shape == (4, quality.PAGE)
     assert not content[0].any() and np.isfinite(page).all()
     assert np.allclose((content[2:] ** 2).sum(axis=1), 1)
+
+
+def test_substring_search_leaves_no_finished_tables(spark, messy, tmp_path, monkeypatch):
+    """Lists of anchors and pieces go as soon as what is read from them is stored."""
+    from tidegauge.llm import store, substring
+
+    monkeypatch.setattr(store, "folder", lambda spark, name: f"{tmp_path}/{name}")
+    found = substring.repeated(messy).collect()
+    assert len(found) == messy.count() and any(r["n_removed"] for r in found)
+    assert {p.name for p in tmp_path.iterdir()} == {"places", "marked", "found"}

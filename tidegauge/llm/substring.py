@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegauge.llm.fm_index import FMIndex
-from tidegauge.llm.store import written
+from tidegauge.llm.store import dropped, released, written
 from tidegauge.llm.words import BLANKS, Words, lists, long_column, mix, spans, split
 
 WIDTH = 35
@@ -230,17 +230,21 @@ def repeated(docs: DataFrame, key: str = "doc_id", text: str = "text", width: in
     # Stored, so that the join with it is a plain one: Spark can then split the rows of an
     # anchor that very many documents share.
     several = written(several, "several")
+    released(docs.sparkSession)
     # A row that is there twice has each of its pieces twice: distinct keeps one of them.
     segments = spread.select("doc", "body", zipped).select("doc", "body", "p.*").join(several, "anchor")
     segments = segments.groupBy("doc", "body").agg(F.collect_set(F.struct("start", "n", "anchor", (F.col("places") > hot).alias("hot"))).alias("seg"))
     segments = segments.withColumnsRenamed({"doc": "_doc", "body": "_body"})
     marked = rows.join(segments, rows["doc"].eqNullSafe(segments["_doc"]) & (rows["body"] == segments["_body"])).select(*rows.columns, "seg")
     marked = written(marked, "marked")
+    dropped(several)
     pieces = _extracted(marked, width, True).groupBy("core", "piece", "single").agg(F.count("*").alias("weight"), F.first("codes").alias("codes"))
     # A window that came alone and once occurs nowhere else.
     pieces = written(pieces.filter("not single or weight > 1"), "pieces")
+    released(docs.sparkSession)
     size = pieces.agg(F.sum(F.octet_length("codes"))).first()[0] or 0
     found = written(search_shards(pieces, width, max(12, -(-size // (8 * SHARD_WORDS)))), "found")
+    dropped(pieces)
     where = _extracted(marked, width, False).join(found, "piece")
     where = where.groupBy("doc", "body").agg(F.collect_set(F.struct("start", "windows")).alias("found"))
     where = where.withColumnsRenamed({"doc": "_doc", "body": "_body"})
