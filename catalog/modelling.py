@@ -216,13 +216,19 @@ def feature_subsets(spark, folder):
     """The same line on all features, without one number, and without a category as well."""
     df = events(spark, folder)
     subsets = {"all": EVENT_ROLES, "no_k": EVENT_ROLES.without("k"), "no_k_no_type": EVENT_ROLES.without("k", "event_type")}
-    found = None
-    for name, roles in subsets.items():
-        scored = M.fit_kept(M.model_pipeline(roles, "linear_regression"), df).transform(df)
-        row = regression_metrics(scored, roles.target, "prediction")
-        row = row.select(F.lit(name).alias("features"), "n", ((F.col("r2") >= -1e-9) & (F.col("r2") <= 1)).alias("explains"))
-        found = row if found is None else found.unionByName(row)
-    return found
+    # All subsets fit and score on the same kept rows.
+    kept = df.persist()
+    try:
+        found = None
+        for name, roles in subsets.items():
+            scored = M.model_pipeline(roles, "linear_regression").fit(kept).transform(kept)
+            row = regression_metrics(scored, roles.target, "prediction")
+            row = row.select(F.lit(name).alias("features"), "n", ((F.col("r2") >= -1e-9) & (F.col("r2") <= 1)).alias("explains"))
+            found = row if found is None else found.unionByName(row)
+        # One row per subset: computed while the rows are kept.
+        return spark.createDataFrame(found.collect(), found.schema)
+    finally:
+        kept.unpersist()
 
 
 def pipeline_means(spark, folder):

@@ -285,3 +285,12 @@ def test_sparse_dummies_are_never_made_dense(spark, tmp_path):
     assert found.collect() == [(6000, 6000.0, 2000)]
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert "unwrap_udt" in plan.lower() or "unwrapudt" in plan.lower()
+
+
+def test_feature_subsets_read_the_events_once(spark, folder):
+    from catalog.modelling import feature_subsets
+
+    found = feature_subsets(spark, folder)
+    assert "FileScan" not in found._jdf.queryExecution().executedPlan().toString()
+    assert [r["features"] for r in found.collect()] == ["all", "no_k", "no_k_no_type"]
+    assert all(r["explains"] for r in found.collect())
