@@ -290,3 +290,23 @@ def test_substring_search_leaves_no_finished_tables(spark, messy, tmp_path, monk
     found = substring.repeated(messy).collect()
     assert len(found) == messy.count() and any(r["n_removed"] for r in found)
     assert {p.name for p in tmp_path.iterdir()} == {"places", "marked", "found"}
+
+
+def test_shuffles_of_a_stored_table_go_with_its_write(spark):
+    """No garbage collection of the driver is needed, and the setting is as before."""
+    import time
+    from pathlib import Path
+
+    from tidegauge.llm import store
+
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    there = lambda: {p.name for d in blocks.localDirs() for p in Path(d.getPath()).rglob("shuffle_*")}
+    before, setting = there(), spark.conf.get(store.CLEANUP, None)
+    rows = spark.range(1000).withColumnRenamed("id", "a").repartition(4, "a").groupBy("a").count()
+    table = store.written(rows, "counted")
+    for _ in range(50):
+        if not (left := there() - before):
+            break
+        time.sleep(0.1)
+    assert not left and table.count() == 1000
+    assert spark.conf.get(store.CLEANUP, None) == setting

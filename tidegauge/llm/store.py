@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import gc
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +16,9 @@ from tidegauge.session import checkpointed, findable, shared_folder
 
 __all__ = ["checkpointed", "dropped", "findable", "folder", "hashed_sample", "lowered", "released", "written"]
 
+#: Spark's setting by which the shuffle files of a query go as soon as it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 _folders: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 
 
@@ -26,15 +31,31 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a parquet table in the shared folder, read back.
 
     It cuts the lineage as ``checkpoint()`` does, but columnar and compressed, which counts
-    for tables that hold texts.
+    for tables that hold texts. The shuffles of the write go at its end, not only when the
+    driver happens to collect their garbage.
     """
     path = folder(df.sparkSession, name)
-    df.write.parquet(path)
+    with _cleaned(df.sparkSession):
+        df.write.parquet(path)
     table = df.sparkSession.read.schema(df.schema).parquet(path)
     _folders[table] = path
     return table
 
 
+@contextmanager
+def _cleaned(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of queries that run inside go when each of them ends."""
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
+
+
 def dropped(*tables: DataFrame) -> None:
     """Delete tables that ``written`` made, once all that is read from them is stored itself."""
     for table in tables:
