@@ -211,6 +211,38 @@ def test_reshard_moves_only_the_surplus(spark, small, tmp_path):
     assert {r.doc_id for r in rows if r.shard != r.old_shard} <= {r.doc_id for r in new}
 
 
+def test_resharding_writes_the_touched_shards_only(spark, messy, nothing, tmp_path):
+    """All rows, repeated ones and null ids too; the shard that neither sends nor gets stays."""
+    docs = messy.withColumn("of", F.when(F.col("doc_id").isin(5, 6, 7), 0).when(F.col("doc_id") == 8, 1).otherwise(2))
+    kept = sum(len(r.text or "") + 1 for r in docs.filter("of = 0").collect())
+    path = str(tmp_path / "shards")
+    rows = reshard.moved(docs, "doc_id", "text", F.col("of"), path, 3, [kept, 10**6, 20_000]).collect()
+    files = spark.read.parquet(path)
+    assert {p.name for p in (tmp_path / "shards").glob("shard=*")} == {"shard=1", "shard=2"}
+    whole = lambda df: sorted(map(repr, df.select(*docs.columns).collect()))
+    assert whole(files) == whole(docs.filter("of > 0"))
+    want = Counter((r.doc_id, r.shard, zlib.crc32((r.text or "").encode())) for r in files.collect())
+    want.update((r.doc_id, 0, zlib.crc32((r.text or "").encode())) for r in docs.filter("of = 0").collect())
+    assert Counter((r.doc_id, r.shard, r.text_crc32) for r in rows) == want
+    for shard in range(3):
+        slots = sorted(r.slot for r in rows if r.shard == shard)
+        assert slots == list(range(len(slots)))
+    assert reshard.moved(nothing, "doc_id", "text", F.lit(1), str(tmp_path / "none"), 3).count() == 0
+
+
+def test_op4_rewrites_files(spark, small, tmp_path, monkeypatch):
+    from tidegauge.llm import store
+
+    for module in (store, reshard):
+        monkeypatch.setattr(module, "folder", lambda spark, name: f"{tmp_path}/{name}", raising=False)
+    rows = reshard.op4_reshard(spark, small).collect()
+    files = spark.read.parquet(f"{tmp_path}/shards").select("doc_id", "text", "shard").collect()
+    touched = {s for r in rows if r.shard != r.old_shard for s in (r.shard, r.old_shard)}
+    assert touched and {(r.doc_id, r.shard) for r in rows if r.shard in touched} == {(r.doc_id, r.shard) for r in files if r.shard in touched}
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{small}/documents.parquet").collect()}
+    assert len(rows) == len(docs) and all(docs[r.doc_id] == r.text for r in files)
+
+
 def test_packing(messy, nothing):
     rows = packing.pack(messy, buckets=3, budget=200).collect()
     assert len(rows) == messy.count() and packing.pack(nothing).count() == 0

@@ -16,14 +16,19 @@ def blocks(rows: int) -> int:
     return max(LEAST_BLOCKS, -(-rows // BLOCK_ROWS))
 
 
-def running(df: DataFrame, group: str, order: list[str], amount, rows: int, name: str) -> DataFrame:
+def running(df: DataFrame, group: str, order: list[str], amount, rows: int, name: str, counted: DataFrame | None = None) -> DataFrame:
     """Add ``name``: the sum of ``amount`` over the rows before this one in its group.
 
     The rows of a group are ordered by a hash block of ``order``, then by ``order``. Every
-    block is summed on its own; block totals, far fewer than rows, give the offsets.
+    block is summed on its own; block totals, far fewer than rows, give the offsets. They come
+    from ``counted`` if it is given: the same rows in a stored table without the wide columns.
     """
-    cut = df.withColumn("_block", F.pmod(F.xxhash64(*order), F.lit(blocks(rows)))).withColumn("_amount", amount)
-    totals = cut.groupBy(group, "_block").agg(F.sum("_amount").alias("_total"))
+
+    def in_blocks(of: DataFrame) -> DataFrame:
+        return of.withColumn("_block", F.pmod(F.xxhash64(*order), F.lit(blocks(rows)))).withColumn("_amount", amount)
+
+    cut = in_blocks(df)
+    totals = (cut if counted is None else in_blocks(counted)).groupBy(group, "_block").agg(F.sum("_amount").alias("_total"))
     before = Window.partitionBy(group).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     totals = totals.select(group, "_block", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_offset"))
     inside = Window.partitionBy(group, "_block").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)

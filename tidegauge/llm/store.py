@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tidegauge.llm.words import UPPER
 from tidegauge.session import checkpointed, findable, shared_folder
 
-__all__ = ["checkpointed", "dropped", "findable", "folder", "hashed_sample", "lowered", "released", "written"]
+__all__ = ["checkpointed", "cleaned", "dropped", "findable", "folder", "hashed_sample", "lowered", "released", "written"]
 
 #: Spark's setting by which the shuffle files of a query go as soon as it ends.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -35,15 +35,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     driver happens to collect their garbage.
     """
     path = folder(df.sparkSession, name)
-    with _cleaned(df.sparkSession):
+    with cleaned(df.sparkSession):
         df.write.parquet(path)
+    released(df.sparkSession)
     table = df.sparkSession.read.schema(df.schema).parquet(path)
     _folders[table] = path
     return table
 
 
 @contextmanager
-def _cleaned(spark: SparkSession) -> Iterator[None]:
+def cleaned(spark: SparkSession) -> Iterator[None]:
     """Shuffle files of queries that run inside go when each of them ends."""
     before = spark.conf.get(CLEANUP, None)
     spark.conf.set(CLEANUP, "true")
