@@ -310,3 +310,32 @@ def test_shuffles_of_a_stored_table_go_with_its_write(spark):
         time.sleep(0.1)
     assert not left and table.count() == 1000
     assert spark.conf.get(store.CLEANUP, None) == setting
+
+
+def test_latent_space_is_that_of_all_passages(spark):
+    """The leading singular vectors are those of the whole matrix, by numpy."""
+    rng = np.random.default_rng(5)
+    themes = [[f"w{t}x{k}" for k in range(12)] for t in range(6)]
+    texts = [" ".join(rng.choice(themes[min(i // 500, 5)], 70)) for i in range(2600)] + [None, ""]
+    stored = decontam.stored_passages(spark.createDataFrame([(t,) for t in texts], "text string").repartition(5))
+    count, n = decontam.passage_counts(stored)
+    passages = []
+    for words in split(pa.array(texts), MARKS, lower=True):
+        d = decontam.dims(words)
+        for r in range(words.rows):
+            own = d[words.first[r] : words.first[r + 1]].tolist()
+            passages += [Counter(own[a : a + decontam.PASSAGE]) for a in range(0, len(own), decontam.PASSAGE)]
+    assert n == len(passages) and count.sum() == sum(map(len, passages))
+    idf = np.log((n + 1) / (count + 1)).clip(0)
+    some = sorted({d for p in passages for d in p})
+    at = {d: i for i, d in enumerate(some)}
+    x = np.zeros((n, len(some)))
+    for i, p in enumerate(passages):
+        length = np.sqrt(sum((c * idf[d]) ** 2 for d, c in p.items()))
+        for d, c in p.items():
+            x[i, at[d]] = c * idf[d] / length
+    found = decontam.randomised_svd(stored.selectExpr("*", "1D AS weight"), idf, 60)[:, :6]
+    _, size, want = np.linalg.svd(x, full_matrices=False)
+    # Six themes: the same six directions, those of documents that a sample of 2,000 may miss too.
+    assert np.allclose(np.linalg.norm(x @ found[some], axis=0), size[:6], rtol=1e-3)
+    assert np.allclose(np.linalg.norm(want[:6] @ found[some], axis=0), 1, atol=1e-2)

@@ -2,8 +2,8 @@
 
 1. How many passages each (hashed) word occurs in is counted over all documents: the idf.
 2. A randomised SVD of TF-IDF passages gives a latent space. It is fitted on the passages of
-   at most ``FITTED`` documents, taken by a hash, and on the benchmark items, which weigh
-   more; products with the matrix are sums over Spark partitions.
+   all documents and on the benchmark items, which weigh more; products with the matrix are
+   sums over Spark partitions.
 3. Every document's overlapping windows are projected; benchmark items whose cosine with a
    window reaches ``NEAR`` are candidates. The items are the query set, searched in blocks.
 4. A candidate counts if the longest common subsequence of the item's words and the window's
@@ -32,12 +32,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from tidegauge.llm.store import hashed_sample, written
+from tidegauge.llm.store import cleaned, dropped, written
 from tidegauge.llm.words import MARKS, Words, split
 
 HASHED = 1 << 14
 RANK = 128
-FITTED = 2_000
 PASSAGE = 64
 STEP = 16
 NEAR = 0.35
@@ -47,6 +46,8 @@ LIKELY = 0.5
 ITEMS = 10_000
 #: Items that are compared at a time, and hits of their words.
 AT_ONCE = 1_000
+#: Passages that are multiplied at a time.
+AT_TIME = 32
 PAIRS = 4_000_000
 MATCH = "struct<item:long,cosine:double,share:double,answer:boolean>"
 FOUND = pa.list_(pa.struct([("item", pa.int64()), ("cosine", pa.float64()), ("share", pa.float64()), ("answer", pa.bool_())]))
@@ -56,88 +57,115 @@ def dims(words: Words) -> np.ndarray:
     return (words.hashes() >> np.uint64(40)).astype(np.int64) & (HASHED - 1)
 
 
-def passage_counts(docs: DataFrame) -> tuple[np.ndarray, int, int]:
-    """In how many passages each hashed word occurs, over all documents; passages; documents."""
+def stored_passages(texts: DataFrame) -> DataFrame:
+    """Hashed words of the passages of all texts, a row per slice: distinct words of each
+    passage, the words, and how often each occurs there, as a stored table."""
 
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(HASHED + 2, dtype=np.int64)
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            total[HASHED + 1] += batch.num_rows
             for words in split(batch.column(0), MARKS, lower=True):
                 if not len(words.starts):
                     continue
                 row = words.row_of()
-                passage = row * ((1 << 31) // PASSAGE) + (np.arange(len(row)) - words.first[row]) // PASSAGE
-                once = np.unique(passage * HASHED + dims(words))
-                total[:HASHED] += np.bincount(once % HASHED, minlength=HASHED)
-                total[HASHED] += int((-(-np.diff(words.first) // PASSAGE)).sum())
+                inside = np.arange(len(row)) - words.first[row]
+                new = inside % PASSAGE == 0
+                at, times = np.unique((np.cumsum(new) - 1) * HASHED + dims(words), return_counts=True)
+                size = np.bincount(at // HASHED, minlength=int(new.sum()))
+                parts = (size.astype(np.uint8), (at % HASHED).astype(np.uint16), times.astype(np.uint8))
+                yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in parts], names=["sizes", "dims", "times"])
+
+    return written(texts.select("text").mapInArrow(made, "sizes binary, dims binary, times binary"), "passages")
+
+
+def unpacked(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Sizes, words and frequencies of the passages of each slice."""
+    for sizes, where, times in zip(*(batch.column(n) for n in ("sizes", "dims", "times")), strict=True):
+        yield (np.frombuffer(x.as_buffer(), kind) for x, kind in ((sizes, np.uint8), (where, np.uint16), (times, np.uint8)))
+
+
+def passage_counts(stored: DataFrame) -> tuple[np.ndarray, int]:
+    """In how many passages each hashed word occurs; passages."""
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(HASHED + 1, dtype=np.int64)
+        for batch in batches:
+            for sizes, where, _ in unpacked(batch):
+                total[:HASHED] += np.bincount(where, minlength=HASHED)
+                total[HASHED] += len(sizes)
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["dim", "n"])
 
     # One row per hashed word.
-    rows = docs.select("text").mapInArrow(counted, "dim long, n long").groupBy("dim").agg(F.sum("n").alias("n")).collect()
-    out = np.zeros(HASHED + 2, dtype=np.int64)
+    rows = stored.mapInArrow(counted, "dim long, n long").groupBy("dim").agg(F.sum("n").alias("n")).collect()
+    out = np.zeros(HASHED + 1, dtype=np.int64)
     for r in rows:
         out[r["dim"]] = r["n"]
-    return out[:HASHED], int(out[HASHED]), int(out[HASHED + 1])
+    return out[:HASHED], int(out[HASHED])
 
 
-def passages(texts: DataFrame, idf: np.ndarray) -> DataFrame:
-    """TF-IDF rows of length 1 of the passages of (text, weight) rows."""
+def summed(parts: DataFrame, shape: tuple[int, int]) -> np.ndarray:
+    """Sum of the (at, part) rows of all partitions: float32 parts of an array, added up per part."""
 
-    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            weight = batch.column(1).to_numpy()
-            for words in split(batch.column(0), MARKS, lower=True):
-                d = dims(words)
-                rows, where, values = [], [], []
-                for r in range(words.rows):
-                    for a in range(words.first[r], words.first[r + 1], PASSAGE):
-                        at, n = np.unique(d[a : min(a + PASSAGE, words.first[r + 1])], return_counts=True)
-                        x = n * idf[at]
-                        rows.append(len(at))
-                        where.append(at.astype(np.int32))
-                        values.append((x * weight[words.row0 + r] / max(np.linalg.norm(x), 1e-9)).astype(np.float32))
-                if rows:
-                    bounds = np.concatenate(([0], np.cumsum(rows))).astype(np.int32)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.concatenate(v))) for v in (where, values)], names=["dims", "values"]
-                    )
-
-    return texts.mapInArrow(made, "dims array<int>, values array<float>")
-
-
-def randomised_svd(rows: DataFrame, rank: int, rounds: int = 2, seed: int = 7) -> np.ndarray:
-    """Leading right singular vectors of a sparse matrix stored as (dims, values) rows.
-
-    Every round multiplies a block of vectors by A'A: each partition multiplies with its own
-    rows, and the results, one block per partition, are summed. ``rows`` has few partitions.
+    def added(table: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(p.as_buffer(), np.float32).astype(np.float64) for p in table.column("part"))
+        return pa.table({"at": table.column("at")[:1], "part": pa.array([total.astype(np.float32).tobytes()], pa.binary())})
+
+    out = np.zeros(shape, dtype=np.float32)
+    # As many rows as the array has parts.
+    with cleaned(parts.sparkSession):
+        rows = parts.groupBy("at").applyInArrow(added, "at int, part binary").collect()
+    for r in rows:
+        part = np.frombuffer(r["part"], np.float32).reshape(-1, shape[1])
+        out[r["at"] : r["at"] + len(part)] = part
+    return out
+
+
+def randomised_svd(stored: DataFrame, idf: np.ndarray, rank: int, rounds: int = 2, seed: int = 7) -> np.ndarray:
+    """Leading right singular vectors of the TF-IDF passages, in rows as long as their ``weight``.
+
+    Every round multiplies a block of vectors by A'A, in the end by A alone: each partition
+    multiplies with its own passages, and the partitions' results are summed part by part.
     """
 
-    def product(block: np.ndarray) -> np.ndarray:
+    def product(block: np.ndarray, back: bool) -> np.ndarray:
+        """A'A ``block``, or without ``back`` the small (A ``block``)'(A ``block``)."""
+        shape = block.shape if back else (rank, rank)
+
         def multiplied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            total = np.zeros(block.shape, dtype=np.float32)
+            total = np.zeros(shape, dtype=np.float32)
+            own = np.empty(HASHED, dtype=np.int64)
             for batch in batches:
-                at, x = batch.column(0), batch.column(1)
-                bounds = at.offsets.to_numpy()
-                at, x = at.flatten().to_numpy(), x.flatten().to_numpy()
-                for i in range(len(bounds) - 1):
-                    own = slice(bounds[i] - bounds[0], bounds[i + 1] - bounds[0])
-                    total[at[own]] += np.outer(x[own], x[own] @ block[at[own]])
-            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["part"])
-
-        # One block per partition, one at a time.
-        parts = rows.mapInArrow(multiplied, "part binary").toLocalIterator()
-        whole = np.zeros(block.shape, dtype=np.float32)
-        for p in parts:
-            whole += np.frombuffer(p["part"], np.float32).reshape(block.shape)
-        return whole
+                for (sizes, where, times), weight in zip(unpacked(batch), batch.column("weight").to_numpy(), strict=True):
+                    bounds = np.concatenate(([0], np.cumsum(sizes, dtype=np.int64)))
+                    x = times * idf[where]
+                    x *= np.repeat(weight / np.maximum(np.sqrt(np.add.reduceat(x * x, bounds[:-1])), 1e-9), sizes)
+                    for a in range(0, len(sizes), AT_TIME):
+                        b = min(a + AT_TIME, len(sizes))
+                        at = where[bounds[a] : bounds[b]]
+                        # A small dense matrix of the words that these passages have.
+                        seen = np.zeros(HASHED, dtype=bool)
+                        seen[at] = True
+                        seen = np.flatnonzero(seen)
+                        own[seen] = np.arange(len(seen))
+                        dense = np.zeros((b - a, len(seen)), dtype=np.float32)
+                        dense[np.repeat(np.arange(b - a), sizes[a:b]), own[at]] = x[bounds[a] : bounds[b]]
+                        y = dense @ block[seen]
+                        if back:
+                            total[seen] += dense.T @ y
+                        else:
+                            total += y.T @ y
+            step = -(-len(total) // 32)
+            at = list(range(0, len(total), step))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(at, pa.int32()), pa.array([total[a : a + step].tobytes() for a in at], pa.binary())], names=["at", "part"]
+            )
+
+        return summed(stored.mapInArrow(multiplied, "at int, part binary"), shape)
 
     basis = np.linalg.qr(np.random.default_rng(seed).standard_normal((HASHED, rank), dtype=np.float32))[0]
     for _ in range(rounds):
-        basis = np.linalg.qr(product(basis))[0]
-    small = basis.T @ product(basis)
-    vectors = np.linalg.eigh((small + small.T) / 2)[1][:, ::-1]
+        basis = np.linalg.qr(product(basis, True))[0]
+    vectors = np.linalg.eigh(product(basis, False))[1][:, ::-1]
     return basis @ vectors
 
 
@@ -351,17 +379,18 @@ class Matcher:
 
 def spaces(docs: DataFrame, benchmark: DataFrame, key: str, text: str, item: str, item_text: str) -> list[Space]:
     """The latent space, once for each block of benchmark items."""
-    plain = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    count, n, rows = passage_counts(plain)
+    known = stored_passages(docs.select(F.col(text).alias("text")))
+    count, n = passage_counts(known)
     idf = np.log((n + 1) / (count + 1)).clip(0)
     questions = benchmark.select(F.col(item).cast("long").alias("id"), F.coalesce(F.col(item_text), F.lit("")).alias("text"))
     questions = written(questions.distinct(), "items")
     size = questions.count()
-    sample = hashed_sample(plain, ["key", "text"], FITTED, rows).select("text", F.lit(1.0).alias("weight"))
+    asked = stored_passages(questions)
     # The items weigh about four times as much as the passages of the documents.
-    heavy = max(1.0, (4 * 8 * FITTED / max(size, 1)) ** 0.5)
-    rows = sample.unionByName(questions.select("text", F.lit(heavy).alias("weight"))).repartition(6)
-    vectors = randomised_svd(written(passages(rows, idf), "passages"), RANK)
+    heavy = max(1.0, (4 * n / max(size, 1)) ** 0.5)
+    rows = known.withColumn("weight", F.lit(1.0)).unionByName(asked.withColumn("weight", F.lit(heavy)))
+    vectors = randomised_svd(rows, idf, RANK)
+    dropped(known, asked)
     word = (vectors * idf[:, None]).astype(np.float32)
     out = []
     blocks = -(-size // ITEMS)
