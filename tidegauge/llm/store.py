@@ -32,7 +32,8 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
     It cuts the lineage as ``checkpoint()`` does, but columnar and compressed, which counts
     for tables that hold texts. The shuffles of the write go at its end, not only when the
-    driver happens to collect their garbage.
+    driver happens to collect their garbage; that is collected here too, so that what
+    finished plans leave never fills a driver with room for far more than is alive.
     """
     path = folder(df.sparkSession, name)
     with cleaned(df.sparkSession):
