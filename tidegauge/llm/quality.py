@@ -4,12 +4,12 @@ The *content* view sees the text (hashed letter pairs), the *page* view the reco
 language, source, recorded length, and the layout of the page (lines, their lengths, shares of
 capitals, digits, marks and blanks). Both start from labelled documents. In every round all
 documents without a label are scored by both; where one view is confident and the other does
-not object, the document becomes a pseudo-labelled example of the other view, up to a number
-per class. In the end each view is calibrated on labelled documents kept back from training,
-and a logistic model on both calibrated views scores all documents.
+not object, the document becomes a pseudo-labelled example of the other view. In the end each
+view is calibrated on labelled documents kept back from training, and a logistic model on both
+calibrated views scores all documents.
 
-Only the fits use bounded samples (``LABELLED`` rows, ``TAUGHT`` pseudo-labels per view and
-round), which are taken by a hash of the id.
+All fits are on all documents with a label or pseudo-label, by sums over Spark partitions. The
+pseudo-labels of a round weigh together at most ``TAUGHT`` of the labels and by their classes.
 
 Contract: null text is empty, a null language, source or length is a value of its own; a
 missing one of these columns counts as null; documents whose label is not 0 or 1 are
@@ -27,12 +27,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from tidegauge.llm.store import hashed_sample, written
+from tidegauge.llm.newton import Examples, logistic, scaled, totals
+from tidegauge.llm.store import dropped, written
 from tidegauge.llm.words import SLICE
 
-LABELLED = 6_000
-TAUGHT = 1_000
 ROUNDS = 3
+#: Weight of a pseudo-label at most, and of all of a view beside all labels.
+LIGHT = 0.5
+TAUGHT = 0.2
 CONFIDENT = 0.97
 OBJECTS = 0.5
 KEEP = 0.3
@@ -96,26 +98,6 @@ def views(texts: pa.Array, lang: pa.Array, source: pa.Array, chars: pa.Array) ->
     return content, page
 
 
-def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-3) -> np.ndarray:
-    """Weights of a logistic model, the intercept last (Newton steps).
-
-    Sums run over blocks of rows, so the driver holds the rows once, as they came.
-    """
-    w = np.zeros(x.shape[1] + 1)
-    penalty = np.full(len(w), ridge * weight.sum())
-    penalty[-1] = 1e-6
-    for _ in range(8):
-        h, g = np.diag(penalty), -penalty * w
-        for at in range(0, len(x), 512):
-            own = slice(at, at + 512)
-            part = np.hstack((x[own].astype(np.float64), np.ones((len(x[own]), 1))))
-            p = 1 / (1 + np.exp(-np.clip(part @ w, -30, 30)))
-            h += (part * (weight[own] * np.maximum(p * (1 - p), 1e-4))[:, None]).T @ part
-            g += part.T @ (weight[own] * (y[own] - p))
-        w = w + np.linalg.solve(h, g)
-    return w
-
-
 def logit(x: np.ndarray, w: np.ndarray) -> np.ndarray:
     return np.clip(x @ w[:-1] + w[-1], -30, 30)
 
@@ -172,81 +154,90 @@ def stored_views(docs: DataFrame, labels: DataFrame, key: str, text: str, label:
     return written(rows.join(known, "doc", "left"), "views")
 
 
-def unpacked(rows) -> tuple[np.ndarray, np.ndarray]:
-    content = np.stack([np.frombuffer(r["content"], np.uint8) for r in rows]).astype(np.float32) / 255
-    return content, np.stack([np.frombuffer(r["page"], np.float32) for r in rows])
-
-
-def platt(z: np.ndarray, y: np.ndarray) -> np.ndarray:
-    w = logistic(z[:, None], y, np.ones(len(y)), 1e-4)
-    return np.array([max(w[0], 0.0), w[1]])
-
-
-def co_train(table: DataFrame, rounds: int = ROUNDS, labelled: int = LABELLED, taught: int = TAUGHT) -> Model | Constant:
-    """Fit both views on ``stored_views`` rows, teaching each other over ``rounds``."""
-    # At most ``labelled`` rows.
-    known = table.filter("label is not null")
-    rows = hashed_sample(known, ["doc"], labelled, known.count()).collect()
-    y = np.array([r["label"] for r in rows])
-    if not 0 < y.sum() < len(y):
-        return Constant(float(y.mean()) if len(y) else 1.0)
-    both = unpacked(rows)
-    held = np.arange(len(y)) % 4 == 3  # rows are in hash order
-    if not 0 < y[held].sum() < held.sum() or not 0 < y[~held].sum() < (~held).sum():
-        held = np.zeros(len(y), dtype=bool)
-    use, check = ~held, held if held.any() else ~held
-    own = [[(x[use], y[use], np.ones(int(use.sum())))] for x in both]
-    share = y.mean()
-
-    def fitted() -> Model:
-        weights = [logistic(*(np.concatenate(part) for part in zip(*view, strict=True))) for view in own]
-        scales = [platt(logit(x[check], w), y[check]) for x, w in zip(both, weights, strict=True)]
-        model = Model(weights, scales, np.array([1.0, 1.0, 0.0]))
-        z = model.calibrated(tuple(x[check] for x in both))
-        model.top = logistic(z, y[check], np.ones(len(z)), 1e-3)
-        return model
-
-    model = fitted()
-    for _ in range(rounds):
-        for view, chosen in enumerate(_confident(table, model, taught, share)):
-            if chosen:
-                x = unpacked(chosen)[view]
-                own[view].append((x, np.array([r["pseudo"] for r in chosen]), np.full(len(chosen), 0.5)))
-        model = fitted()
-    return model
+def unpacked(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Both views of the rows of a batch of ``stored_views``."""
 
+    def matrix(name: str, kind: type, width: int) -> np.ndarray:
+        column = batch.column(name).cast(pa.binary())
+        first = int(np.frombuffer(column.buffers()[1], np.int32)[column.offset])
+        return np.frombuffer(column.buffers()[2], kind, len(column) * width, first).reshape(-1, width)
 
-def _confident(table: DataFrame, model: Model, taught: int, share: float) -> list[list]:
-    """For each view, the pseudo-labelled rows that the other view teaches it."""
+    if not batch.num_rows:
+        return np.zeros((0, PAIRS), np.float32), np.zeros((0, PAGE), np.float32)
+    return matrix("content", np.uint8, PAIRS).astype(np.float32) / 255, matrix("page", np.float32, PAGE)
 
-    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
-                p = sigmoid(model.calibrated(unpacked(part.select(["content", "page"]).to_pylist())))
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(p[:, 0]), pa.array(p[:, 1])], names=[*part.schema.names, "p0", "p1"])
-
-    kind = table.schema["doc"].dataType.simpleString()
-    free = table.filter("label is null").select("doc", "content", "page")
-    free = free.mapInArrow(scored, f"doc {kind}, content binary, page binary, p0 double, p1 double")
-    # For each view and class the first ``taught`` rows by hash, all four in one pass.
-    sides = []
-    for view in (0, 1):
-        teacher, pupil = F.col(f"p{1 - view}"), F.col(f"p{view}")
-        sides.append(F.when((teacher >= CONFIDENT) & (pupil >= 1 - OBJECTS), F.struct(F.lit(view).alias("view"), F.lit(1.0).alias("pseudo"))))
-        sides.append(F.when((teacher <= 1 - CONFIDENT) & (pupil <= OBJECTS), F.struct(F.lit(view).alias("view"), F.lit(0.0).alias("pseudo"))))
-    told = written(free.select("doc", "content", "page", F.explode(F.filter(F.array(*sides), lambda s: s.isNotNull())).alias("side")), "taught")
-    many = {(r["view"], r["pseudo"]): r["count"] for r in told.select("side.*").groupBy("view", "pseudo").count().collect()}
-    out: list[list] = []
+
+def told(p: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each view the rows that the other one tells it to be good and to be bad."""
+    out = []
     for view in (0, 1):
-        rows: list = []
-        for pseudo, most in ((1.0, int(2 * taught * share) + 1), (0.0, int(2 * taught * (1 - share)) + 1)):
-            part = told.filter(f"side.view = {view} and side.pseudo = {pseudo}").select("content", "page", "doc", F.lit(pseudo).alias("pseudo"))
-            rows += hashed_sample(part, ["doc"], most, many.get((view, pseudo), 0)).collect()
-        out.append(rows)
+        teacher, pupil = p[:, 1 - view], p[:, view]
+        out.append(((teacher >= CONFIDENT) & (pupil >= 1 - OBJECTS), (teacher <= 1 - CONFIDENT) & (pupil <= OBJECTS)))
     return out
 
 
+def co_train(table: DataFrame, rounds: int = ROUNDS) -> Model | Constant:
+    """Fit both views on all ``stored_views`` rows, teaching each other over ``rounds``."""
+    table = table.withColumn("held", F.pmod(F.xxhash64("doc"), F.lit(4)) == 3)
+    known = written(table.filter("label is not null"), "known")
+    # At most four rows.
+    count = {(r["held"], r["label"]): r["count"] for r in known.groupBy("held", "label").count().collect()}
+    n, good = sum(count.values()), sum(v for (_, label), v in count.items() if label)
+    if not 0 < good < n:
+        return Constant(good / n if n else 1.0)
+    share = good / n
+    # Every fourth labelled document is kept back, if both parts have both kinds.
+    apart = len(count) == 4
+    used = sum(v for (held, _), v in count.items() if not held) if apart else n
+    check = known.filter("held") if apart else known
+
+    def labels(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        """Label and weight of each row; only labelled rows that are not kept back have one."""
+        y = batch.column("label").to_numpy(zero_copy_only=False).astype(float)
+        held = batch.column("held").to_numpy(zero_copy_only=False).astype(bool)
+        return np.nan_to_num(y), (~np.isnan(y) & ~(held & apart)).astype(float)
+
+    def calibrated(weights: list[np.ndarray], scales: list[np.ndarray]) -> Model:
+        def examples(batch: pa.RecordBatch) -> Examples:
+            y = batch.column("label").to_numpy(zero_copy_only=False)
+            return [(logit(x, w)[:, None], y, np.ones(len(y))) for x, w in zip(unpacked(batch), weights, strict=True)]
+
+        scales = logistic(check, examples, scales, scaled(1e-4))
+        return Model(weights, [np.array([max(s[0], 0.0), s[1]]) for s in scales], np.array([1.0, 1.0, 0.0]))
+
+    def taught(teachers: Model) -> Model:
+        def pseudo(batch: pa.RecordBatch, both: tuple[np.ndarray, np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
+            free = batch.column("label").is_null().to_numpy(zero_copy_only=False)
+            return [(good & free, bad & free) for good, bad in told(sigmoid(teachers.calibrated(both)))]
+
+        def counted(batch: pa.RecordBatch) -> np.ndarray:
+            return np.array([x.sum() for sides in pseudo(batch, unpacked(batch)) for x in sides], dtype=float)
+
+        many = totals(table, counted, 4).reshape(2, 2)
+        # All that one view tells the other weighs at most ``TAUGHT`` of the labels, by their classes.
+        each = np.minimum(LIGHT, TAUGHT * used * np.array([share, 1 - share]) / np.maximum(many, 1))
+
+        def examples(batch: pa.RecordBatch) -> Examples:
+            both, (y, weight) = unpacked(batch), labels(batch)
+            sides = zip(both, pseudo(batch, both), each, strict=True)
+            return [(x, y + good, weight + good * per[0] + bad * per[1]) for x, (good, bad), per in sides]
+
+        return calibrated(logistic(table, examples, teachers.weights, scaled(1e-3)), teachers.scales)
+
+    first = logistic(known, lambda batch: [(x, *labels(batch)) for x in unpacked(batch)], [np.zeros(PAIRS + 1), np.zeros(PAGE + 1)], scaled(1e-3))
+    model = calibrated(first, [np.zeros(2), np.zeros(2)])
+    for _ in range(rounds):
+        model = taught(model)
+
+    def joint(batch: pa.RecordBatch) -> Examples:
+        y = batch.column("label").to_numpy(zero_copy_only=False)
+        return [(model.calibrated(unpacked(batch)), y, np.ones(len(y)))]
+
+    (top,) = logistic(check, joint, [np.zeros(3)], scaled(1e-3))
+    dropped(known)
+    return Model(model.weights, model.scales, top)
+
+
 def scorer(docs: DataFrame, model, text: str = "text"):
     """Column expression: the score of each document."""
 
