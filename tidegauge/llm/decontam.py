@@ -53,8 +53,12 @@ MATCH = "struct<item:long,cosine:double,share:double,answer:boolean>"
 FOUND = pa.list_(pa.struct([("item", pa.int64()), ("cosine", pa.float64()), ("share", pa.float64()), ("answer", pa.bool_())]))
 
 
+def folded(code: np.ndarray) -> np.ndarray:
+    return (code >> np.uint64(40)).astype(np.int64) & (HASHED - 1)
+
+
 def dims(words: Words) -> np.ndarray:
-    return (words.hashes() >> np.uint64(40)).astype(np.int64) & (HASHED - 1)
+    return folded(words.hashes())
 
 
 def stored_passages(texts: DataFrame) -> DataFrame:
@@ -123,16 +127,16 @@ def summed(parts: DataFrame, shape: tuple[int, int]) -> np.ndarray:
 def randomised_svd(stored: DataFrame, idf: np.ndarray, rank: int, rounds: int = 2, seed: int = 7) -> np.ndarray:
     """Leading right singular vectors of the TF-IDF passages, in rows as long as their ``weight``.
 
-    Every round multiplies a block of vectors by A'A, in the end by A alone: each partition
-    multiplies with its own passages, and the partitions' results are summed part by part.
+    Every round multiplies a block of vectors by A'A: each partition multiplies with its own
+    passages, and the partitions' results are summed part by part. The space is that of the last
+    product, and its directions are those in which that product is longest.
     """
 
-    def product(block: np.ndarray, back: bool) -> np.ndarray:
-        """A'A ``block``, or without ``back`` the small (A ``block``)'(A ``block``)."""
-        shape = block.shape if back else (rank, rank)
+    def product(block: np.ndarray) -> np.ndarray:
+        """A'A ``block``."""
 
         def multiplied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            total = np.zeros(shape, dtype=np.float32)
+            total = np.zeros(block.shape, dtype=np.float32)
             own = np.empty(HASHED, dtype=np.int64)
             for batch in batches:
                 for (sizes, where, times), weight in zip(unpacked(batch), batch.column("weight").to_numpy(), strict=True):
@@ -149,24 +153,19 @@ def randomised_svd(stored: DataFrame, idf: np.ndarray, rank: int, rounds: int =
                         own[seen] = np.arange(len(seen))
                         dense = np.zeros((b - a, len(seen)), dtype=np.float32)
                         dense[np.repeat(np.arange(b - a), sizes[a:b]), own[at]] = x[bounds[a] : bounds[b]]
-                        y = dense @ block[seen]
-                        if back:
-                            total[seen] += dense.T @ y
-                        else:
-                            total += y.T @ y
+                        total[seen] += dense.T @ (dense @ block[seen])
             step = -(-len(total) // 32)
             at = list(range(0, len(total), step))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(at, pa.int32()), pa.array([total[a : a + step].tobytes() for a in at], pa.binary())], names=["at", "part"]
             )
 
-        return summed(stored.mapInArrow(multiplied, "at int, part binary"), shape)
+        return summed(stored.mapInArrow(multiplied, "at int, part binary"), block.shape)
 
     basis = np.linalg.qr(np.random.default_rng(seed).standard_normal((HASHED, rank), dtype=np.float32))[0]
     for _ in range(rounds):
-        basis = np.linalg.qr(product(basis, True))[0]
-    vectors = np.linalg.eigh(product(basis, False))[1][:, ::-1]
-    return basis @ vectors
+        basis = np.linalg.svd(product(basis), full_matrices=False)[0]
+    return basis
 
 
 @dataclass
@@ -201,8 +200,8 @@ def common(masks: dict[int, int], length: int, words: list[int]) -> int:
     """Length of the longest common subsequence, a row of bits at a time."""
     full = (1 << length) - 1
     v = full
-    for w in words:
-        u = v & masks.get(w, 0)
+    for mask in filter(None, map(masks.get, words)):
+        u = v & mask
         v = ((v + u) | (v - u)) & full
     return length - v.bit_count()
 
@@ -216,6 +215,22 @@ def reach(n: int) -> int:
     return n + max(2 * STEP, n // 2)
 
 
+class Codes:
+    """Places of some words in a text."""
+
+    def __init__(self, words: np.ndarray):
+        self.words = words  # ascending
+        self.low = np.zeros(1 << 16, dtype=bool)
+        self.low[words & np.uint64(0xFFFF)] = True
+
+    def places(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where ``code`` has one of the words, and which."""
+        at = np.flatnonzero(self.low[code & np.uint64(0xFFFF)])
+        word = np.minimum(np.searchsorted(self.words, code[at]), max(len(self.words) - 1, 0))
+        hit = self.words[word] == code[at]
+        return at[hit], word[hit]
+
+
 class Lookup:
     """Stretches that may hold an item, by its rarest words.
 
@@ -229,7 +244,7 @@ class Lookup:
         self.need = np.maximum(1, size // 4)
         self.reach = np.array([reach(n) for n in size.tolist()], dtype=np.int64)
         self.sure = np.zeros(len(items), dtype=np.int64)
-        self.mark: list[int | None] = []
+        marks: list[int | None] = []
         words, owner = [], []
         for k, item in enumerate(items):
             code = np.array(item.words, dtype=np.uint64)
@@ -237,32 +252,40 @@ class Lookup:
             lacks = len(code) - math.ceil(LIKELY * len(code) - 1e-9)
             words.append(np.unique(code[np.lexsort((code, -rare))[: lacks + self.need[k]]]))
             self.sure[k] = lacks + self.need[k] - (len(code) - math.ceil(SURE * len(code) - 1e-9))
-            self.mark.append(max(item.answer, key=lambda w: norm[(w >> 40) & (HASHED - 1)], default=None))
+            marks.append(max(item.answer, key=lambda w: norm[(w >> 40) & (HASHED - 1)], default=None))
             owner.append(np.full(len(words[-1]), k))
         code = np.concatenate(words) if words else np.zeros(0, np.uint64)
         order = np.argsort(code, kind="stable")
         self.owner = np.concatenate(owner)[order] if owner else np.zeros(0, np.int64)
-        self.words, self.first = np.unique(code[order], return_index=True)
+        words, self.first = np.unique(code[order], return_index=True)
+        self.words = Codes(words)
         self.first = np.append(self.first, len(code))
+        # The rarest word of each answer, by its place among those of all; -1 without an answer.
+        self.marks = Codes(np.unique(np.array([m for m in marks if m is not None], dtype=np.uint64)))
+        self.mark = np.array([-1 if m is None else int(np.searchsorted(self.marks.words, np.uint64(m))) for m in marks], dtype=np.int64)
 
     def places(self, code: np.ndarray, row: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, int, int]]:
         """(item, first word, last word): a stretch that begins between the two words may hold the item."""
-        if not len(self.words) or not len(code):
+        if not len(self.words.words) or not len(code):
             return
-        word = np.minimum(np.searchsorted(self.words, code), len(self.words) - 1)
-        n = np.where(self.words[word] == code, np.diff(self.first)[word], 0)
-        total = np.append(0, np.cumsum(n))[first]
+        at, word = self.words.places(code)
+        n = np.diff(self.first)[word]
+        rows = np.searchsorted(at, first)
+        total = np.append(0, np.cumsum(n))[rows]
+        said, which = self.marks.places(code) if len(self.marks.words) else (at[:0], at[:0])
+        said = np.sort(which * (len(code) + 1) + said)
         a = 0
         while a < len(first) - 1:  # whole rows of about ``PAIRS`` hits
             b = max(a + 1, int(np.searchsorted(total, total[a] + PAIRS, side="right")) - 1)
-            at = first[a] + np.flatnonzero(n[first[a] : first[b]])
-            for k, begin, end, sure in self._near(at, word[at], n[at], row):
-                begin = max(begin, int(first[row[end]]))
-                if sure or self.mark[k] is not None and (code[begin : end + self.reach[k]] == np.uint64(self.mark[k])).any():
-                    yield k, begin, end
+            own = slice(rows[a], rows[b])
+            k, begin, end, sure = self._near(at[own], word[own], n[own], row)
+            begin = np.maximum(begin, first[row[end]])
+            low, high = (self.mark[k] * (len(code) + 1) + x for x in (begin, np.minimum(end + self.reach[k], len(code))))
+            use = sure | ((self.mark[k] >= 0) & (np.searchsorted(said, low) < np.searchsorted(said, high)))
+            yield from zip(k[use].tolist(), begin[use].tolist(), end[use].tolist(), strict=True)
             a = b
 
-    def _near(self, at: np.ndarray, word: np.ndarray, n: np.ndarray, row: np.ndarray) -> Iterator[tuple[int, int, int, bool]]:
+    def _near(self, at: np.ndarray, word: np.ndarray, n: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         owner = self.owner[np.repeat(self.first[word] - np.cumsum(n) + n, n) + np.arange(n.sum())]
         hit = np.sort(owner * len(row) + np.repeat(at, n))
         item, place = np.divmod(hit, len(row))
@@ -272,7 +295,7 @@ class Lookup:
         ok = (item[last] == item[own]) & (row[place[last]] == row[place[own]]) & (place[last] - place[own] < self.reach[item[own]])
         own, last = own[ok], last[ok]
         if not len(own):
-            return
+            return own, own, own, own > 0
         k, end = item[own], place[own]
         begin = place[last] - self.reach[k] + 1
         sure = np.searchsorted(hit, hit[own] + self.reach[k]) - own >= self.sure[k]
@@ -280,7 +303,7 @@ class Lookup:
         new[1:] = (k[1:] != k[:-1]) | (row[end[1:]] != row[end[:-1]]) | (end[1:] > end[:-1] + STEP)
         a = np.flatnonzero(new)
         end = end[np.append(a[1:], len(k)) - 1]
-        yield from zip(k[a].tolist(), begin[a].tolist(), end.tolist(), np.logical_or.reduceat(sure, a).tolist(), strict=True)
+        return k[a], begin[a], end, np.logical_or.reduceat(sure, a)
 
 
 class Matcher:
@@ -296,18 +319,25 @@ class Matcher:
             self.masks.append(masks)
         self.lookups = [(a, Lookup(space.items[a : a + AT_ONCE], space.norm)) for a in range(0, len(space.items), AT_ONCE)]
 
-    def windows(self, words: Words) -> tuple[np.ndarray, np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+    def windows(self, words: Words, code: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
         """First word and row of each chunk; for two window sizes the projections and norms."""
         n = np.diff(words.first)
         chunks = -(-n // STEP)
         row = np.repeat(np.arange(words.rows), chunks)
         start = words.first[row] + STEP * (np.arange(len(row)) - (np.cumsum(chunks) - chunks)[row])
-        d = dims(words)
+        d = folded(code)
         total = np.empty((len(start), self.space.word.shape[1]), dtype=np.float32)
+        size = np.diff(np.append(start, len(d)))
+        # Full chunks first, so that the ones that have a next word are the first ones.
+        order = np.argsort(-size, kind="stable")
         for a in range(0, len(start), 512):
-            own = start[a : a + 512]
-            end = start[a + 512] if a + 512 < len(start) else len(d)
-            total[a : a + 512] = np.add.reduceat(self.space.word[d[own[0] : end]], own - own[0], axis=0)
+            own = order[a : a + 512]
+            at, more = start[own], size[own]
+            part = self.space.word[d[at]]
+            for j in range(1, int(more[0])):
+                n_more = int(np.searchsorted(-more, -j))
+                part[:n_more] += self.space.word[d[at[:n_more] + j]]
+            total[own] = part
         norm = np.add.reduceat(self.space.norm[d], start) if len(start) else np.zeros(0)
         out = []
         for shift in (1, 2):
@@ -330,8 +360,8 @@ class Matcher:
 
     def _slice(self, words: Words, held: list[dict[int, dict]]) -> None:
         space = self.space
-        start, row, sizes = self.windows(words)
         code = words.hashes()
+        start, row, sizes = self.windows(words, code)
 
         def offer(r: int, k: int, cosine: float, low: int, high: int) -> float:
             """Count the item if the words ``low:high`` hold it; the share of it that they hold."""
@@ -345,15 +375,20 @@ class Matcher:
             return share
 
         for (total, norm), use, length in ((sizes[0], ~space.wide, 2 * STEP), (sizes[1], space.wide, PASSAGE)):
-            size = np.sqrt(np.maximum(norm, 1e-9))[:, None]
+            size = np.sqrt(np.maximum(norm, 1e-9))
+            least = ((NEAR - 1e-3) * size).astype(np.float32)[:, None]
             for items in np.split(np.flatnonzero(use), np.arange(AT_ONCE, use.sum(), AT_ONCE)):
-                cosine = (total @ space.vectors[items].T) / size
-                window, column = np.nonzero(cosine >= NEAR)
-                if not len(window):
+                dot = total @ space.vectors[items].T
+                # Few come near, so only those are divided.
+                window, column = np.divmod(np.flatnonzero(dot >= least), len(items))
+                cosine = dot[window, column] / size[window]
+                near = cosine >= NEAR
+                if not near.any():
                     continue
+                window, column, cosine = window[near], column[near], cosine[near]
                 # Neighbouring windows of one item and row are one place.
                 order = np.lexsort((window, column))
-                window, column = window[order], column[order]
+                window, column, cosine = window[order], column[order], cosine[order]
                 new = np.ones(len(window), dtype=bool)
                 new[1:] = (column[1:] != column[:-1]) | (row[window[1:]] != row[window[:-1]]) | (window[1:] > window[:-1] + 1)
                 bounds = np.append(np.flatnonzero(new), len(window))
@@ -361,7 +396,7 @@ class Matcher:
                     r = int(row[window[a]])
                     low = max(int(words.first[r]), int(start[window[a]]) - STEP)
                     high = min(int(words.first[r + 1]), int(start[window[b - 1]]) + length + STEP)
-                    offer(r, int(items[column[a]]), float(cosine[window[a:b], column[a]].max()), low, high)
+                    offer(r, int(items[column[a]]), float(cosine[a:b].max()), low, high)
         of = words.row_of()
         for k0, lookup in self.lookups:
             for k, begin, end in lookup.places(code, of, words.first):
