@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from tidegauge.llm import quality
+from tidegauge.llm import quality, toxicity
 from tidegauge.llm.newton import logistic, scaled, totals
 
 
@@ -41,3 +41,12 @@ def test_quality_learns_from_every_label(spark):
     labels = docs.select("doc_id", (F.col("text") == "abcdabcd").cast("int").alias("quality"))
     left = {r.text: r["count"] for r in quality.kept(docs, labels).groupBy("text").count().collect()}
     assert set(left) == {"abcdabcd"}
+
+
+def test_toxicity_learns_from_every_label(spark):
+    # Only labels behind the first 20,000 by hash have this word.
+    ids = last_by_hash(spark, 30000, 1500).withColumn("toxic", (F.col("late") & (F.col("doc_id") % 2 == 0)).cast("int"))
+    filler = F.concat(F.col("doc_id").cast("string"), F.lit(" plain words"))
+    docs = ids.select("doc_id", F.when(F.col("toxic") == 1, F.concat(filler, F.lit(" vrazzle "), filler)).otherwise(filler).alias("text"))
+    found, _ = toxicity.train(toxicity.labelled(docs, ids, "doc_id", "text", "toxic"))
+    assert (b"vrazzle", False) in found

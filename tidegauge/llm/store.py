@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tidegauge.llm.words import UPPER
 from tidegauge.session import checkpointed, findable, shared_folder
 
-__all__ = ["checkpointed", "cleaned", "dropped", "findable", "folder", "hashed_sample", "lowered", "released", "written"]
+__all__ = ["checkpointed", "cleaned", "dropped", "findable", "folder", "lowered", "released", "written"]
 
 #: Spark's setting by which the shuffle files of a query go as soon as it ends.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -78,19 +78,6 @@ def released(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-def hashed_sample(df: DataFrame, keys: list[str], most: int, rows: int) -> DataFrame:
-    """At most ``most`` of the ``rows`` rows of ``df``, those with the smallest hash of ``keys``.
-
-    Rows above a hash that about a fifth more than ``most`` lie below are left out first, so
-    that what is sorted is small however many tasks read ``df``.
-    """
-    order = F.xxhash64(*keys)
-    if rows > most:
-        bound = int(min(1.0, (1.2 * most + 100) / rows) * 2**40)
-        df = df.filter(F.pmod(order, F.lit(2**40)) < bound)
-    return df.orderBy(F.pmod(order, F.lit(2**40)), *keys).limit(most)
-
-
 def lowered(text):
     """Text with A-Z in lower case and nothing else changed; null is empty."""
     return F.translate(F.coalesce(text, F.lit("")), UPPER, UPPER.lower())

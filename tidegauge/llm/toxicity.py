@@ -23,12 +23,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegauge.llm.automata import Automaton, determinise, run
-from tidegauge.llm.store import hashed_sample, written
+from tidegauge.llm.newton import logistic
+from tidegauge.llm.store import dropped, written
 from tidegauge.llm.words import MARKS, Words, long_column, mix, spans, split
 from tidegauge.llm.words import _CODE as CODES
+from tidegauge.session import broadcast_if_small
 
-#: Most labelled documents that the lexicon and the model are fitted on, taken by a hash.
-LABELLED = 20_000
 #: Stems are 4 to 7 bytes long.
 STEMS = range(4, 8)
 #: A term must beat chance by this factor over all candidates together.
@@ -53,6 +53,7 @@ def candidate_counts(docs: DataFrame) -> DataFrame:
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             toxic = batch.column(1).to_numpy(zero_copy_only=False)
+            made = []
             for words in split(batch.column(0), MARKS, lower=True):
                 row, size = words.row_of(), words.ends - words.starts
                 parts = []
@@ -67,10 +68,12 @@ def candidate_counts(docs: DataFrame) -> DataFrame:
                     names = [words.data[words.starts[i] : e].tobytes() for i, e in zip(use[once[where]], end[once[where]], strict=True)]
                     parts.append((names, length > 0, all_ - bad, bad))
                 for names, stem, good, bad in parts:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(names, pa.binary()), pa.array([stem] * len(names)), pa.array(good.astype(np.int64)), pa.array(bad.astype(np.int64))],
-                        names=["term", "stem", "clean", "toxic"],
-                    )
+                    kinds = pa.array([stem] * len(names), pa.bool_())
+                    made.append(pa.table({"term": pa.array(names, pa.binary()), "stem": kinds, "clean": good.astype(np.int64), "toxic": bad.astype(np.int64)}))
+            if made:
+                # Slices of a batch share most terms.
+                counts = pa.concat_tables(made).group_by(["term", "stem"]).aggregate([("clean", "sum"), ("toxic", "sum")])
+                yield from counts.rename_columns(["term", "stem", "clean", "toxic"]).combine_chunks().to_batches()
 
     counts = docs.select("text", "toxic").mapInArrow(counted, "term binary, stem boolean, clean long, toxic long")
     return counts.groupBy("term", "stem").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
@@ -115,14 +118,13 @@ def context_counts(docs: DataFrame, terms: list[tuple[bytes, bool]]) -> dict[int
 
 
 def learn_lexicon(docs: DataFrame) -> list[tuple[bytes, bool]]:
-    """Terms (bytes, is it a stem) that mark toxic documents. ``docs`` is the bounded sample."""
+    """Terms (bytes, is it a stem) that mark toxic documents."""
     total = {r["toxic"]: r["count"] for r in docs.groupBy("toxic").count().collect()}
     bad, good = total.get(1, 0), total.get(0, 0)
     if not bad or not good:
         return []
     share = bad / (bad + good)
-    counts = candidate_counts(docs).filter(f"toxic >= 3 and toxic > {10 * share / (1 - share)} * clean")
-    rows = [(bytes(r["term"]), r["stem"], r["clean"], r["toxic"]) for r in counts.collect()]
+    counts = written(candidate_counts(docs).filter(f"toxic >= 3 and toxic > {10 * share / (1 - share)} * clean"), "terms")
 
     def surprise(clean: int, toxic: int) -> float:
         n = clean + toxic
@@ -131,19 +133,28 @@ def learn_lexicon(docs: DataFrame) -> list[tuple[bytes, bool]]:
             return 0.0
         return n * (p * math.log(p / share) + ((1 - p) * math.log((1 - p) / (1 - share)) if p < 1 else 0.0))
 
-    least = math.log(max(len(rows), 1000) / CHANCE)
-    words = [r[0] for r in rows if not r[1]]
-    rows = [r for r in rows if surprise(r[2], r[3]) >= least]
-    seen = context_counts(docs, [(w, stem) for w, stem, _, _ in rows])
-    scores = [(surprise(*seen.get(k, (0, 0))), len(w), w, stem) for k, (w, stem, _, _) in enumerate(rows)]
+    least = math.log(max(counts.count(), 1000) / CHANCE)
+    # Each is more toxic than the share, so this is ``surprise``.
+    n, p = F.col("clean") + F.col("toxic"), F.col("toxic") / (F.col("clean") + F.col("toxic"))
+    found = n * (p * F.log(p / share) + F.when(p < 1, (1 - p) * F.log((1 - p) / (1 - share))).otherwise(0.0))
+    # Terms that beat chance.
+    rows = [(bytes(r["term"]), r["stem"]) for r in counts.filter(found >= least).collect()]
+    seen = context_counts(docs, rows)
+    scores = [(surprise(*seen.get(k, (0, 0))), len(w), w, stem) for k, (w, stem) in enumerate(rows)]
     terms: list[tuple[bytes, bool]] = []
     for found, _, word, stem in sorted(scores, reverse=True):
         # Only whole words may be misspelled, so a stem does not shut them out.
         if found >= least and not (stem and any(word.startswith(t) or t.startswith(word) for t, _ in terms)):
             terms.append((word, stem))
     # Forms of a stem that are too rare to stand alone.
-    stems, have = tuple(t for t, stem in terms if stem), {t for t, stem in terms if not stem}
-    return terms + [(w, False) for w in sorted(words) if w.startswith(stems) and w not in have]
+    stems, have = [t for t, stem in terms if stem], {t for t, stem in terms if not stem}
+    begins = F.lit(False)
+    for length in STEMS:
+        own = [F.lit(t) for t in stems if len(t) == length]
+        begins = begins | (F.substring("term", 1, length).isin(*own) if own else F.lit(False))
+    words = [bytes(r["term"]) for r in counts.filter(~F.col("stem") & begins).select("term").collect()]
+    dropped(counts)
+    return terms + [(w, False) for w in sorted(words) if w not in have]
 
 
 # --- automaton -----------------------------------------------------------------------------
@@ -260,27 +271,24 @@ def features(exact, near, quoted_):
     return np.stack([np.ones(len(exact)), exact > 0, np.log1p(exact), near > 0, np.log1p(near), np.log1p(quoted_)], axis=1).astype(float)
 
 
-def fit(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Logistic regression with a small ridge (Newton steps)."""
-    w = np.zeros(x.shape[1])
-    for _ in range(25):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        h = (x * (p * (1 - p))[:, None]).T @ x + 0.1 * np.eye(x.shape[1])
-        w = w + np.linalg.solve(h, x.T @ (y - p) - 0.1 * w)
-    return w
-
-
 def train(labelled: DataFrame) -> tuple[list[tuple[bytes, bool]], np.ndarray]:
-    """Lexicon and weights from (text, toxic) rows; at most ``LABELLED`` of them are given."""
+    """Lexicon and weights (logistic, with a small ridge) from all (text, toxic) rows."""
     terms = learn_lexicon(labelled)
-    # At most LABELLED rows of a few numbers.
-    rows = hits(labelled, "toxic", "text", terms).toPandas()
-    y = rows["toxic"].to_numpy(dtype=float)
-    if len(set(y)) < 2:
+    rows = written(hits(labelled, "toxic", "text", terms), "hits")
+    count = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
+    if len(count) < 2:
         weights = np.zeros(6)
-        weights[0] = math.log((y.sum() + 1e-9) / (len(y) - y.sum() + 1e-9)) if len(y) else -30.0
+        bad, good = count.get(1, 0), count.get(0, 0)
+        weights[0] = math.log((bad + 1e-9) / (good + 1e-9)) if count else -30.0
         return terms, weights
-    return terms, fit(features(*(rows[f].to_numpy() for f in FEATURES)), y)
+
+    def examples(batch: pa.RecordBatch) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        x = features(*(batch.column(f).to_numpy() for f in FEATURES))[:, 1:]
+        return [(x, batch.column("toxic").to_numpy().astype(float), np.ones(len(x)))]
+
+    (weights,) = logistic(rows, examples, [np.zeros(6)], lambda n, _: np.full(n, 0.1))
+    dropped(rows)
+    return terms, np.roll(weights, 1)
 
 
 def score(docs: DataFrame, key: str, text: str, terms, weights: np.ndarray) -> DataFrame:
@@ -296,21 +304,19 @@ def held_out(key: str):
     return F.coalesce(F.crc32(F.encode(F.col(key).cast("string"), "UTF-8")) % 4 == 2, F.lit(False))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, most: int = LABELLED) -> DataFrame:
-    """Texts and labels of at most ``most`` labelled rows that are not held out, by a hash."""
+def labelled(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str) -> DataFrame:
+    """Texts and labels of all labelled rows that are not held out."""
     rows = labels.filter(F.col(label).isin(0, 1) & F.col(key).isNotNull() & ~held_out(key))
-    rows = rows.groupBy(key).agg(F.max(label).alias(label))
-    rows = hashed_sample(rows, [key], most, rows.count())
-    # At most ``most`` rows, so they may be broadcast.
-    sample = docs.select(F.col(key), F.col(text).alias("text")).join(F.broadcast(rows), key)
-    return written(sample.select("text", F.col(label).cast("int").alias(label)), "labelled").repartition(8)
+    rows = rows.groupBy(key).agg(F.max(label).cast("int").alias(label))
+    rows = docs.select(F.col(key), F.col(text).alias("text")).join(broadcast_if_small(rows, rows.count()), key)
+    return written(rows.select("text", label), "labelled")
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every text of ``documents``, learned from ``labels`` that are not held out."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    terms, weights = train(labelled_sample(docs, labels, "doc_id", "text", "toxic"))
+    terms, weights = train(labelled(docs, labels, "doc_id", "text", "toxic"))
     scored = score(docs, "doc_id", "text", terms, weights)
     return scored.select(
         "doc_id",
