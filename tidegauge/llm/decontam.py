@@ -25,6 +25,7 @@ import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import batched
 
 import numpy as np
 import pyarrow as pa
@@ -46,9 +47,15 @@ LIKELY = 0.5
 ITEMS = 10_000
 #: Items that are compared at a time, and hits of their words.
 AT_ONCE = 1_000
-#: Passages that are multiplied at a time.
-AT_TIME = 32
+#: Passages that are multiplied at a time, and their words.
+AT_TIME = 4_096
+TERMS = 1_024
 PAIRS = 4_000_000
+#: Places that are looked at together, and words of candidates that are compared at a time.
+PLACES = 1 << 14
+COMPARED = 1 << 18
+#: Tells the words of one item from those of others.
+APART = np.uint64(0x9E3779B97F4A7C15)
 MATCH = "struct<item:long,cosine:double,share:double,answer:boolean>"
 FOUND = pa.list_(pa.struct([("item", pa.int64()), ("cosine", pa.float64()), ("share", pa.float64()), ("answer", pa.bool_())]))
 
@@ -124,6 +131,25 @@ def summed(parts: DataFrame, shape: tuple[int, int]) -> np.ndarray:
     return out
 
 
+def add_products(out: np.ndarray, to: np.ndarray, of: np.ndarray, x: np.ndarray, block: np.ndarray) -> None:
+    """Add the rows ``of`` of ``block``, each times its ``x``, to the rows ``to`` of ``out``.
+
+    ``to`` ascends. Rows that get equally many are multiplied together, so memory is read once
+    per word; a dense matrix of passages reads far more than there is in it.
+    """
+    n = np.bincount(to, minlength=len(out))
+    first = np.cumsum(n) - n
+    order = np.argsort(n, kind="stable")[np.count_nonzero(n == 0) :]
+    sizes, begin = np.unique(n[order], return_index=True)
+    bounds = [*begin.tolist(), len(order)]
+    for size, a, b in zip(sizes.tolist(), bounds[:-1], bounds[1:], strict=True):
+        step = max(1, TERMS // size)
+        for c in range(a, b, step):
+            own = order[c : min(c + step, b)]
+            at = first[own][:, None] + np.arange(size)
+            out[own] += np.matmul(x[at][:, None], block.take(of[at], 0))[:, 0]
+
+
 def randomised_svd(stored: DataFrame, idf: np.ndarray, rank: int, rounds: int = 2, seed: int = 7) -> np.ndarray:
     """Leading right singular vectors of the TF-IDF passages, in rows as long as their ``weight``.
 
@@ -137,7 +163,6 @@ def randomised_svd(stored: DataFrame, idf: np.ndarray, rank: int, rounds: int =
 
         def multiplied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             total = np.zeros(block.shape, dtype=np.float32)
-            own = np.empty(HASHED, dtype=np.int64)
             for batch in batches:
                 for (sizes, where, times), weight in zip(unpacked(batch), batch.column("weight").to_numpy(), strict=True):
                     bounds = np.concatenate(([0], np.cumsum(sizes, dtype=np.int64)))
@@ -145,15 +170,12 @@ def randomised_svd(stored: DataFrame, idf: np.ndarray, rank: int, rounds: int =
                     x *= np.repeat(weight / np.maximum(np.sqrt(np.add.reduceat(x * x, bounds[:-1])), 1e-9), sizes)
                     for a in range(0, len(sizes), AT_TIME):
                         b = min(a + AT_TIME, len(sizes))
-                        at = where[bounds[a] : bounds[b]]
-                        # A small dense matrix of the words that these passages have.
-                        seen = np.zeros(HASHED, dtype=bool)
-                        seen[at] = True
-                        seen = np.flatnonzero(seen)
-                        own[seen] = np.arange(len(seen))
-                        dense = np.zeros((b - a, len(seen)), dtype=np.float32)
-                        dense[np.repeat(np.arange(b - a), sizes[a:b]), own[at]] = x[bounds[a] : bounds[b]]
-                        total[seen] += dense.T @ (dense @ block[seen])
+                        at, own = where[bounds[a] : bounds[b]], x[bounds[a] : bounds[b]].astype(np.float32)
+                        passage = np.repeat(np.arange(b - a), sizes[a:b])
+                        latent = np.zeros((b - a, block.shape[1]), dtype=np.float32)
+                        add_products(latent, passage, at, own, block)
+                        order = np.argsort(at, kind="stable")
+                        add_products(total, at[order], passage[order], own[order], latent)
             step = -(-len(total) // 32)
             at = list(range(0, len(total), step))
             yield pa.RecordBatch.from_arrays(
@@ -220,12 +242,13 @@ class Codes:
 
     def __init__(self, words: np.ndarray):
         self.words = words  # ascending
-        self.low = np.zeros(1 << 16, dtype=bool)
-        self.low[words & np.uint64(0xFFFF)] = True
+        self.mask = np.uint64((1 << max(16, (8 * len(words)).bit_length())) - 1)
+        self.low = np.zeros(int(self.mask) + 1, dtype=bool)
+        self.low[words & self.mask] = True
 
     def places(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Where ``code`` has one of the words, and which."""
-        at = np.flatnonzero(self.low[code & np.uint64(0xFFFF)])
+        at = np.flatnonzero(self.low[code & self.mask])
         word = np.minimum(np.searchsorted(self.words, code[at]), max(len(self.words) - 1, 0))
         hit = self.words[word] == code[at]
         return at[hit], word[hit]
@@ -311,12 +334,19 @@ class Matcher:
 
     def __init__(self, space: Space):
         self.space = space
-        self.masks = []
+        self.masks: list[dict[int, int]] = []
         for item in space.items:
             masks: dict[int, int] = {}
             for i, w in enumerate(item.words):
                 masks[w] = masks.get(w, 0) | (1 << i)
             self.masks.append(masks)
+        self.length = np.array([len(item.words) for item in space.items], dtype=np.int64)
+        self.reach = np.array([reach(n) for n in self.length.tolist()], dtype=np.int64)
+        # Places of each word in the items whose places fit a number.
+        short = [(k, w, mask) for k, masks in enumerate(self.masks) if self.length[k] <= 64 for w, mask in masks.items()]
+        k, w, mask = (np.array(x, dtype=np.uint64) for x in (zip(*short) if short else ((), (), ())))
+        pair, at = np.unique(w + APART * k, return_index=True)
+        self.pairs, self.bits = Codes(pair), mask[at]
         self.lookups = [(a, Lookup(space.items[a : a + AT_ONCE], space.norm)) for a in range(0, len(space.items), AT_ONCE)]
 
     def windows(self, words: Words, code: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
@@ -333,10 +363,9 @@ class Matcher:
         for a in range(0, len(start), 512):
             own = order[a : a + 512]
             at, more = start[own], size[own]
-            part = self.space.word[d[at]]
-            for j in range(1, int(more[0])):
-                n_more = int(np.searchsorted(-more, -j))
-                part[:n_more] += self.space.word[d[at[:n_more] + j]]
+            part = self.space.word.take(d[at], 0)
+            for j, n_more in enumerate(np.searchsorted(-more, -np.arange(1, more[0])).tolist(), 1):
+                part[:n_more] += self.space.word.take(d[at[:n_more] + j], 0)
             total[own] = part
         norm = np.add.reduceat(self.space.norm[d], start) if len(start) else np.zeros(0)
         out = []
@@ -349,6 +378,41 @@ class Matcher:
             out.append((total, norm))
         return start, row, out
 
+    def shares(self, code: np.ndarray, k: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """``common`` as a share of each item ``k``, for the words ``low:high``."""
+        out = np.zeros(len(k), dtype=np.int64)
+        for i in np.flatnonzero(self.length[k] > 64).tolist():
+            out[i] = common(self.masks[k[i]], int(self.length[k[i]]), code[low[i] : high[i]].tolist())
+        short = np.flatnonzero(self.length[k] <= 64)
+        ends = np.cumsum((high - low)[short])
+        a = 0
+        while a < len(short):
+            b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + COMPARED, side="right")))
+            own = short[a:b]
+            out[own] = self._common(code, k[own], low[own], high[own])
+            a = b
+        return out / self.length[k]
+
+    def _common(self, code: np.ndarray, k: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """``common`` of many items at a time, which have 64 words at most."""
+        size = high - low
+        own = np.repeat(np.arange(len(k)), size)
+        at = np.arange(len(own)) + (low - np.cumsum(size) + size)[own]
+        at, pair = self.pairs.places(code[at] + (APART * k.astype(np.uint64))[own])
+        mask = self.bits[pair]
+        n = np.bincount(own[at], minlength=len(k))
+        order = np.argsort(-n, kind="stable")
+        first, n = (np.cumsum(n) - n)[order], n[order]
+        full = np.uint64(2**64 - 1) >> (64 - self.length[k[order]]).astype(np.uint64)
+        v = full.copy()
+        # All take their next word that the item has.
+        for j, more in enumerate(np.searchsorted(-n, -np.arange(n.max(initial=0))).tolist()):
+            u = v[:more] & mask[first[:more] + j]
+            v[:more] = (v[:more] + u) | (v[:more] - u)
+        out = np.empty(len(k), dtype=np.int64)
+        out[order] = self.length[k[order]] - np.bitwise_count(v & full)
+        return out
+
     def match(self, texts: pa.Array) -> list[list[dict]]:
         found: list[list[dict]] = []
         for words in split(texts, MARKS, lower=True):
@@ -363,16 +427,16 @@ class Matcher:
         code = words.hashes()
         start, row, sizes = self.windows(words, code)
 
-        def offer(r: int, k: int, cosine: float, low: int, high: int) -> float:
-            """Count the item if the words ``low:high`` hold it; the share of it that they hold."""
-            item, near = space.items[k], code[low:high].tolist()
-            share = common(self.masks[k], len(item.words), near) / len(item.words)
-            said = share >= LIKELY and holds(near, item.answer)
-            if share >= SURE or said:
-                old = held[r].get(k)
-                if old is None or share > old["share"]:
-                    held[r][k] = {"item": item.id, "cosine": cosine, "share": share, "answer": said}
-            return share
+        def offer(r: np.ndarray, k: np.ndarray, cosine: np.ndarray, low: np.ndarray, high: np.ndarray) -> None:
+            """Count each item if the words ``low:high`` hold it."""
+            share = self.shares(code, k, low, high)
+            for i in np.flatnonzero(share >= LIKELY).tolist():
+                item, of, s = space.items[k[i]], held[r[i]], float(share[i])
+                said = holds(code[low[i] : high[i]].tolist(), item.answer)
+                if s >= SURE or said:
+                    old = of.get(int(k[i]))
+                    if old is None or s > old["share"]:
+                        of[int(k[i])] = {"item": item.id, "cosine": float(cosine[i]), "share": s, "answer": said}
 
         for (total, norm), use, length in ((sizes[0], ~space.wide, 2 * STEP), (sizes[1], space.wide, PASSAGE)):
             size = np.sqrt(np.maximum(norm, 1e-9))
@@ -391,25 +455,26 @@ class Matcher:
                 window, column, cosine = window[order], column[order], cosine[order]
                 new = np.ones(len(window), dtype=bool)
                 new[1:] = (column[1:] != column[:-1]) | (row[window[1:]] != row[window[:-1]]) | (window[1:] > window[:-1] + 1)
-                bounds = np.append(np.flatnonzero(new), len(window))
-                for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-                    r = int(row[window[a]])
-                    low = max(int(words.first[r]), int(start[window[a]]) - STEP)
-                    high = min(int(words.first[r + 1]), int(start[window[b - 1]]) + length + STEP)
-                    offer(r, int(items[column[a]]), float(cosine[a:b].max()), low, high)
+                a = np.flatnonzero(new)
+                r, last = row[window[a]], window[np.append(a[1:], len(window)) - 1]
+                low = np.maximum(words.first[r], start[window[a]] - STEP)
+                high = np.minimum(words.first[r + 1], start[last] + length + STEP)
+                offer(r, items[column[a]], np.maximum.reduceat(cosine, a), low, high)
         of = words.row_of()
-        for k0, lookup in self.lookups:
-            for k, begin, end in lookup.places(code, of, words.first):
-                r, far, k = int(of[end]), int(lookup.reach[k]), k0 + k
-                low, high = begin, int(words.first[r + 1])
-                item = space.items[k]
-                if common(self.masks[k], len(item.words), code[low : min(end + far, high)].tolist()) < LIKELY * len(item.words):
-                    continue
+        places = ((k0 + k, begin, end) for k0, lookup in self.lookups for k, begin, end in lookup.places(code, of, words.first))
+        for some in batched(places, PLACES):
+            k, begin, end = np.array(some, dtype=np.int64).T
+            r, far = of[end], self.reach[k]
+            stop = np.minimum(end + far, words.first[r + 1])
+            near = self.shares(code, k, begin, stop) >= LIKELY
+            tried = []
+            for r, k, low, end, stop, far in zip(*(x[near].tolist() for x in (r, k, begin, end, stop, far)), strict=True):
                 total, norm = sizes[int(space.wide[k])]
-                a, b = np.searchsorted(start, [max(int(words.first[r]), low - STEP), min(end + far, high)])
+                a, b = np.searchsorted(start, [max(int(words.first[r]), low - STEP), stop])
                 cosine = float((total[a:b] @ space.vectors[k] / np.sqrt(np.maximum(norm[a:b], 1e-9))).max(initial=0.0))
-                for at in range(low, end + 1, STEP):
-                    offer(r, k, cosine, at, min(at + far + STEP, high))
+                tried += [(r, k, cosine, at, min(at + far + STEP, int(words.first[r + 1]))) for at in range(low, end + 1, STEP)]
+            if tried:
+                offer(*(np.array(x) for x in zip(*tried, strict=True)))
 
 
 def spaces(docs: DataFrame, benchmark: DataFrame, key: str, text: str, item: str, item_text: str) -> list[Space]:
