@@ -77,3 +77,13 @@ def test_products_read_only_what_a_passage_has(monkeypatch):
     assert np.allclose(out, 1 + dense @ block, atol=1e-4)
     decontam.add_products(out, to[:0], of[:0], dense[to, of][:0], block)
     assert np.allclose(out, 1 + dense @ block, atol=1e-4)
+
+
+def test_query_searches_each_text_once(spark, tmp_path, capsys):
+    spark.createDataFrame([(1, "a b c d e f. g h"), (2, None)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(7, "b c d e f")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    found = decontam.op6_decontamination(spark, str(tmp_path))
+    assert [(r.doc_id, r.item_id) for r in found.collect()] == [(1, 7)]
+    capsys.readouterr()
+    found.explain()
+    assert capsys.readouterr().out.count("ArrowEvalPython") == 1

@@ -521,7 +521,8 @@ def held_items(text, blocks: list[Space]):
                 made.append(Matcher(space))
             return pa.array(made[0].match(texts), FOUND)
 
-        return matched(text)
+        # Else a condition on the result searches the texts once more, in Python workers of its own.
+        return matched.asNondeterministic()(text)
 
     found = [column(space) for space in blocks]
     if not found:
