@@ -310,13 +310,17 @@ class Lookup:
 
     def _near(self, at: np.ndarray, word: np.ndarray, n: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         owner = self.owner[np.repeat(self.first[word] - np.cumsum(n) + n, n) + np.arange(n.sum())]
-        hit = np.sort(owner * len(row) + np.repeat(at, n))
-        item, place = np.divmod(hit, len(row))
-        last = np.arange(len(item)) + self.need[item] - 1
-        own = np.flatnonzero(last < len(item))
+        # Far enough apart that no stretch goes from one item into the next.
+        shift = int(len(row) + self.reach.max()).bit_length()
+        hit = np.sort((owner << shift) + np.repeat(at, n))
+        item = hit >> shift
+        last = np.arange(len(hit)) + self.need[item] - 1
+        ok = hit.take(last, mode="clip") - hit < self.reach[item]
+        own = np.flatnonzero(ok & (last < len(hit)))
         last = last[own]
-        ok = (item[last] == item[own]) & (row[place[last]] == row[place[own]]) & (place[last] - place[own] < self.reach[item[own]])
-        own, last = own[ok], last[ok]
+        place = hit & ((1 << shift) - 1)
+        same = row[place[last]] == row[place[own]]
+        own, last = own[same], last[same]
         if not len(own):
             return own, own, own, own > 0
         k, end = item[own], place[own]
